@@ -17,6 +17,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Series UID of an AI model run: '1.2.643.<study>.<model>.1'; some lines carry a
+# device's own UID instead (no model part, a bare number, or a timestamp part).
+SERIES_UID = (
+    "CASE WHEN l_linenumber = 5 THEN concat('1.2.840.', CAST(l_orderkey AS STRING)) "
+    "WHEN l_linenumber = 6 THEN CAST(l_orderkey AS STRING) "
+    "WHEN l_linenumber = 7 THEN concat('1.2.', CAST(20240101000000 + l_orderkey AS STRING), '.1') "
+    "ELSE concat('1.2.643.', CAST(l_orderkey AS STRING), '.', CAST(1095 + l_suppkey % 3 AS STRING), '.1') END")
+
 # role -> (driver table, [(column, expression)])
 ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
     # One row per accession (examination).
@@ -60,27 +68,86 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
     "procedures": ("part", [
         ("diagnostic_code", "p_partkey"),
         ("procedure_name", "p_name"),
-        ("service_class", "p_type"),
+        ("family",
+         "CASE p_type WHEN 'STANDARD' THEN 'КТ' WHEN 'MEDIUM' THEN 'КТ с КУ' WHEN 'PROMO' THEN 'МРТ' "
+         "WHEN 'LARGE' THEN 'МРТ с КУ' WHEN 'SMALL' THEN 'РГ' ELSE 'ММГ' END"),
         ("zones", "CAST(p_size % 4 AS INT) + 1"),
     ]),
-    # AI reports: raw / computed JSON text, raw may be the literal 'null'.
-    "reports": ("events", [
-        ("report_id", "event_id"),
-        ("app_source", "CASE WHEN event_type = 'view' THEN 'PACS' ELSE 'CDS' END"),
+    # AI reports (one per described line): raw / computed JSON text; raw may
+    # be the literal 'null'; a few sent times carry a ':60' leap second.
+    "reports": ("lineitem", [
+        ("app_source", "CASE WHEN l_returnflag = 'A' AND l_linenumber = 7 THEN 'PACS' ELSE 'CDS' END"),
         ("raw_data",
-         "CASE WHEN event_type = 'signup' THEN 'null' ELSE concat("
-         "'{\"studyIUID\": \"', CAST(user_id AS STRING), '\", \"aiResult\": {\"norma\": \"', "
-         "CAST(event_id % 2 AS STRING), '\", \"seriesIUID\": \"s', CAST(event_id % 3 AS STRING), "
-         "'\", \"modelId\": ', CAST(1095 + event_id % 10 AS STRING), ', \"error\": \"', "
-         "CASE WHEN event_type = 'error' THEN 'timeout' ELSE '' END, '\"}}') END"),
+         "CASE WHEN l_linestatus = 'O' AND l_linenumber = 1 THEN 'null' ELSE concat("
+         "'{\"studyIUID\": \"', CAST(l_orderkey AS STRING), '\", \"aiResult\": {\"norma\": \"', "
+         "CAST(l_partkey % 2 AS STRING), '\", \"seriesIUID\": \"', " + SERIES_UID + ", "
+         "'\", \"modelId\": ', CAST(1095 + l_suppkey % 3 AS STRING), ', \"error\": \"', "
+         "CASE WHEN l_returnflag = 'R' AND l_linenumber = 2 THEN 'timeout' ELSE '' END, '\"}}') END"),
         ("computed_data",
-         "concat('{\"studyUid\": \"', CAST(user_id AS STRING), '\", \"modelId\": ', "
-         "CAST(1095 + event_id % 10 AS STRING), ', \"pumStudyReadyForAiTime\": \"', "
-         "CAST(date_trunc('second', ts) AS STRING), '\", \"pumReportSentTime\": \"', "
-         "CASE WHEN event_id % 97 = 0 THEN concat(substr(CAST(date_trunc('second', ts) AS STRING), 1, 17), '60') "
-         "ELSE CAST(date_trunc('second', ts + INTERVAL 1 SECOND * (event_id % 600)) AS STRING) END, "
+         "concat('{\"studyUid\": \"', CAST(l_orderkey AS STRING), '\", \"modelId\": ', "
+         "CAST(1095 + l_suppkey % 3 AS STRING), ', \"pumStudyReadyForAiTime\": \"', "
+         "CAST(l_shipdate - INTERVAL 1 MINUTE * l_suppkey AS STRING), '\", \"pumReportSentTime\": \"', "
+         "CASE WHEN l_partkey % 97 = 0 THEN concat(substr(CAST(l_shipdate AS STRING), 1, 10), ' 12:30:60') "
+         "ELSE CAST(l_shipdate + INTERVAL 1 SECOND * (l_partkey % 900) AS STRING) END, "
          "'\", \"pumReportLatestDicomInstanceTime\": \"', "
-         "CAST(date_trunc('second', ts + INTERVAL 1 SECOND * (user_id * 3)) AS STRING), '\"}')"),
+         "CAST(l_shipdate + INTERVAL 1 SECOND * (l_suppkey * 3) AS STRING), '\"}')"),
+    ]),
+    # AI viewer log (one event per line, 1-3 events per series).
+    "ai_log": ("lineitem", [
+        ("study_iuid", "CAST(l_orderkey AS STRING)"),
+        ("series_iuid", SERIES_UID),
+        ("opened_at", "l_shipdate - INTERVAL 1 MINUTE * (l_partkey % 500)"),
+        ("modality", "CASE l_returnflag WHEN 'A' THEN 'CT' WHEN 'N' THEN 'MR' ELSE 'ASMT' END"),
+        ("procedure_name",
+         "CASE l_partkey % 6 WHEN 0 THEN 'AI_AUTO_LOAD' WHEN 1 THEN 'AI_AUTO_GRID' "
+         "WHEN 2 THEN 'AI_MANUAL_LOAD' WHEN 3 THEN 'AI_VIEW_START' WHEN 4 THEN 'AI_VIEW_END' "
+         "ELSE 'AI_VIEW_ENLARGE' END"),
+        ("access_method",
+         "CASE l_suppkey % 4 WHEN 0 THEN 'MANUAL_LOAD' WHEN 1 THEN 'SCROLL' WHEN 2 THEN 'AUTO_LOAD' "
+         "ELSE 'AUTO_GRID' END"),
+    ]),
+    # Source-refresh events (entity, load time).
+    "etl_events": ("events", [
+        ("entity", "event_type"),
+        ("loaded", "ts"),
+        ("load_id", "event_id"),
+    ]),
+    # Pin tasks: several per accession, some still open (NULL end).
+    "pin_tasks": ("orders", [
+        ("accession_number", "o_custkey * 10"),
+        ("task_pin_status", "o_orderpriority"),
+        ("task_pin_send_date", "o_orderdate"),
+        ("task_pin_end_date",
+         "CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderdate + INTERVAL 1 HOUR * (o_orderkey % 200) END"),
+        ("pin_id", "o_orderkey"),
+    ]),
+    # Benefit validity periods per patient (open end = NULL).
+    "benefits": ("orders", [
+        ("patient_id", "o_custkey"),
+        ("start_date", "CAST(o_orderdate AS DATE)"),
+        ("end_date",
+         "CASE WHEN o_orderstatus = 'O' THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INT) END"),
+        ("benefit_name", "o_orderpriority"),
+        ("benefit_code", "CASE WHEN o_orderstatus = 'P' THEN '999' ELSE '940' END"),
+    ]),
+    # Trauma-route records: (device, procedure) pairs per accession.
+    "trauma": ("customer", [
+        ("accession_number", "c_custkey * 7"),
+        ("ae_title", "concat('AE', CAST(c_custkey % 40 AS STRING))"),
+        ("research_id", "CAST(c_nationkey % 6 AS BIGINT)"),
+    ]),
+    # Raw re-shoot id texts (spaces, Cyrillic letter, no letter, too short, junk).
+    "id_lists": ("orders", [
+        ("raw_id",
+         "CASE o_orderpriority WHEN '1-URGENT' THEN concat('А', CAST(o_orderkey * 7 AS STRING)) "
+         "WHEN '2-HIGH' THEN concat(' ', CAST(o_orderkey * 7 AS STRING), ' 1') "
+         "WHEN '3-MEDIUM' THEN concat('a', CAST(o_orderkey * 7 AS STRING)) "
+         "WHEN '4-NOT SPECIFIED' THEN CAST(o_orderkey % 10000 AS STRING) "
+         "ELSE concat('x-', CAST(o_orderkey AS STRING)) END"),
+    ]),
+    # Ids already stored in the target.
+    "stored_ids": ("lineitem", [
+        ("accession", "concat('A', CAST(l_partkey * 7 AS STRING))"),
     ]),
 }
 

@@ -83,3 +83,155 @@ GROUP BY ALL""")
 def q_unit_summary(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return C.unit_summary(t.results, t.examinations, t.reports, AS_OF, DAYS)
+
+
+# ---- M3 describe time daily ---------------------------------------------------
+
+@register("describe_time_daily", with_roles("results", "reports") + f""",
+{AI_NORMA_SQL},
+t2 AS (SELECT * FROM results WHERE describe_start IS NOT NULL AND doc_created IS NOT NULL
+       AND accession_number IS NOT NULL AND doc_created >= TIMESTAMP '{LO} 00:00:00'),
+studies AS (
+  SELECT * FROM (
+    SELECT accession_number, diagnostic_code, ai.norma_value, min(device_type) AS modality,
+           min(describe_start) AS describe_start, min(doc_created) AS describe_end
+    FROM t2 LEFT JOIN ai ON t2.study_uid = ai.study_uid
+    GROUP BY accession_number, diagnostic_code, ai.norma_value) s
+  WHERE describe_end >= describe_start AND date_diff('second', describe_start, describe_end) <= 21600),
+agg AS (
+  SELECT CAST(describe_end AS DATE) AS report_date, diagnostic_code, modality, norma_value,
+         count(*) AS n_studies, avg(date_diff('second', describe_start, describe_end)) AS avg_seconds
+  FROM studies GROUP BY ALL)
+SELECT report_date, diagnostic_code, modality, norma_value, n_studies, avg_seconds,
+       printf('%d:%02d:%02d', r // 3600, (r % 3600) // 60, r % 60) AS avg_time
+FROM (SELECT *, CAST(round_even(avg_seconds, 0) AS BIGINT) AS r FROM agg) x""")
+def q_describe_time_daily(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return C.describe_time_daily(t.results, t.reports, AS_OF, DAYS)
+
+
+# ---- M4 distinct conclusions ------------------------------------------------
+
+@register("distinct_conclusions", with_roles("results") + f"""
+SELECT DISTINCT accession_number, study_uid,
+       CAST(doc_created + INTERVAL 3 HOUR AS DATE) AS doc_date,
+       doc_created + INTERVAL 3 HOUR AS doc_created_plus_3h,
+       payment_source, device_type, type_code AS assessment_result_type_code,
+       describe_unit_id AS assignment_describe_mu_id,
+       CAST(emp_id AS VARCHAR) AS assignment_result_emp_id,
+       {LOCAL('conduct_date')} AS conduct_datetime,
+       {LOCAL_DATE('conduct_date')} AS conduct_date_only
+FROM results
+WHERE accession_number IS NOT NULL AND type_code = 1 AND conduct_date IS NOT NULL
+  AND CAST(doc_created + INTERVAL 3 HOUR AS DATE) BETWEEN DATE '{LO}' AND DATE '{HI}'""")
+def q_distinct_conclusions(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return C.distinct_conclusions(t.results, t.examinations, AS_OF, DAYS)
+
+
+# ---- M1 conclusions summary ------------------------------------------------
+
+TARIFF_BOUNDARY = dt.date(1998, 6, 1)
+DEFECTS_SINCE = dt.datetime(1990, 1, 1)
+
+
+def _coef_values() -> str:
+    from martforge.dims.tariffs import FAR_FUTURE, FAR_PAST, NEW_COEFS, OLD_COEFS
+    b = TARIFF_BOUNDARY.isoformat()
+    rows = [f"('{s}', CAST({c} AS DECIMAL(18,2)), DATE '{FAR_PAST}', DATE '{b}')" for s, c in OLD_COEFS]
+    rows += [f"('{s}', CAST({c} AS DECIMAL(18,2)), DATE '{b}', DATE '{FAR_FUTURE}')" for s, c in NEW_COEFS]
+    return "coefs(service_type, coef, valid_from, valid_to) AS (VALUES " + ", ".join(rows) + ")"
+
+
+def _fix60(x: str) -> str:
+    return f"regexp_replace({x}, ':(60)(\\.\\d+)?', ':59.000')"
+
+
+ZONED = "('КТ', 'КТ с КУ', 'МРТ', 'МРТ с КУ')"
+
+CONCLUSIONS_SUMMARY_SQL = with_roles("results", "examinations", "reports", "pin_tasks", "trauma",
+                                     "procedures") + f""",
+ie AS (SELECT accession_number, min(patient_age) AS patient_age FROM examinations
+       WHERE accession_number IS NOT NULL GROUP BY accession_number),
+{AI_NORMA_SQL},
+t2 AS (SELECT * FROM (
+         SELECT *, row_number() OVER (PARTITION BY accession_number ORDER BY doc_created, diagnostic_code,
+                   line_no, emp_id, payment_source, device_type, conduct_date) AS rn
+         FROM results WHERE accession_number IS NOT NULL AND type_code != 3
+           AND {LOCAL_DATE('doc_created')} BETWEEN DATE '{LO}' AND DATE '{HI}') x WHERE rn = 1),
+rep AS (
+  SELECT CASE WHEN raw_data = 'null' THEN {JTEXT('computed_data', 'studyUid')}
+              ELSE {JTEXT('raw_data', 'studyIUID')} END AS study_uid,
+         CASE WHEN raw_data = 'null' THEN TRY_CAST(json_extract_string(computed_data, '$.modelId') AS BIGINT)
+              ELSE TRY_CAST(json_extract_string(json_extract_string(raw_data, '$.aiResult'), '$.modelId') AS BIGINT)
+         END AS model_id,
+         TRY_CAST({_fix60(JTEXT('computed_data', 'pumStudyReadyForAiTime'))} AS TIMESTAMP) AS ready,
+         greatest(TRY_CAST({_fix60(JTEXT('computed_data', 'pumReportSentTime'))} AS TIMESTAMP),
+                  TRY_CAST({_fix60(JTEXT('computed_data', 'pumReportLatestDicomInstanceTime'))} AS TIMESTAMP)) AS done,
+         (raw_data = 'null' OR {JTEXT('raw_data', 'aiResult', 'error')} != '') AS bad
+  FROM reports
+  WHERE app_source = 'CDS'
+    AND TRY_CAST({JTEXT('computed_data', 'pumStudyReadyForAiTime')} AS TIMESTAMP) >= TIMESTAMP '{DEFECTS_SINCE}'),
+lvl1 AS (SELECT study_uid, model_id, bool_or(bad) AS defect_b,
+                date_diff('second', min(ready), max(done)) / 60.0 AS minutes
+         FROM rep GROUP BY study_uid, model_id),
+defects AS (SELECT DISTINCT study_uid, 1 AS has_defect_ab FROM lvl1
+            WHERE minutes >= CASE WHEN model_id IN (1150, 1099, 1181, 1186, 1187, 1182, 1190, 1185, 1253)
+                                  THEN 3.0 ELSE 6.5 END OR defect_b),
+tr AS (SELECT DISTINCT accession_number FROM trauma WHERE accession_number IS NOT NULL),
+pins AS (SELECT accession_number, {LOCAL('max(task_pin_end_date)')} AS max_pin_end FROM pin_tasks
+         WHERE accession_number IS NOT NULL GROUP BY accession_number),
+pz AS (SELECT *, least(zones, CASE family WHEN 'КТ' THEN 4 WHEN 'КТ с КУ' THEN 3 WHEN 'МРТ' THEN 3
+                                         WHEN 'МРТ с КУ' THEN 3 END) AS nz FROM procedures),
+dim AS (
+  SELECT diagnostic_code,
+         CASE WHEN family IN {ZONED} THEN family || CASE WHEN zones = 1 THEN ' 1 зона' ELSE ' 2 и более зон' END
+              ELSE family END AS service_type,
+         zones AS anatomical_areas, DATE '1900-01-01' AS valid_from, DATE '{TARIFF_BOUNDARY}' AS valid_to
+  FROM pz
+  UNION ALL
+  SELECT diagnostic_code,
+         CASE WHEN family IN {ZONED} THEN family || CASE WHEN nz = 1 THEN ' 1 зона' ELSE ' ' || CAST(nz AS VARCHAR) || ' зоны' END
+              ELSE family END,
+         coalesce(nz, zones), DATE '{TARIFF_BOUNDARY}', DATE '2999-12-31'
+  FROM pz),
+{_coef_values()},
+j AS (
+  SELECT t2.*, ie.patient_age, ai.norma_value, d.has_defect_ab,
+         CASE WHEN tr.accession_number IS NOT NULL THEN 1 ELSE 0 END AS trauma_after_orthopedist_flag,
+         pins.max_pin_end, dim.service_type, dim.anatomical_areas, coefs.coef,
+         {LOCAL_DATE('t2.doc_created')} AS doc_day
+  FROM t2
+  LEFT JOIN ie ON t2.accession_number = ie.accession_number
+  LEFT JOIN ai ON t2.study_uid = ai.study_uid
+  LEFT JOIN defects d ON t2.study_uid = d.study_uid
+  LEFT JOIN tr ON t2.accession_number = tr.accession_number
+  LEFT JOIN pins ON t2.accession_number = pins.accession_number
+  LEFT JOIN dim ON dim.diagnostic_code = t2.diagnostic_code
+       AND dim.valid_from <= {LOCAL_DATE('t2.doc_created')} AND {LOCAL_DATE('t2.doc_created')} < dim.valid_to
+  LEFT JOIN coefs ON coefs.service_type = dim.service_type
+       AND coefs.valid_from <= {LOCAL_DATE('t2.doc_created')} AND {LOCAL_DATE('t2.doc_created')} < coefs.valid_to),
+k AS (
+  SELECT *, CASE WHEN diagnostic_code IN (33, 34, 427) AND norma_value = '1' THEN CAST(0.3 AS DECIMAL(18,2))
+                 ELSE coalesce(coef, CAST(1.0 AS DECIMAL(18,2))) END AS c,
+         CAST(trunc(date_diff('second', coalesce(max_pin_end, {LOCAL('conduct_date')}), {LOCAL('doc_created')}) / 3600) AS BIGINT) AS h
+  FROM j)
+SELECT doc_day AS doc_date, CAST(emp_id AS VARCHAR) AS assignment_result_emp_id, payment_source, device_type,
+       type_code AS assessment_result_type_code, describe_unit_id AS assignment_describe_mu_id,
+       service_type, anatomical_areas, norma_value, has_defect_ab,
+       {AGE_GROUP.format(a='patient_age')} AS age_group,
+       CASE WHEN max_pin_end IS NOT NULL THEN 1 ELSE 0 END AS has_task_pin_record,
+       trauma_after_orthopedist_flag,
+       CASE WHEN h < 24 THEN 'Менее 24 часов' WHEN h < 48 THEN 'Более 24 часов' ELSE 'Более 48 часов' END AS time_interval,
+       CAST(sum(c) AS DOUBLE) AS total_coefficient, count(DISTINCT accession_number) AS cnt
+FROM k GROUP BY ALL"""
+
+
+@register("conclusions_summary", CONCLUSIONS_SUMMARY_SQL)
+def q_conclusions_summary(spark, sf_dir):
+    from martforge.dims.tariffs import code_dimension, coefficient_table
+    t = Tables(spark, sf_dir)
+    dim = code_dimension(t.procedures, boundary=TARIFF_BOUNDARY)
+    return C.conclusions_summary(t.results, t.examinations, t.reports, t.pin_tasks, t.trauma, dim,
+                                 coefficient_table(spark, TARIFF_BOUNDARY), AS_OF, DAYS,
+                                 TARIFF_BOUNDARY, DEFECTS_SINCE)
