@@ -235,3 +235,221 @@ def q_conclusions_summary(spark, sf_dir):
     return C.conclusions_summary(t.results, t.examinations, t.reports, t.pin_tasks, t.trauma, dim,
                                  coefficient_table(spark, TARIFF_BOUNDARY), AS_OF, DAYS,
                                  TARIFF_BOUNDARY, DEFECTS_SINCE)
+
+
+# ---- M10-M13, M20 AI use ----------------------------------------------------
+
+from martforge.plans import ai_use as AI  # noqa: E402
+
+# Driver binding of the modality configuration: device type -> (label, log modalities).
+AI_MODALITIES = {"O": ("CT", ("CT", "ASMT")), "F": ("MR", ("MR", "ASMT"))}
+AI_EXCLUDED_CODES = (1, 2, 3)
+AI_MIN_START = dt.datetime(1990, 1, 1)
+AI_FROM, AI_TO = AS_OF - dt.timedelta(days=DAYS), AS_OF
+# Invented model names and tariffs (the reference's files are not published).
+MODEL_NAMES = [(1095, "chest triage"), (1096, "mammography screening")]
+MODEL_TARIFFS = [(1095, 12.5, 20.0), (1096, 7.25, 9.75)]
+
+
+def _ai_inputs(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    cfg = AI.modality_config(spark, AI_MODALITIES)
+    names = spark.createDataFrame(MODEL_NAMES, "model_id long, service_name string")
+    return t, cfg, names
+
+
+def _ai_series(spark, sf_dir):
+    t, cfg, names = _ai_inputs(spark, sf_dir)
+    return AI.ai_use_series(t.results, t.reports, t.ai_log, cfg, names, AI_FROM, AI_TO,
+                            AI_EXCLUDED_CODES, AI_MIN_START)
+
+
+def _ai_by_model(spark, sf_dir):
+    tariffs = spark.createDataFrame(MODEL_TARIFFS, "model_id long, tariff_current double, tariff_possible double")
+    return AI.ai_use_by_model(_ai_series(spark, sf_dir), tariffs, AI_FROM, AI_TO)
+
+
+def _cfg_values() -> str:
+    rows = [f"('{d}', '{label}', '{m}')" for d, (label, mods) in AI_MODALITIES.items() for m in mods]
+    return "cfg(device_type, modality, log_modality) AS (VALUES " + ", ".join(rows) + ")"
+
+
+def _counter_sql(spec) -> str:
+    name, in_win, col, values = spec
+    cond = "inside" if in_win else "NOT inside"
+    if col is not None:
+        cond += f" AND {col} IN (" + ", ".join(f"'{v}'" for v in values) + ")"
+    return f"count(*) FILTER (WHERE {cond}) AS {name}"
+
+
+def _sum0_sql(*cols) -> str:
+    return "(" + " + ".join(f"coalesce({c}, 0)" for c in cols) + ")"
+
+
+def _interaction_sql(active, any_) -> str:
+    return f"CASE WHEN {any_} = 0 THEN 'no_ai' WHEN {active} > 0 THEN 'active' ELSE 'passive' END"
+
+
+IN_ANY = _sum0_sql("active_in_window", "view_in_window", "enlarge_in_window", "passive_in_window")
+IN_ACTIVE = _sum0_sql("active_in_window", "view_in_window", "enlarge_in_window")
+OUT_ACTIVE = _sum0_sql("outside_active_cnt", "outside_view_cnt")
+_PROC = [f"cnt_{n}" for n, _ in AI.PROC_COUNTERS] + [f"outside_{n}" for n, _ in AI.PROC_COUNTERS]
+_AF, _AT = AI_FROM.isoformat(), AI_TO.isoformat()
+
+AI_SERIES_CTES = with_roles("results", "reports", "ai_log") + f""",
+{_cfg_values()},
+base0 AS (
+  SELECT c.modality, r.study_uid,
+    arg_min(accession_number, (describe_start, accession_number)) FILTER (WHERE accession_number IS NOT NULL AND describe_start IS NOT NULL) AS accession_number,
+    arg_min(emp_id, (describe_start, emp_id)) FILTER (WHERE emp_id IS NOT NULL AND describe_start IS NOT NULL) AS doctor_id,
+    min(describe_start) AS describe_start, min(doc_created) AS conclusion_time,
+    arg_min(diagnostic_code, (describe_start, diagnostic_code)) FILTER (WHERE diagnostic_code IS NOT NULL AND describe_start IS NOT NULL) AS diagnostic_code
+  FROM results r JOIN (SELECT DISTINCT device_type, modality FROM cfg) c ON r.device_type = c.device_type
+  WHERE CAST(doc_created AS DATE) BETWEEN DATE '{_AF}' AND DATE '{_AT}'
+  GROUP BY c.modality, r.study_uid),
+base AS (SELECT * FROM base0 WHERE diagnostic_code NOT IN {AI_EXCLUDED_CODES}
+         AND describe_start >= TIMESTAMP '{AI_MIN_START}'),
+airs AS (
+  SELECT {JTEXT('raw_data', 'studyIUID')} AS study_uid, {JTEXT('raw_data', 'aiResult', 'seriesIUID')} AS series_iuid,
+         min({JTEXT('raw_data', 'aiResult', 'norma')}) AS norma_value,
+         min(CASE WHEN raw_data = 'null' THEN TRY_CAST(json_extract_string(computed_data, '$.modelId') AS BIGINT)
+                  ELSE TRY_CAST(json_extract_string(json_extract_string(raw_data, '$.aiResult'), '$.modelId') AS BIGINT) END) AS model_id
+  FROM reports
+  WHERE app_source = 'CDS' AND TRY_CAST({JTEXT('computed_data', 'pumStudyReadyForAiTime')} AS TIMESTAMP) IS NOT NULL
+    AND trim({JTEXT('raw_data', 'aiResult', 'norma')}) != ''
+  GROUP BY 1, 2),
+logj AS (
+  SELECT c.modality, l.study_iuid, l.series_iuid, l.access_method, l.procedure_name,
+         l.opened_at + INTERVAL 3 HOUR AS ts_msk, b.describe_start, b.conclusion_time,
+         (l.opened_at + INTERVAL 3 HOUR >= b.describe_start - INTERVAL 5 MINUTE
+          AND l.opened_at + INTERVAL 3 HOUR <= b.conclusion_time) AS inside
+  FROM ai_log l JOIN cfg c ON l.modality = c.log_modality
+  JOIN base b ON b.modality = c.modality AND b.study_uid = l.study_iuid
+  WHERE CAST(l.opened_at AS DATE) BETWEEN DATE '{_AF}' - INTERVAL 7 DAY AND DATE '{_AT}' + INTERVAL 30 DAY),
+acts AS (
+  SELECT modality, study_iuid, series_iuid, min(ts_msk) FILTER (WHERE inside) AS first_ai_open,
+         {", ".join(_counter_sql(s) for s in AI.COUNTERS)},
+         array_to_string(list_sort(list_distinct(list(access_method))), ', ') AS methods_used
+  FROM logj GROUP BY 1, 2, 3),
+series AS (
+  SELECT b.modality, b.study_uid, b.accession_number, b.doctor_id, b.diagnostic_code, b.describe_start,
+         b.conclusion_time, CASE WHEN r.study_uid IS NOT NULL THEN 1 ELSE 0 END AS has_ai,
+         r.norma_value, r.model_id, r.series_iuid, coalesce(mn.service_name, 'unknown') AS service_name,
+         CASE WHEN a.study_iuid IS NULL THEN 'no_ai' ELSE {_interaction_sql(IN_ACTIVE, IN_ANY)} END AS ai_interaction,
+         a.first_ai_open,
+         CASE WHEN a.first_ai_open IS NOT NULL THEN
+              CAST(date_diff('second', date_trunc('minute', b.describe_start), date_trunc('minute', a.first_ai_open)) / 60 AS BIGINT) END AS mins_to_first_ai,
+         CASE WHEN a.first_ai_open IS NOT NULL AND a.first_ai_open < b.conclusion_time THEN 1 ELSE 0 END AS ai_before_conclusion,
+         a.active_in_window, a.view_in_window, a.enlarge_in_window, a.passive_in_window,
+         CASE WHEN a.study_iuid IS NULL THEN 'none' WHEN {OUT_ACTIVE} > 0 THEN 'active'
+              WHEN a.outside_passive_cnt > 0 THEN 'passive' ELSE 'none' END AS outside_ai_interaction,
+         a.outside_active_cnt, a.outside_view_cnt, a.outside_passive_cnt,
+         CASE WHEN a.actions_outside > 0 THEN 1 ELSE 0 END AS has_action_outside, a.methods_used,
+         {", ".join("a." + c for c in _PROC)}
+  FROM base b LEFT JOIN airs r ON b.study_uid = r.study_uid
+  LEFT JOIN acts a ON a.modality = b.modality AND a.study_iuid = b.study_uid AND a.series_iuid = r.series_iuid
+  LEFT JOIN (VALUES {", ".join(f"({i}, '{n}')" for i, n in MODEL_NAMES)}) mn(model_id, service_name)
+       ON mn.model_id = r.model_id)"""
+
+
+@register("ai_use_series", AI_SERIES_CTES + "\nSELECT * FROM series")
+def q_ai_use_series(spark, sf_dir):
+    return _ai_series(spark, sf_dir)
+
+
+def _merged_union(col: str) -> str:
+    """Union of comma lists across a group: trimmed, distinct, sorted, NULL if empty."""
+    return (f"nullif(array_to_string(list_sort(list_distinct(list_filter(list_transform("
+            f"flatten(list(string_split(coalesce({col}, ''), ','))), lambda x: trim(x)), lambda x: x != ''))), ', '), '')")
+
+
+_CNT = AI.COUNT_COLS
+AI_BY_MODEL_CTES = AI_SERIES_CTES + f""",
+g AS (
+  SELECT study_uid, model_id, count(*) AS n,
+         {", ".join(f"min({c}) AS {c}" for c in AI.CONST_COLS)},
+         {", ".join(f"min({c}) AS one_{c}, coalesce(sum({c}), 0) AS sum_{c}" for c in _CNT)},
+         min(first_ai_open) AS first_ai_open, max(has_action_outside) AS has_action_outside,
+         nullif(array_to_string(list_sort(list(series_iuid)), ', '), '') AS m_series, min(series_iuid) AS one_series,
+         {_merged_union('methods_used')} AS m_methods, min(methods_used) AS one_methods,
+         min(mins_to_first_ai) AS one_mins, min(ai_before_conclusion) AS one_before,
+         min(ai_interaction) AS one_inter, min(outside_ai_interaction) AS one_out
+  FROM series WHERE study_uid IS NOT NULL GROUP BY study_uid, model_id),
+g2 AS (
+  SELECT *, {", ".join(f"CASE WHEN n > 1 THEN sum_{c} ELSE one_{c} END AS v_{c}" for c in _CNT)} FROM g),
+by_model AS (
+  SELECT modality, study_uid, accession_number, doctor_id, diagnostic_code, describe_start, conclusion_time,
+         coalesce(has_ai, 0) AS has_ai,
+         CAST(CAST(TRY_CAST(CAST(norma_value AS VARCHAR) AS DOUBLE) AS INTEGER) AS VARCHAR) AS norma_value,
+         g2.model_id, CASE WHEN n > 1 THEN m_series ELSE one_series END AS series_iuid, service_name,
+         t.tariff_current, t.tariff_possible,
+         CASE WHEN n > 1 THEN {_interaction_sql(_sum0_sql(*("v_" + c for c in _CNT[:3])), _sum0_sql(*("v_" + c for c in _CNT[:4])))}
+              ELSE one_inter END AS ai_interaction,
+         first_ai_open,
+         CAST(CASE WHEN n > 1 THEN (CASE WHEN first_ai_open IS NOT NULL THEN
+              CAST(round_even(date_diff('second', describe_start, first_ai_open) / 60.0, 0) AS BIGINT) END)
+              ELSE one_mins END AS DOUBLE) AS mins_to_first_ai,
+         CASE WHEN n > 1 THEN (CASE WHEN first_ai_open IS NOT NULL AND conclusion_time IS NOT NULL
+              AND first_ai_open < conclusion_time THEN 1 ELSE 0 END) ELSE one_before END AS ai_before_conclusion,
+         {", ".join(f"v_{c} AS {c}" for c in _CNT[:4])},
+         CASE WHEN n > 1 THEN (CASE WHEN {_sum0_sql("v_outside_active_cnt", "v_outside_view_cnt")} > 0 THEN 'active'
+              WHEN coalesce(v_outside_passive_cnt, 0) > 0 THEN 'passive' ELSE 'none' END) ELSE one_out END
+              AS outside_ai_interaction,
+         {", ".join(f"v_{c} AS {c}" for c in _CNT[4:7])},
+         coalesce(has_action_outside, 0) AS has_action_outside,
+         CASE WHEN n > 1 THEN m_methods ELSE one_methods END AS methods_used,
+         {", ".join(f"v_{c} AS {c}" for c in _CNT[7:])},
+         DATE '{_AF}' AS period_from, DATE '{_AT}' AS period_to
+  FROM g2 LEFT JOIN (VALUES {", ".join(f"({i}, {a}, {b})" for i, a, b in MODEL_TARIFFS)})
+       t(model_id, tariff_current, tariff_possible) ON t.model_id = g2.model_id)"""
+
+
+@register("ai_use_by_model", AI_BY_MODEL_CTES + "\nSELECT * FROM by_model")
+def q_ai_use_by_model(spark, sf_dir):
+    return _ai_by_model(spark, sf_dir)
+
+
+@register("ai_use_by_study", AI_BY_MODEL_CTES + f""",
+st AS (
+  SELECT study_uid, {", ".join(f"min({c}) AS {c}" for c in ("modality", "accession_number", "doctor_id",
+         "diagnostic_code", "describe_start", "conclusion_time", "norma_value", "period_from", "period_to"))},
+         {", ".join(f"CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}" for c in _CNT)},
+         max(has_ai) AS has_ai, min(model_id) AS model_id, min(service_name) AS service_name,
+         min(first_ai_open) AS first_ai_open, max(has_action_outside) AS has_action_outside,
+         {_merged_union('methods_used')} AS methods_used
+  FROM by_model GROUP BY study_uid)
+SELECT modality, study_uid, accession_number, doctor_id, diagnostic_code, describe_start, conclusion_time,
+       has_ai, norma_value, model_id, service_name,
+       {_interaction_sql(IN_ACTIVE, IN_ANY)} AS ai_interaction, first_ai_open,
+       CAST(CASE WHEN first_ai_open IS NOT NULL THEN
+            CAST(round_even(date_diff('second', describe_start, first_ai_open) / 60.0, 0) AS BIGINT) END AS DOUBLE) AS mins_to_first_ai,
+       CASE WHEN first_ai_open IS NOT NULL AND conclusion_time IS NOT NULL AND first_ai_open < conclusion_time
+            THEN 1 ELSE 0 END AS ai_before_conclusion,
+       {", ".join(_CNT[:4])},
+       CASE WHEN {OUT_ACTIVE} > 0 THEN 'active' WHEN coalesce(outside_passive_cnt, 0) > 0 THEN 'passive'
+            ELSE 'none' END AS outside_ai_interaction,
+       {", ".join(_CNT[4:7])}, has_action_outside, methods_used, {", ".join(_CNT[7:])}, period_from, period_to
+FROM st""")
+def q_ai_use_by_study(spark, sf_dir):
+    return AI.ai_use_by_study(_ai_by_model(spark, sf_dir))
+
+
+@register("model_usage_daily", with_roles("results", "ai_log") + f""",
+{_cfg_values()},
+studies AS (
+  SELECT DISTINCT c.modality, r.study_uid AS study_iuid
+  FROM results r JOIN (SELECT DISTINCT device_type, modality FROM cfg) c ON r.device_type = c.device_type
+  WHERE CAST(doc_created AS DATE) BETWEEN DATE '{_AF}' - INTERVAL 10 DAY AND DATE '{_AT}' + INTERVAL 10 DAY),
+lg AS (
+  SELECT c.modality, l.*,
+         TRY_CAST(CASE WHEN len(string_split(coalesce(series_iuid, ''), '.')) >= 2
+                       THEN string_split(coalesce(series_iuid, ''), '.')[-2] END AS BIGINT) AS model_id
+  FROM ai_log l JOIN cfg c ON l.modality = c.log_modality
+  WHERE CAST(opened_at AS DATE) BETWEEN DATE '{_AF}' AND DATE '{_AT}'
+    AND EXISTS (SELECT 1 FROM studies s WHERE s.modality = c.modality AND s.study_iuid = l.study_iuid))
+SELECT modality, CAST(opened_at + INTERVAL 3 HOUR AS DATE) AS date, model_id, procedure_name, access_method,
+       count(*) AS event_count
+FROM lg WHERE model_id BETWEEN 1 AND 9999 GROUP BY ALL""")
+def q_model_usage_daily(spark, sf_dir):
+    t, cfg, _ = _ai_inputs(spark, sf_dir)
+    return AI.model_usage_daily(t.results, t.ai_log, cfg, AI_FROM, AI_TO)
