@@ -67,14 +67,23 @@ def keep_first(df: DataFrame, id_col: str, seq: str) -> DataFrame:
     return top1(df.withColumn("_kf_key", key), "_kf_key", [seq]).drop("_kf_key")
 
 
-def second_newest(ts) -> Column:
-    """O2: second-largest value (duplicates count), from one aggregate pass.
-
-    ``max_by``-style top-2 via ``max_by(x, x, 2)`` keeps a bounded buffer of two
-    values per group, so memory does not grow with the group.
+def second_newest(df: DataFrame, ts: str, keys=()) -> DataFrame:
+    """O2: per key, the newest and the second-newest value of ``ts``
+    (``ORDER BY ts DESC LIMIT 1 OFFSET 1``: duplicates count, so two equal
+    newest stamps make the second one equal to the first).
+
+    Two partial aggregates and no sort: the per-key maximum, then, joined
+    back, the count of rows at the maximum and the largest value below it.
+    Memory per key is constant, so a hot key cannot blow up a task.
     """
-    top2 = F.max_by(_c(ts), _c(ts), F.lit(2))
-    return F.try_element_at(F.sort_array(top2, asc=False), F.lit(2))
+    keys = list(keys)
+    top = df.groupBy(*keys).agg(F.max(ts).alias("_sn_max"))
+    j = df.crossJoin(F.broadcast(top)) if not keys else df.join(top, keys)
+    agg = j.groupBy(*keys).agg(F.max("_sn_max").alias("newest"),
+                               F.count_if(F.col(ts) == F.col("_sn_max")).alias("_sn_ties"),
+                               F.max(F.when(F.col(ts) < F.col("_sn_max"), F.col(ts))).alias("_sn_below"))
+    prev = F.when(F.col("_sn_ties") >= 2, F.col("newest")).otherwise(F.col("_sn_below"))
+    return agg.withColumn("previous", prev).drop("_sn_ties", "_sn_below")
 
 
 def order(df: DataFrame, *keys) -> DataFrame:

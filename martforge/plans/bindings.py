@@ -30,6 +30,7 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
     # One row per accession (examination).
     "examinations": ("orders", [
         ("accession_number", "o_orderkey"),
+        ("study_uid", "CAST(o_orderkey AS STRING)"),
         ("conduct_date", "o_orderdate"),
         ("patient_id", "o_custkey"),
         ("assignment_status", "o_orderstatus"),
@@ -145,6 +146,28 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
          "WHEN '4-NOT SPECIFIED' THEN CAST(o_orderkey % 10000 AS STRING) "
          "ELSE concat('x-', CAST(o_orderkey AS STRING)) END"),
     ]),
+    # Inpatient equipment orders (some without a study UID) and their exams.
+    "inpatient_orders": ("orders", [
+        ("naz_id", "o_orderkey"),
+        ("run_dt", "o_orderdate"),
+        ("facility_id", "CAST(o_custkey % 25 AS STRING)"),
+        ("device_type", "o_orderstatus"),
+        ("ae_title", "concat('AE', CAST(o_custkey % 40 AS STRING))"),
+        ("naz_code", "o_orderpriority"),
+        ("naz_name", "concat('procedure ', o_orderpriority)"),
+        ("accession_number", "o_orderkey"),
+        ("studyuid", "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderkey AS STRING) END"),
+    ]),
+    "inpatient_exams": ("lineitem", [
+        ("naz_id", "l_orderkey"),
+        ("patient_id", "CAST(l_partkey AS STRING)"),
+        ("pay_type_name", "CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END"),
+        ("sign_emp_id", "CAST(l_suppkey AS STRING)"),
+    ]),
+    "facilities": ("nation", [
+        ("id", "CAST(n_nationkey AS STRING)"),
+        ("short_name", "n_name"),
+    ]),
     # Ids already stored in the target.
     "stored_ids": ("lineitem", [
         ("accession", "concat('A', CAST(l_partkey * 7 AS STRING))"),

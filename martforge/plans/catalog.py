@@ -453,3 +453,149 @@ FROM lg WHERE model_id BETWEEN 1 AND 9999 GROUP BY ALL""")
 def q_model_usage_daily(spark, sf_dir):
     t, cfg, _ = _ai_inputs(spark, sf_dir)
     return AI.model_usage_daily(t.results, t.ai_log, cfg, AI_FROM, AI_TO)
+
+
+# ---- M5, M7, M9, M14, M15 -----------------------------------------------------------
+
+from martforge.plans import operational as OP  # noqa: E402
+
+ONCO_SUBSTR, ONCO_NAMES = "URGENT", ("2-HIGH",)
+
+
+@register("oncology_counts", with_roles("examinations", "results") + f""",
+descr AS (SELECT DISTINCT study_uid FROM results)
+SELECT {LOCAL_DATE('e.conduct_date')} AS conduct_date, e.research_kind, e.assignment_status, e.research_id,
+       e.ae_title, coalesce(e.payment_source, 'ОМС') AS payment_source,
+       CASE WHEN e.patient_age >= 18 THEN 'Взрослые' ELSE 'Дети' END AS patient_age_group,
+       CASE WHEN d.study_uid IS NOT NULL THEN 'Описано' END AS described,
+       count(DISTINCT e.accession_number) AS count_accession
+FROM examinations e LEFT JOIN descr d ON e.study_uid = d.study_uid
+WHERE e.ae_title IS NOT NULL AND (e.research_kind LIKE '%{ONCO_SUBSTR}%' OR e.research_kind IN ('2-HIGH'))
+  AND {LOCAL_DATE('e.conduct_date')} >= DATE '{LO}'
+GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, d.study_uid""")
+def q_oncology_counts(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return OP.oncology_counts(t.examinations, t.results, "research_kind", ONCO_SUBSTR, ONCO_NAMES,
+                              dt.date.fromisoformat(LO),
+                              ["research_kind", "assignment_status", "research_id", "ae_title"])
+
+
+@register("benefit_cohort", with_roles("results", "examinations", "reports", "units", "benefits",
+                                       "pin_tasks") + f""",
+ie AS (SELECT accession_number, min(patient_age) AS patient_age, min(patient_id) AS patient_id
+       FROM examinations WHERE accession_number IS NOT NULL GROUP BY accession_number),
+{AI_NORMA_SQL},
+per AS (SELECT DISTINCT patient_id, start_date, coalesce(end_date, DATE '2099-12-31') AS end_date, benefit_name
+        FROM benefits WHERE benefit_code IN ('940', '941') AND patient_id IS NOT NULL),
+ap AS (SELECT DISTINCT accession_number FROM pin_tasks WHERE task_pin_end_date IS NULL AND accession_number IS NOT NULL),
+lp AS (SELECT accession_number, task_pin_status, task_pin_end_date FROM (
+         SELECT *, row_number() OVER (PARTITION BY accession_number
+                   ORDER BY task_pin_end_date DESC, task_pin_status, pin_id) AS rn
+         FROM pin_tasks WHERE task_pin_end_date IS NOT NULL AND accession_number IS NOT NULL) x WHERE rn = 1),
+base AS (
+  SELECT t2.*, u.unit_name, ie.patient_age, ie.patient_id, ai.norma_value,
+         CASE WHEN ap.accession_number IS NOT NULL THEN 'находится в ПИНе' ELSE 'не в ПИНе' END AS pin_status,
+         lp.task_pin_status, lp.task_pin_end_date, {LOCAL('t2.conduct_date')} AS conduct_local,
+         (SELECT arg_min(p.benefit_name, (-(p.start_date - DATE '1970-01-01'), p.benefit_name)) FROM per p
+           WHERE p.patient_id = ie.patient_id AND CAST(t2.conduct_date AS DATE) BETWEEN p.start_date AND p.end_date)
+           AS llo_benefit_status
+  FROM results t2
+  LEFT JOIN units u ON u.unit_id = t2.describe_unit_id
+  LEFT JOIN ie ON t2.accession_number = ie.accession_number
+  LEFT JOIN ai ON t2.study_uid = ai.study_uid
+  LEFT JOIN ap ON t2.accession_number = ap.accession_number
+  LEFT JOIN lp ON t2.accession_number = lp.accession_number
+  WHERE t2.accession_number IS NOT NULL
+    AND t2.conduct_date >= TIMESTAMP '{LO} 00:00:00' AND t2.conduct_date < TIMESTAMP '{HI} 00:00:00'),
+f AS (SELECT *, row_number() OVER (PARTITION BY accession_number ORDER BY conduct_local, doc_created, line_no,
+                emp_id, diagnostic_code, payment_source, device_type) AS rn
+      FROM base WHERE llo_benefit_status IS NOT NULL)
+SELECT conduct_local AS conduct_date, {LOCAL('doc_created')} AS describe_date, accession_number, patient_id,
+       payment_source, device_type, type_code AS assessment_result_type_code,
+       describe_unit_id AS assignment_describe_mu_id, unit_name AS lpu_short_name_by_lpu_id, norma_value,
+       {AGE_GROUP.format(a='patient_age')} AS age_group, pin_status, task_pin_end_date, task_pin_status,
+       llo_benefit_status
+FROM f WHERE rn = 1""")
+def q_benefit_cohort(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return OP.benefit_cohort(t.results, t.examinations, t.reports, t.units, t.benefits, t.pin_tasks,
+                             dt.date.fromisoformat(LO), AS_OF)
+
+
+@register("equipment_studies", with_roles("inpatient_orders", "inpatient_exams", "facilities") + f"""
+SELECT coalesce(CAST(o.run_dt AS DATE), DATE '1900-01-01') AS date_dt,
+       coalesce(o.run_dt, TIMESTAMP '1900-01-01 00:00:00') AS date_time,
+       coalesce(o.facility_id, '') AS facility_id, coalesce(f.short_name, '') AS facility_short_name,
+       coalesce(o.device_type, '') AS device_type, coalesce(o.ae_title, '') AS ae_title,
+       coalesce(o.naz_code, '') AS procedure_code, coalesce(o.naz_name, '') AS procedure_name,
+       coalesce(i.patient_id, '') AS patient_id, coalesce(CAST(o.accession_number AS VARCHAR), '') AS naz_accession_number,
+       coalesce(o.studyuid, '') AS study_uid, coalesce(i.pay_type_name, '') AS pay_type_name,
+       coalesce(i.sign_emp_id, '') AS sign_emp_id
+FROM inpatient_orders o
+LEFT JOIN inpatient_exams i ON o.naz_id = i.naz_id
+LEFT JOIN facilities f ON o.facility_id = f.id
+WHERE o.studyuid IS NOT NULL AND o.run_dt >= TIMESTAMP '{LO} 00:00:00'""")
+def q_equipment_studies(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return OP.equipment_studies(t.inpatient_orders, t.inpatient_exams, t.facilities,
+                                dt.datetime.fromisoformat(LO))
+
+
+FRESH_AS_OF = dt.date(2001, 11, 4)
+FRESH_CHECK_TS = dt.datetime(2001, 11, 4, 9, 30)
+# (name, kind, description, role, timestamp column); the lookback spans the whole table
+FRESH_CHECKS = [
+    ("examinations", "critical", "conducted examinations", "examinations", "conduct_date"),
+    ("results", "critical", "radiologist conclusions", "results", "doc_created"),
+    ("pin_tasks", "auxiliary", "pin tasks", "pin_tasks", "task_pin_send_date"),
+    ("etl_events", "auxiliary", "source refresh events", "etl_events", "loaded"),
+]
+
+
+def _fresh_sql() -> str:
+    parts = []
+    for name, kind, desc, role_, col in FRESH_CHECKS:
+        parts.append(f"""SELECT '{name}' AS table_name, '{kind}' AS table_type, '{desc}' AS description,
+  count(*) AS row_count, coalesce(max({col}), TIMESTAMP '1971-01-01 00:00:00') AS last_data_datetime,
+  coalesce((SELECT {col} FROM {role_} WHERE CAST({col} AS DATE) >= DATE '{FRESH_AS_OF}' - INTERVAL {DAYS} DAY
+            ORDER BY {col} DESC LIMIT 1 OFFSET 1), TIMESTAMP '1971-01-01 00:00:00') AS previous_data_datetime
+FROM {role_} WHERE CAST({col} AS DATE) >= DATE '{FRESH_AS_OF}' - INTERVAL {DAYS} DAY""")
+    fmt = "strftime(last_data_datetime, '%d.%m.%Y %H:%M:%S')"
+    return with_roles(*sorted({c[3] for c in FRESH_CHECKS})) + ",\nchecks AS (" + "\nUNION ALL\n".join(parts) + f"""),
+st AS (
+  SELECT *, CAST(last_data_datetime AS DATE) AS last_data_date,
+    CASE WHEN last_data_datetime >= TIMESTAMP '{FRESH_AS_OF} 00:00:00' THEN 'Данные за текущий день (' || {fmt} || ')'
+         WHEN last_data_datetime >= TIMESTAMP '{FRESH_AS_OF - dt.timedelta(days=1)} 00:00:00' THEN 'Данные за предыдущий день (' || {fmt} || ')'
+         WHEN row_count > 0 THEN 'Данные старше 2 дней (последние: ' || {fmt} || ')'
+         ELSE 'Нет данных за последние 2 дня' END AS table_status,
+    CASE WHEN table_type = 'critical' AND (CAST(last_data_datetime AS DATE) < DATE '{FRESH_AS_OF}' OR row_count = 0)
+         THEN 1 ELSE 0 END AS critical_issue
+  FROM checks),
+ds AS (SELECT max(critical_issue) AS h,
+              sum(CASE WHEN CAST(last_data_datetime AS DATE) = DATE '{FRESH_AS_OF}' THEN 1 ELSE 0 END) AS today_n,
+              sum(CASE WHEN table_type = 'critical' THEN 1 ELSE 0 END) AS crit_n FROM st)
+SELECT TIMESTAMP '{FRESH_CHECK_TS}' AS check_timestamp, table_name, table_type, description, row_count,
+       last_data_datetime, previous_data_datetime, last_data_date, table_status,
+       CASE WHEN h = 1 THEN 'НЕ ПРИГОДЕН' ELSE 'ПРИГОДЕН' END AS overall_status,
+       'Критических таблиц: ' || CAST(today_n AS VARCHAR) || ' из ' || CAST(crit_n AS VARCHAR) AS fresh_tables_details,
+       date_diff('second', last_data_datetime, TIMESTAMP '{FRESH_CHECK_TS}') AS data_latency_seconds
+FROM st CROSS JOIN ds"""
+
+
+@register("freshness_report", _fresh_sql())
+def q_freshness_report(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    checks = [(n, k, d, getattr(t, r), c, DAYS) for n, k, d, r, c in FRESH_CHECKS]
+    return OP.freshness_report(checks, FRESH_AS_OF, FRESH_CHECK_TS)
+
+
+REFRESH_ENTITIES = ("click", "purchase", "signup")
+REFRESH_AS_OF = dt.datetime(2024, 2, 1)
+
+
+@register("refresh_log", with_roles("etl_events") + f"""
+SELECT DISTINCT entity, loaded FROM etl_events
+WHERE entity IN {REFRESH_ENTITIES} AND loaded >= TIMESTAMP '{REFRESH_AS_OF}' - INTERVAL 45 DAY""")
+def q_refresh_log(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return OP.refresh_log(t.etl_events, REFRESH_ENTITIES, REFRESH_AS_OF, 45)
