@@ -12,17 +12,34 @@ from pyspark.sql import functions as F
 from martforge.functions._util import col as _c
 
 # The HTML entities decoded by ``unescape_html`` (a deliberate
-# subset; ``&amp;`` is decoded last so ``&amp;lt;`` stays ``&lt;``).
+# subset of the HTML5 table; ``&amp;`` is decoded last so ``&amp;lt;`` stays
+# ``&lt;``, as a single-pass decoder would leave it).
 HTML_ENTITIES = (
     ("&lt;", "<"),
     ("&gt;", ">"),
     ("&quot;", '"'),
     ("&#39;", "'"),
     ("&#x27;", "'"),
-    ("&nbsp;", " "),
+    ("&apos;", "'"),
+    ("&nbsp;", "\u00a0"),
+    ("&copy;", "\u00a9"),
+    ("&reg;", "\u00ae"),
+    ("&middot;", "\u00b7"),
+    ("&laquo;", "\u00ab"),
+    ("&raquo;", "\u00bb"),
+    ("&ndash;", "\u2013"),
+    ("&mdash;", "\u2014"),
+    ("&hellip;", "\u2026"),
+    ("&euro;", "\u20ac"),
     ("&amp;", "&"),
 )
 
+# Whitespace as Python's ``str.split()`` / ``re`` ``\s`` see it (Unicode
+# White_Space plus the ASCII separators 0x1C-0x1F), in a syntax both the JVM
+# regex engine and RE2 accept.
+PY_WS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+         r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+")
+
 # Task status text (lower case) -> status code.
 STATUS_CODES = {
     "новая": "new",
@@ -100,7 +117,7 @@ def clean_text(c) -> Column:
     NULL and '' are returned unchanged.
     """
     x = _c(c)
-    cleaned = F.trim(F.regexp_replace(F.replace(x, F.lit('"'), F.lit("")), r"\s+", " "))
+    cleaned = F.trim(F.regexp_replace(F.replace(x, F.lit('"'), F.lit("")), PY_WS, " "))
     return F.when(x.isNull() | (x == ""), x).otherwise(cleaned)
 
 
@@ -110,7 +127,7 @@ def norm_accession(c) -> Column:
     Remove all whitespace, Cyrillic 'А'/'а' -> Latin 'A', prefix 'A' when the
     text starts with a digit, require one letter then 5+ digits, upper-case.
     """
-    s = F.translate(F.regexp_replace(F.trim(_c(c)), r"\s+", ""), "Аа", "AA")
+    s = F.translate(F.regexp_replace(_c(c), PY_WS, ""), "Аа", "AA")
     s = F.when(s.rlike(r"^[0-9]"), F.concat(F.lit("A"), s)).otherwise(s)
     return F.when(s.rlike(r"^[A-Za-z][0-9]{5,}$"), F.upper(s))
 
@@ -126,7 +143,7 @@ def unescape_html(c) -> Column:
 def strip_html(c) -> Column:
     """Tags -> space, collapse whitespace, trim; NULL -> ''."""
     no_tags = F.regexp_replace(F.coalesce(_c(c), F.lit("")), r"<[^>]+>", " ")
-    return F.trim(F.regexp_replace(no_tags, r"\s+", " "))
+    return F.trim(F.regexp_replace(no_tags, PY_WS, " "))
 
 
 def tag_texts(c, tag: str = "span", sep: str = "; ") -> Column:
@@ -140,11 +157,11 @@ def tag_texts(c, tag: str = "span", sep: str = "; ") -> Column:
     return F.array_join(F.filter(cleaned, lambda t: t != ""), sep)
 
 
-def storage_urls(c, url_regex: str, must_contain=None) -> Column:
-    """URLs matching ``url_regex``, unescaped, kept when they contain
-    ``must_contain`` (a Column or text, e.g. ``/docs/{id}/``), first-seen order,
-    no repeats."""
-    found = F.regexp_extract_all(F.coalesce(_c(c), F.lit("")), F.lit(f"({url_regex})"), 1)
+def storage_urls(c, url_regex: str, group: int = 0, must_contain=None) -> Column:
+    """URLs matching ``url_regex`` (capture ``group``), unescaped, kept
+    when they contain ``must_contain`` (a Column or text, e.g. ``/docs/{id}/``),
+    first-seen order, no repeats."""
+    found = F.regexp_extract_all(F.coalesce(_c(c), F.lit("")), F.lit(url_regex), group)
     urls = F.transform(found, lambda u: unescape_html(u))
     if must_contain is not None:
         needle = must_contain if isinstance(must_contain, Column) else F.lit(must_contain)
@@ -179,6 +196,6 @@ def scalar_text(c) -> Column:
 def full_name(last, first, middle, fallback) -> Column:
     """Up to three name parts joined by a space, empties skipped;
     the fallback id text when nothing is left."""
-    parts = [F.nullif(F.trim(_c(p)), F.lit("")) for p in (last, first, middle)]
-    name = F.nullif(F.concat_ws(" ", *parts), F.lit(""))
+    parts = [F.nullif(_c(p), F.lit("")) for p in (last, first, middle)]
+    name = F.nullif(F.trim(F.concat_ws(" ", *parts)), F.lit(""))
     return F.coalesce(name, _c(fallback).cast("string"))

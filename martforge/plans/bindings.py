@@ -168,6 +168,35 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("id", "CAST(n_nationkey AS STRING)"),
         ("short_name", "n_name"),
     ]),
+    # CRM items: scalar, list, boolean and missing values; user and stage refs.
+    "crm_items": ("customer", [
+        ("id", "c_custkey"),
+        ("employee", "c_name"),
+        ("created_by", "c_nationkey"),
+        ("assigned_by_id", "CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_custkey % 120 END"),
+        ("stage_id", "c_mktsegment"),
+        ("kpe_document", ("array(c_mktsegment, CASE WHEN c_acctbal < 0 THEN NULL ELSE 'signed' END)",
+                          "[c_mktsegment, CASE WHEN c_acctbal < 0 THEN NULL ELSE 'signed' END]")),
+        ("kpe_size", "CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_acctbal > 5000 END"),
+        ("descriptions_count", "c_acctbal"),
+        ("dismissal_date",
+         "CASE WHEN c_custkey % 7 = 0 THEN 'not a date' WHEN c_custkey % 11 = 0 THEN NULL "
+         "ELSE CAST(DATE '2020-01-01' + CAST(c_custkey % 1000 AS INT) AS STRING) END"),
+    ]),
+    "crm_users": ("supplier", [
+        ("ID", "s_suppkey"),
+        ("LAST_NAME", "s_name"),
+        ("NAME", "CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE concat('N', CAST(s_nationkey AS STRING)) END"),
+        ("SECOND_NAME", "CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE 'M' END"),
+    ]),
+    # Web registry rows: task code (URL host), status text and page HTML.
+    "registry_rows": ("pages", [
+        ("seq", "page_id"),
+        ("code", "regexp_extract(url, '://([^/:#?]+)', 1)"),
+        ("status_text",
+         "CASE WHEN url LIKE 'https:%' THEN ' Новая ' WHEN url LIKE '%#%' THEN 'В работе' ELSE 'archived' END"),
+        ("html", "html"),
+    ]),
     # Ids already stored in the target.
     "stored_ids": ("lineitem", [
         ("accession", "concat('A', CAST(l_partkey * 7 AS STRING))"),
@@ -175,10 +204,18 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
 }
 
 
+def _expr(e, dialect: str) -> str:
+    """An expression is shared SQL text, or a (spark, duckdb) pair where the
+    two dialects spell a construct differently (array literals)."""
+    if isinstance(e, tuple):
+        return e[0] if dialect == "spark" else e[1]
+    return e
+
+
 def role_sql(role: str) -> str:
     """``SELECT <exprs> FROM <driver table>`` for a role (used by the oracle)."""
     table, cols = ROLES[role]
-    return "SELECT " + ", ".join(f"{e} AS {n}" for n, e in cols) + f" FROM {table}"
+    return "SELECT " + ", ".join(f"{_expr(e, 'duckdb')} AS {n}" for n, e in cols) + f" FROM {table}"
 
 
 def with_roles(*roles: str) -> str:
@@ -193,7 +230,7 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The role table as a lazy projection of its driver parquet."""
     table, cols = ROLES[name]
-    return load(spark, sf_dir, table).selectExpr(*[f"{e} AS {n}" for n, e in cols])
+    return load(spark, sf_dir, table).selectExpr(*[f"{_expr(e, 'spark')} AS {n}" for n, e in cols])
 
 
 class Tables:

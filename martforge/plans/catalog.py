@@ -599,3 +599,104 @@ WHERE entity IN {REFRESH_ENTITIES} AND loaded >= TIMESTAMP '{REFRESH_AS_OF}' - I
 def q_refresh_log(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return OP.refresh_log(t.etl_events, REFRESH_ENTITIES, REFRESH_AS_OF, 45)
+
+
+# ---- M16-M19 text, id sync, guide, registry ------------------------------------
+
+from martforge.functions.text import HTML_ENTITIES, PY_WS, STATUS_CODES  # noqa: E402
+from martforge.plans import registry as RG  # noqa: E402
+
+
+def _ws(x: str, repl: str = " ") -> str:
+    return f"regexp_replace({x}, '{PY_WS}', '{repl}', 'g')"
+
+
+def _strip_html_sql(x: str) -> str:
+    return f"trim({_ws(f'regexp_replace(coalesce({x}, {chr(39)}{chr(39)}), {chr(39)}<[^>]+>{chr(39)}, {chr(39)} {chr(39)}, {chr(39)}g{chr(39)})')})"
+
+
+def _unescape_sql(x: str) -> str:
+    out = x
+    for ent, ch in HTML_ENTITIES:
+        out = f"replace({out}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
+    return out
+
+
+def _tag_texts_sql(x: str, tag: str) -> str:
+    found = f"regexp_extract_all(coalesce({x}, ''), '(?is)<{tag}[^>]*>(.*?)</{tag}>', 1)"
+    return (f"array_to_string(list_filter(list_transform({found}, lambda t: {_strip_html_sql(_unescape_sql('t'))}), "
+            f"lambda t: t != ''), '; ')")
+
+
+@register("clean_comments", f"""
+SELECT doc_id, CASE WHEN text IS NULL OR text = '' THEN text
+                    ELSE trim({_ws("replace(text, '\"', '')")}) END AS text,
+       lang, source, n_chars
+FROM documents""")
+def q_clean_comments(spark, sf_dir):
+    return RG.mirror_clean(Tables(spark, sf_dir).documents, ["text"])
+
+
+_NORM = f"replace(replace({_ws('raw_id', '')}, 'А', 'A'), 'а', 'A')"
+
+
+@register("accession_sync", with_roles("id_lists", "stored_ids") + f""",
+n AS (SELECT CASE WHEN regexp_matches(s, '^[0-9]') THEN 'A' || s ELSE s END AS s FROM (SELECT {_NORM} AS s FROM id_lists) x),
+v AS (SELECT DISTINCT upper(s) AS accession FROM n WHERE regexp_matches(s, '^[A-Za-z][0-9]{{5,}}$'))
+SELECT accession FROM v WHERE accession NOT IN (SELECT accession FROM stored_ids WHERE accession IS NOT NULL)""")
+def q_accession_sync(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return RG.new_accessions(t.id_lists, t.stored_ids)
+
+
+GUIDE_STAGES = [("HOUSEHOLD", "Домохозяйства"), ("MACHINERY", "Оборудование"),
+                ("FURNITURE", "Мебель"), ("AUTOMOBILE", "Транспорт")]
+
+
+@register("dismissed_guide", with_roles("crm_items", "crm_users") + f""",
+users AS (SELECT ID, coalesce(nullif(trim(concat_ws(' ', nullif(LAST_NAME, ''), nullif(NAME, ''),
+                 nullif(SECOND_NAME, ''))), ''), CAST(ID AS VARCHAR)) AS full_name FROM crm_users),
+stages(STATUS_ID, NAME) AS (VALUES {", ".join(f"('{a}', '{b}')" for a, b in GUIDE_STAGES)})
+SELECT coalesce(TRY_CAST(CAST(i.id AS VARCHAR) AS BIGINT), 0) AS bx_id,
+       coalesce(trim(i.employee), '') AS employee_name,
+       coalesce(trim(coalesce(u1.full_name, CAST(i.created_by AS VARCHAR))), '') AS created_by,
+       coalesce(trim(coalesce(u2.full_name, CAST(i.assigned_by_id AS VARCHAR))), '') AS assigned_to,
+       coalesce(trim(coalesce(s.NAME, i.stage_id)), '') AS stage,
+       coalesce(array_to_string(list_filter(i.kpe_document, lambda x: x IS NOT NULL), '; '), '') AS kpe_document,
+       CASE WHEN i.kpe_size IS NULL THEN '' WHEN i.kpe_size THEN 'Да' ELSE 'Нет' END AS kpe_size,
+       coalesce(trim(CAST(i.descriptions_count AS VARCHAR)), '') AS descriptions_count,
+       coalesce(CAST(TRY_CAST(trim(i.dismissal_date) AS TIMESTAMP) AS DATE), DATE '1900-01-01') AS dismissal_date
+FROM crm_items i
+LEFT JOIN users u1 ON u1.ID = i.created_by
+LEFT JOIN users u2 ON u2.ID = i.assigned_by_id
+LEFT JOIN stages s ON s.STATUS_ID = i.stage_id""")
+def q_dismissed_guide(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    stages = spark.createDataFrame(GUIDE_STAGES, "STATUS_ID string, NAME string")
+    return RG.dismissed_guide(t.crm_items, t.crm_users, stages)
+
+
+_STATUS_CASE = ("CASE lower(st) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STATUS_CODES.items())
+                + " ELSE st END")
+_HREFS = "regexp_extract_all(coalesce(html, ''), 'href=\"([^\"''<>\\\\\\s]+)\"', 1)"
+_URLS = f"list_transform({_HREFS}, lambda u: {_unescape_sql('u')})"
+
+
+@register("web_registry", with_roles("registry_rows") + f""",
+r AS (
+  SELECT seq, {_strip_html_sql('code')} AS id, {_tag_texts_sql('html', 'title')} AS title,
+         {_tag_texts_sql('html', 'h1')} AS heading,
+         trim({_strip_html_sql('status_text')}) AS st,
+         {_tag_texts_sql('html', 'li')} AS documents_dicom,
+         {_URLS} AS urls, {_strip_html_sql('html')} AS body_text
+  FROM registry_rows),
+k AS (
+  SELECT *, row_number() OVER (PARTITION BY coalesce(nullif(id, ''), md5(concat_ws('|', id, title, heading, st,
+         documents_dicom, array_to_string(urls, ' '), body_text))) ORDER BY seq) AS rn
+  FROM r)
+SELECT id, title, heading, {_STATUS_CASE} AS status, documents_dicom,
+       array_to_string(list_filter(urls, lambda u, i: list_position(urls, u) = i), '; ') AS documents_pdf,
+       body_text
+FROM k WHERE rn = 1""")
+def q_web_registry(spark, sf_dir):
+    return RG.web_registry(Tables(spark, sf_dir).registry_rows)
