@@ -23,20 +23,10 @@ DATE_FLOOR = _dt.date(1900, 1, 1)
 OPEN_END = _dt.date(2099, 12, 31)
 OPEN_END_SOURCE = _dt.date(2299, 12, 31)
 
-# Formats tried, in order, by the best-effort parser (ISO with 'T' or space,
-# optional fraction, optional zone; then day-first dotted forms).
-BEST_EFFORT_FORMATS = (
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss.SSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm:ss.SSS",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
+# Day-first formats tried, in order, after the ISO forms (ISO date, date-time
+# with 'T' or space, optional fraction, optional zone offset) that the
+# built-in cast already understands.
+DAY_FIRST_FORMATS = (
     "dd.MM.yyyy HH:mm:ss",
     "dd.MM.yyyy HH:mm",
     "dd.MM.yyyy",
@@ -110,10 +100,14 @@ def fix_sec60(text) -> Column:
     return F.regexp_replace(_c(text), r":(60)(\.\d+)?", ":59.000")
 
 
-def parse_ts(text, formats=BEST_EFFORT_FORMATS) -> Column:
-    """Best-effort parse; NULL when no format fits (never raises)."""
+def parse_ts(text, formats=DAY_FIRST_FORMATS) -> Column:
+    """Best-effort parse to UTC wall time; NULL when nothing fits (never
+    raises). ISO forms go through the built-in cast (a zone offset, when
+    present, is applied); day-first forms are tried after it. ``coalesce``
+    stops at the first hit, so the common ISO case costs one parse."""
     t = F.trim(_c(text).cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    return F.coalesce(t.try_cast("timestamp"),
+                      *[F.try_to_timestamp(t, F.lit(f)) for f in formats]).cast("timestamp_ntz")
 
 
 def clamp_ts(ts, floor=TS_FLOOR, ceil=TS_CEIL) -> Column:

@@ -77,6 +77,7 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
     # AI reports (one per described line): raw / computed JSON text; raw may
     # be the literal 'null'; a few sent times carry a ':60' leap second.
     "reports": ("lineitem", [
+        ("report_key", "l_orderkey * 10 + l_linenumber"),
         ("app_source", "CASE WHEN l_returnflag = 'A' AND l_linenumber = 7 THEN 'PACS' ELSE 'CDS' END"),
         ("raw_data",
          "CASE WHEN l_linestatus = 'O' AND l_linenumber = 1 THEN 'null' ELSE concat("

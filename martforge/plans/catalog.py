@@ -11,6 +11,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martforge.plans import conclusions as C
 from martforge.plans.bindings import Tables, with_roles
@@ -700,3 +701,83 @@ SELECT id, title, heading, {_STATUS_CASE} AS status, documents_dicom,
 FROM k WHERE rn = 1""")
 def q_web_registry(spark, sf_dir):
     return RG.web_registry(Tables(spark, sf_dir).registry_rows)
+
+
+# ---- M20 and operator-level keys -------------------------------------------------
+
+from martforge.plans import checks as CK  # noqa: E402
+
+
+@register("duplicate_audit", with_roles("results") + """
+SELECT payment_source, count(*) AS total_rows,
+       count(DISTINCT (coalesce(CAST(accession_number AS VARCHAR), chr(0)), coalesce(CAST(line_no AS VARCHAR), chr(0)))) AS distinct_keys,
+       count(*) - count(DISTINCT (coalesce(CAST(accession_number AS VARCHAR), chr(0)), coalesce(CAST(line_no AS VARCHAR), chr(0)))) AS duplicates
+FROM results GROUP BY payment_source""")
+def q_duplicate_audit(spark, sf_dir):
+    r = Tables(spark, sf_dir).results.select(
+        "payment_source", F.col("accession_number").cast("string").alias("a"), F.col("line_no").cast("string").alias("l"))
+    return AI.duplicate_audit(r, ["a", "l"], by=["payment_source"])
+
+
+@register("keep_latest_ties", with_roles("results") + """
+SELECT accession_number, line_no, diagnostic_code, doc_created FROM (
+  SELECT *, rank() OVER (PARTITION BY accession_number ORDER BY doc_created DESC NULLS LAST) AS rk FROM results) x
+WHERE rk = 1""")
+def q_keep_latest_ties(spark, sf_dir):
+    r = Tables(spark, sf_dir).results.select("accession_number", "line_no", "diagnostic_code", "doc_created")
+    return AI.keep_latest_version(r, ["accession_number"], "doc_created")
+
+
+@register("status_chain", """
+SELECT conv_id, array_to_string(list_transform(list_sort(list({'t': turn, 's': role})), lambda e: e.s), ' -> ') AS status_chain,
+       count(*) FILTER (WHERE role = 'assistant') AS cnt_assistant,
+       min(turn) FILTER (WHERE role = 'user') AS first_user, max(turn) FILTER (WHERE role = 'user') AS last_user,
+       count(*) AS n_changes
+FROM conversations GROUP BY conv_id""")
+def q_status_chain(spark, sf_dir):
+    return CK.status_chains(Tables(spark, sf_dir).conversations, "conv_id", "turn", "role")
+
+
+@register("value_at_first", """
+SELECT user_id, arg_min(event_type, (ts, event_id)) FILTER (WHERE event_type IS NOT NULL AND ts IS NOT NULL) AS first_value,
+       min(ts) AS first_time, array_to_string(list_sort(list_distinct(list(event_type))), ', ') AS all_values
+FROM events GROUP BY user_id""")
+def q_value_at_first(spark, sf_dir):
+    return CK.first_values(Tables(spark, sf_dir).events, "user_id", "ts", "event_type", "event_id")
+
+
+@register("time_arithmetic", f"""
+WITH x AS (SELECT event_id, ts AS a, ts + INTERVAL 1 MICROSECOND * ((event_id * 7919) % 400000000 - 100000000) AS b
+           FROM events),
+y AS (SELECT event_id, a, b, date_diff('second', a, b) AS s FROM x)
+SELECT event_id, s AS seconds, CAST(trunc(s / 3600) AS BIGINT) AS hours,
+       CAST(trunc(date_diff('second', date_trunc('minute', a), date_trunc('minute', b)) / 60) AS BIGINT) AS minute_boundaries,
+       CAST(round_even(s / 60.0, 0) AS BIGINT) AS minutes_elapsed, s / 60.0 AS minutes_float,
+       printf('%02d:%02d:%02d', abs(s) // 3600, (abs(s) % 3600) // 60, abs(s) % 60) AS hhmmss,
+       printf('%d:%02d:%02d', r // 3600, (r % 3600) // 60, r % 60) AS hms
+FROM (SELECT *, CAST(round_even(abs(s) / 7.0, 0) AS BIGINT) AS r FROM y) z""")
+def q_time_arithmetic(spark, sf_dir):
+    e = Tables(spark, sf_dir).events.selectExpr(
+        "event_id", "ts AS a", "ts + INTERVAL 1 MICROSECOND * ((event_id * 7919) % 400000000 - 100000000) AS b")
+    return CK.time_arithmetic(e, "event_id", "a", "b")
+
+
+_PARSE_KEYS = ("pumStudyReadyForAiTime", "pumReportSentTime", "pumReportLatestDicomInstanceTime")
+
+
+def _parsed_sql() -> str:
+    cols = []
+    for k in _PARSE_KEYS:
+        raw = JTEXT("computed_data", k)
+        fixed = _fix60(raw)
+        cols += [f"TRY_CAST({raw} AS TIMESTAMP) AS {k}_raw",
+                 f"TRY_CAST({fixed} AS TIMESTAMP) AS {k}_ts",
+                 f"coalesce(least(greatest(TRY_CAST({fixed} AS TIMESTAMP), TIMESTAMP '1971-01-01 00:00:00'), "
+                 f"TIMESTAMP '2099-12-31 23:59:59'), TIMESTAMP '1971-01-01 00:00:00') AS {k}_clamped",
+                 f"coalesce(CAST(TRY_CAST({fixed} AS TIMESTAMP) AS DATE), DATE '1900-01-01') AS {k}_date"]
+    return with_roles("reports") + "SELECT report_key, " + ", ".join(cols) + " FROM reports"
+
+
+@register("best_effort_parse", _parsed_sql())
+def q_best_effort_parse(spark, sf_dir):
+    return CK.parsed_times(Tables(spark, sf_dir).reports, ["report_key"], _PARSE_KEYS)
