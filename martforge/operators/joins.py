@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martforge.functions.time import OPEN_END
@@ -178,3 +178,60 @@ def resolve(df: DataFrame, lookup: DataFrame, id_col: str, lk_id: str, lk_name:
     lk = lookup.select(F.col(lk_id).alias("_r_id"), F.col(lk_name).alias("_r_name")).dropDuplicates(["_r_id"])
     j = df.join(lk, df[id_col] == lk["_r_id"], "left")
     return j.withColumn(out, F.coalesce(F.col("_r_name"), F.col(id_col).cast("string"))).drop("_r_id", "_r_name")
+
+
+def nearest_by_time(left: DataFrame, right: DataFrame, keys, lt: str, rt: str, rid: str,
+                    bucket_seconds: int = 3600) -> DataFrame:
+    """Nearest right row in time within the same keys, for each distinct
+    (keys, lt) of ``left``; ties go to the smaller ``rid``.
+
+    Returns (keys, lt, near_id, near_time, near_dist_s) with NULLs when the
+    key has no right rows. Never forms all pairs within a key:
+
+    * rows are cut into time buckets of ``bucket_seconds``; inside a
+      (key, bucket) two running windows (ascending and descending) give the
+      last right row at or before and the first right row at or after each
+      left time;
+    * a per-(key, bucket) summary (last/first right row of the bucket) with a
+      window over buckets carries the neighbour from earlier/later buckets.
+      That window has one row per touched bucket, so its size depends on the
+      time span, not on how many rows a hot key holds.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    b = lambda c: F.floor(F.unix_micros(F.to_timestamp(F.col(c))) / F.lit(bucket_seconds * 1_000_000))
+    L = left.select(*keys, F.col(lt).alias("_t")).where(F.col("_t").isNotNull()).distinct() \
+        .withColumn("_b", b("_t"))
+    R = right.select(*keys, F.col(rt).alias("_t"), F.col(rid).alias("_rid")).where(F.col("_t").isNotNull()) \
+        .withColumn("_b", b("_t"))
+    last_key = F.struct(F.col("_t").alias("t"), (-F.col("_rid")).alias("nr"))   # max -> latest, then min id
+    first_key = F.struct(F.col("_t").alias("t"), F.col("_rid").alias("r"))     # min -> earliest, then min id
+
+    # bucket summaries and carries from neighbouring buckets
+    summ = R.groupBy(*keys, "_b").agg(F.max(last_key).alias("_bl"), F.min(first_key).alias("_bf"))
+    touched = L.select(*keys, "_b").distinct().join(summ, [*keys, "_b"], "full")
+    wb = Window.partitionBy(*keys).orderBy("_b")
+    carry = touched.select(
+        *keys, "_b",
+        F.max("_bl").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev_c"),
+        F.min("_bf").over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("_next_c"))
+
+    # inside the bucket: right rows sort before left rows at the same time
+    u = (L.select(*keys, "_b", "_t", F.lit(None).cast("long").alias("_rid"), F.lit(1).alias("_is_l"))
+         .unionByName(R.select(*keys, "_b", "_t", "_rid", F.lit(0).alias("_is_l"))))
+    w_up = Window.partitionBy(*keys, "_b").orderBy("_t", "_is_l").rowsBetween(Window.unboundedPreceding, 0)
+    w_dn = Window.partitionBy(*keys, "_b").orderBy(F.col("_t").desc(), "_is_l").rowsBetween(Window.unboundedPreceding, 0)
+    is_r = F.col("_is_l") == 0
+    inb = u.select(*keys, "_b", "_t", "_is_l",
+                   F.max(F.when(is_r, last_key)).over(w_up).alias("_prev_i"),
+                   F.min(F.when(is_r, first_key)).over(w_dn).alias("_next_i")).where(F.col("_is_l") == 1)
+    j = inb.join(carry, [*keys, "_b"], "left")
+    prev = F.coalesce(F.col("_prev_i"), F.col("_prev_c"))
+    nxt = F.coalesce(F.col("_next_i"), F.col("_next_c"))
+    secs_ = lambda a, c: F.unix_seconds(F.to_timestamp(a)) - F.unix_seconds(F.to_timestamp(c))
+    cand_p = F.when(prev.isNotNull(), F.struct(secs_(F.col("_t"), prev["t"]).alias("d"),
+                                               (-prev["nr"]).alias("id"), prev["t"].alias("t")))
+    cand_n = F.when(nxt.isNotNull(), F.struct(secs_(nxt["t"], F.col("_t")).alias("d"),
+                                              nxt["r"].alias("id"), nxt["t"].alias("t")))
+    best = F.least(cand_p, cand_n)
+    return j.select(*keys, F.col("_t").alias(lt), best["id"].alias("near_id"), best["t"].alias("near_time"),
+                    best["d"].alias("near_dist_s"))

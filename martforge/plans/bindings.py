@@ -58,6 +58,8 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("describe_start",
          "l_shipdate - INTERVAL 1 SECOND * (CAST(l_quantity AS INT) * 450 + l_linenumber * 3 - 20)"),
         ("amount", "l_extendedprice"),
+        ("patient_key", "CAST(l_suppkey AS STRING)"),
+        ("job_id", "l_partkey % 3"),
     ]),
     # Units (describing departments): id -> short name.
     "units": ("supplier", [
@@ -198,6 +200,18 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
          "CASE WHEN url LIKE 'https:%' THEN ' Новая ' WHEN url LIKE '%#%' THEN 'В работе' ELSE 'archived' END"),
         ("html", "html"),
     ]),
+    # Clinical events per (patient, doctor job) and their status changes.
+    "clinical_events": ("orders", [
+        ("event_id", "o_orderkey"),
+        ("patient_id", "o_custkey % 100"),
+        ("job_id", "o_orderkey % 3"),
+    ]),
+    "status_changes": ("lineitem", [
+        ("event_id", "l_orderkey"),
+        ("change_time", "l_shipdate + INTERVAL 1 HOUR * l_linenumber"),
+        ("status",
+         "CASE WHEN l_linenumber IN (2, 5) THEN 'RUNNING' WHEN l_returnflag = 'R' THEN 'DEFERRED' ELSE 'DONE' END"),
+    ]),
     # Ids already stored in the target.
     "stored_ids": ("lineitem", [
         ("accession", "concat('A', CAST(l_partkey * 7 AS STRING))"),

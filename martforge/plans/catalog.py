@@ -781,3 +781,58 @@ def _parsed_sql() -> str:
 @register("best_effort_parse", _parsed_sql())
 def q_best_effort_parse(spark, sf_dir):
     return CK.parsed_times(Tables(spark, sf_dir).reports, ["report_key"], _PARSE_KEYS)
+
+
+# ---- M6 overdue monitoring ----------------------------------------------------------
+
+from martforge.plans import overdue as OV  # noqa: E402
+
+
+@register("overdue_monitoring", with_roles("results", "pin_tasks", "clinical_events", "status_changes") + f""",
+pins AS (SELECT accession_number, {LOCAL('max(task_pin_end_date)')} AS max_pin_date FROM pin_tasks
+         WHERE accession_number IS NOT NULL GROUP BY accession_number),
+b0 AS (SELECT r.*, p.max_pin_date, coalesce(p.max_pin_date, {LOCAL('r.conduct_date')}) AS effective_start_date,
+              {LOCAL('r.doc_created')} AS doc_local
+       FROM results r LEFT JOIN pins p ON r.accession_number = p.accession_number
+       WHERE r.accession_number IS NOT NULL AND {LOCAL_DATE('r.doc_created')} BETWEEN DATE '{LO}' AND DATE '{HI}'),
+b AS (SELECT *, CAST(trunc(date_diff('second', effective_start_date, doc_local) / 3600) AS BIGINT) AS hours_overdue
+      FROM b0),
+b2 AS (SELECT * FROM b WHERE hours_overdue >= 24),
+ch AS (SELECT * FROM status_changes WHERE change_time BETWEEN TIMESTAMP '{LO}' - INTERVAL 14 DAY
+                                           AND TIMESTAMP '{HI} 23:59:59'),
+ce AS (SELECT CAST(patient_id AS VARCHAR) AS p, CAST(job_id AS VARCHAR) AS j, event_id FROM clinical_events
+       WHERE event_id IN (SELECT DISTINCT event_id FROM ch)),
+st AS (SELECT event_id,
+              array_to_string(list_transform(list_sort(list({{'t': change_time, 's': status}})), lambda e: e.s), ' -> ') AS status_chain,
+              count(*) FILTER (WHERE status = 'DEFERRED') AS cnt_deferred,
+              min(change_time) FILTER (WHERE status = 'RUNNING') + INTERVAL 3 HOUR AS first_running,
+              max(change_time) FILTER (WHERE status = 'RUNNING') + INTERVAL 3 HOUR AS last_running
+       FROM ch GROUP BY event_id),
+pairs AS (
+  SELECT b2.*, ce.event_id AS eid, st.status_chain, st.cnt_deferred, st.first_running, st.last_running
+  FROM b2 LEFT JOIN ce ON ce.p = CAST(b2.patient_key AS VARCHAR) AND ce.j = CAST(b2.job_id AS VARCHAR)
+  LEFT JOIN st ON st.event_id = ce.event_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY accession_number ORDER BY
+           CASE WHEN eid IS NULL THEN 1 ELSE 0 END,
+           CASE WHEN first_running IS NOT NULL THEN abs(date_diff('second', first_running, doc_local)) ELSE 0 END,
+           eid, line_no, emp_id, diagnostic_code, payment_source, device_type, conduct_date) AS rn
+  FROM pairs)
+SELECT accession_number, patient_key AS patient_id, CAST(emp_id AS VARCHAR) AS assignment_result_emp_id,
+       payment_source, device_type, CAST(diagnostic_code AS VARCHAR) AS diagnostic_code,
+       type_code AS assessment_result_type_code, describe_unit_id AS assignment_describe_mu_id,
+       {LOCAL('conduct_date')} AS conduct_date, effective_start_date,
+       CASE WHEN max_pin_date IS NOT NULL THEN 1 ELSE 0 END AS has_pin,
+       doc_local AS assignment_result_doc_created_date, hours_overdue,
+       CASE WHEN hours_overdue < 24 THEN 'Менее 24 часов' WHEN hours_overdue < 48 THEN 'Более 24 часов'
+            ELSE 'Более 48 часов' END AS time_interval,
+       CAST(eid AS VARCHAR) AS event_id, first_running, last_running,
+       CASE WHEN first_running IS NOT NULL AND last_running IS NOT NULL THEN
+            printf('%02d:%02d:%02d', date_diff('second', first_running, last_running) // 3600,
+                   (date_diff('second', first_running, last_running) % 3600) // 60,
+                   date_diff('second', first_running, last_running) % 60) END AS deferred_time_hhmmss,
+       status_chain, coalesce(cnt_deferred, 0) AS cnt_deferred
+FROM ranked WHERE rn = 1""")
+def q_overdue_monitoring(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return OV.overdue_monitoring(t.results, t.pin_tasks, t.clinical_events, t.status_changes, AS_OF, DAYS)
