@@ -39,6 +39,7 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("patient_age", "CAST(floor(o_totalprice / 10000) AS BIGINT)"),
         ("research_id", "CAST(floor(o_totalprice / 50000) AS BIGINT)"),
         ("ae_title", "concat('AE', CAST(o_custkey % 40 AS STRING))"),
+        ("assignment_id", "o_orderkey"),
     ]),
     # Many rows per accession (one per described service line).
     "results": ("lineitem", [
@@ -139,6 +140,37 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("accession_number", "c_custkey * 7"),
         ("ae_title", "concat('AE', CAST(c_custkey % 40 AS STRING))"),
         ("research_id", "CAST(c_nationkey % 6 AS BIGINT)"),
+        ("assignment_signed_date", "TIMESTAMP '2001-10-25 00:00:00' + INTERVAL 1 HOUR * (c_custkey % 300)"),
+    ]),
+    # Undescribed-study queue events: several per accession, some DEL_ASSIGNMENT.
+    "undescribed": ("lineitem", [
+        ("accession_number", "l_orderkey"),
+        ("status", "l_linestatus"),
+        ("reading_type_code", "l_returnflag"),
+        ("action", "CASE WHEN l_linenumber >= 6 AND l_returnflag = 'R' THEN 'DEL_ASSIGNMENT' ELSE concat('ACT', CAST(l_linenumber AS STRING)) END"),
+        ("cito", "CASE WHEN l_discount > 0.05 THEN '1' ELSE '0' END"),
+        ("create_date", "l_shipdate + INTERVAL 1 MINUTE * l_partkey"),
+    ]),
+    # Staff: doctor jobs and employee records with validity dates (2299-12-31 = open).
+    "doctors": ("supplier", [
+        ("doctor_id", "s_suppkey"),
+        ("medical_employee_id", "s_nationkey"),
+        ("sdate", "DATE '1990-01-01' + CAST(s_suppkey AS INT)"),
+        ("edate", "CASE WHEN s_suppkey % 5 = 0 THEN DATE '2299-12-31' ELSE DATE '1996-01-01' + CAST(s_suppkey * 20 AS INT) END"),
+        ("cur", "CAST(s_suppkey % 2 AS INT)"),
+    ]),
+    "employees": ("nation", [
+        ("medical_employee_id", "n_nationkey"),
+        ("medical_employee_fio_obf", "n_name"),
+        ("sdate", "DATE '1995-01-01' + CAST(n_regionkey * 200 AS INT)"),
+        ("edate", "CASE WHEN n_nationkey % 4 = 0 THEN DATE '2099-12-31' ELSE DATE '2000-06-01' + CAST(n_nationkey * 30 AS INT) END"),
+        ("cur", "CAST(n_nationkey % 2 AS INT)"),
+    ]),
+    "task_lists": ("lineitem", [
+        ("assignment_id", "l_orderkey"),
+        ("job_execution_id", "l_suppkey"),
+        ("task_status_code", "l_linestatus"),
+        ("personal_task_list_updated", "l_shipdate + INTERVAL 1 MINUTE * (l_linenumber * 13 + l_partkey % 7)"),
     ]),
     # Raw re-shoot id texts (spaces, Cyrillic letter, no letter, too short, junk).
     "id_lists": ("orders", [

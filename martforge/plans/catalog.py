@@ -836,3 +836,83 @@ FROM ranked WHERE rn = 1""")
 def q_overdue_monitoring(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return OV.overdue_monitoring(t.results, t.pin_tasks, t.clinical_events, t.status_changes, AS_OF, DAYS)
+
+
+# ---- M8 undescribed queue ------------------------------------------------------
+
+from martforge.plans import queue as QU  # noqa: E402
+
+QUEUE_AS_OF = dt.date(2001, 11, 4)
+QUEUE_EXEMPT = (3,)
+
+
+@register("undescribed_queue", with_roles("examinations", "results", "pin_tasks", "trauma", "undescribed",
+                                          "task_lists", "doctors", "employees", "benefits") + f""",
+ear AS (SELECT accession_number, emp_id AS eris_result_emp_id FROM (
+          SELECT *, row_number() OVER (PARTITION BY accession_number ORDER BY doc_created DESC NULLS LAST,
+                    emp_id, line_no, diagnostic_code) AS rn
+          FROM results WHERE accession_number IS NOT NULL) x WHERE rn = 1),
+ap AS (SELECT DISTINCT accession_number FROM pin_tasks WHERE task_pin_end_date IS NULL AND accession_number IS NOT NULL),
+lp AS (SELECT accession_number, task_pin_status, task_pin_end_date FROM (
+         SELECT *, row_number() OVER (PARTITION BY accession_number
+                   ORDER BY task_pin_end_date DESC, task_pin_status, pin_id) AS rn
+         FROM pin_tasks WHERE task_pin_end_date IS NOT NULL AND accession_number IS NOT NULL) x WHERE rn = 1),
+tex AS (SELECT DISTINCT accession_number FROM trauma WHERE accession_number IS NOT NULL),
+us AS (SELECT accession_number, status, reading_type_code, action, cito FROM (
+         SELECT *, row_number() OVER (PARTITION BY accession_number
+                   ORDER BY CASE WHEN action = 'DEL_ASSIGNMENT' THEN 0 ELSE 1 END, create_date DESC NULLS LAST,
+                            status, reading_type_code, action, cito) AS rn
+         FROM undescribed WHERE accession_number IS NOT NULL) x WHERE rn = 1),
+mei AS (SELECT medical_employee_id, medical_employee_fio_obf, cur, min(sdate) AS mei_sdate, max(edate) AS mei_edate
+        FROM employees WHERE edate >= DATE '2023-01-01' GROUP BY medical_employee_id, medical_employee_fio_obf, cur),
+dd AS (SELECT doctor_id, medical_employee_id,
+              CASE WHEN edate IS NULL OR edate = DATE '2299-12-31' THEN DATE '2099-12-31' ELSE edate END AS doc_edate
+       FROM doctors WHERE edate >= DATE '2023-01-01'),
+grm AS (SELECT dd.doctor_id, min(mei.medical_employee_fio_obf) AS fio FROM dd JOIN mei
+          ON dd.medical_employee_id = mei.medical_employee_id AND dd.doc_edate BETWEEN mei.mei_sdate AND mei.mei_edate
+        GROUP BY dd.doctor_id),
+br AS (SELECT DISTINCT assignment_id, accession_number FROM examinations WHERE assignment_id IS NOT NULL),
+lt AS (SELECT accession_number, job_execution_id FROM (
+         SELECT tl.*, br.accession_number, row_number() OVER (PARTITION BY br.accession_number
+                   ORDER BY tl.personal_task_list_updated DESC NULLS LAST, tl.job_execution_id) AS rn
+         FROM task_lists tl LEFT JOIN br ON tl.assignment_id = br.assignment_id
+         WHERE br.accession_number IS NOT NULL) x WHERE rn = 1),
+ltf AS (SELECT lt.accession_number, grm.fio AS task_list_fio FROM lt LEFT JOIN grm ON lt.job_execution_id = grm.doctor_id),
+per AS (SELECT DISTINCT patient_id, start_date, coalesce(end_date, DATE '2099-12-31') AS end_date, benefit_name
+        FROM benefits WHERE benefit_code IN ('940', '941') AND patient_id IS NOT NULL),
+pairs AS (SELECT DISTINCT t.ae_title, e.research_id FROM trauma t JOIN examinations e ON t.accession_number = e.accession_number
+          WHERE t.ae_title IS NOT NULL AND e.research_id IS NOT NULL AND e.research_id NOT IN ({', '.join(map(str, QUEUE_EXEMPT))})
+            AND CAST(t.assignment_signed_date AS DATE) >= DATE '{QUEUE_AS_OF}' - INTERVAL 14 DAY),
+e AS (
+  SELECT e.*, ear.eris_result_emp_id,
+         CASE WHEN ap.accession_number IS NOT NULL THEN 'находится в ПИНе' ELSE 'не в ПИНе' END AS pin_status,
+         lp.task_pin_end_date, lp.task_pin_status,
+         CASE WHEN tex.accession_number IS NOT NULL THEN 'Травма' ELSE 'Не травма' END AS is_trauma_exam,
+         us.status AS undescr_status, us.reading_type_code AS undescr_reading_type, us.action AS undescr_action,
+         us.cito AS undescr_cito, ltf.task_list_fio,
+         (SELECT arg_min(p.benefit_name, (-(p.start_date - DATE '1970-01-01'), p.benefit_name)) FROM per p
+           WHERE p.patient_id = e.patient_id AND CAST(e.conduct_date AS DATE) BETWEEN p.start_date AND p.end_date)
+           AS llo_benefit_status
+  FROM examinations e
+  LEFT JOIN ear ON e.accession_number = ear.accession_number
+  LEFT JOIN ap ON e.accession_number = ap.accession_number
+  LEFT JOIN lp ON e.accession_number = lp.accession_number
+  LEFT JOIN tex ON e.accession_number = tex.accession_number
+  LEFT JOIN us ON e.accession_number = us.accession_number
+  LEFT JOIN ltf ON e.accession_number = ltf.accession_number
+  WHERE CAST(e.conduct_date AS DATE) >= DATE '{LO}' AND e.ae_title IS NOT NULL AND e.accession_number IS NOT NULL
+    AND e.assignment_status != 'F'
+    AND NOT EXISTS (SELECT 1 FROM pairs p WHERE p.ae_title = e.ae_title AND p.research_id = e.research_id)),
+q AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY accession_number ORDER BY conduct_date,
+                     eris_result_emp_id, task_list_fio, undescr_status) AS rn FROM e) x
+      WHERE rn = 1 AND is_trauma_exam != 'Травма' AND (undescr_action IS NULL OR undescr_action != 'DEL_ASSIGNMENT'))
+SELECT accession_number, conduct_date, patient_id, ae_title, research_id, assignment_status, eris_result_emp_id,
+       pin_status, task_pin_end_date, task_pin_status, is_trauma_exam, undescr_status, undescr_reading_type,
+       undescr_action, undescr_cito, task_list_fio, llo_benefit_status,
+       max(conduct_date) OVER () AS meta_load_date
+FROM q""")
+def q_undescribed_queue(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return QU.undescribed_queue(t.examinations, t.results, t.pin_tasks, t.trauma, t.undescribed, t.task_lists,
+                                t.doctors, t.employees, t.benefits, dt.date.fromisoformat(LO), QUEUE_AS_OF, "F",
+                                exempt=QUEUE_EXEMPT)
