@@ -1,0 +1,5 @@
+"""Structured Streaming jobs."""
+
+from martforge.streaming.jobs import dedupe_event_log, stream_event_log, stream_ids
+
+__all__ = ["dedupe_event_log", "stream_event_log", "stream_ids"]
