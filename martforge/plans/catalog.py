@@ -916,3 +916,85 @@ def q_undescribed_queue(spark, sf_dir):
     return QU.undescribed_queue(t.examinations, t.results, t.pin_tasks, t.trauma, t.undescribed, t.task_lists,
                                 t.doctors, t.employees, t.benefits, dt.date.fromisoformat(LO), QUEUE_AS_OF, "F",
                                 exempt=QUEUE_EXEMPT)
+
+
+# ---- load policies and streaming, run end to end into scratch storage ----------------
+
+import uuid  # noqa: E402
+
+from martforge.session import scratch_path  # noqa: E402
+from martforge.sinks import policies as K  # noqa: E402
+from martforge.streaming import jobs as R  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:10]}")
+
+
+@register("window_replace", ORACLE["unit_summary"])
+def q_window_replace(spark, sf_dir):
+    """K1 twice (full window, then a reload of the later months) and read the
+    target back. The demo target spans seven years, so it is partitioned by
+    conduct month rather than by day (about 80 folders instead of 2,500)."""
+    path = _scratch(spark, "unit_summary")
+    lo, hi = dt.date(1994, 1, 1), AS_OF
+
+    def extract():
+        return q_unit_summary(spark, sf_dir).withColumn("conduct_month", F.trunc("conduct_date", "MM"))
+    K.replace_window(extract(), path, "conduct_month", lo, hi)
+    sub_lo = dt.date(1999, 1, 1)
+    K.replace_window(extract().where(F.col("conduct_month") >= F.lit(sub_lo)), path, "conduct_month", sub_lo, hi)
+    return spark.read.parquet(path).drop("conduct_month")
+
+
+@register("insert_unseen", with_roles("id_lists", "stored_ids") + f""",
+n AS (SELECT CASE WHEN regexp_matches(s, '^[0-9]') THEN 'A' || s ELSE s END AS s FROM (SELECT {_NORM} AS s FROM id_lists) x),
+v AS (SELECT DISTINCT upper(s) AS accession FROM n WHERE regexp_matches(s, '^[A-Za-z][0-9]{{5,}}$'))
+SELECT accession FROM stored_ids
+UNION ALL
+SELECT accession FROM v WHERE accession NOT IN (SELECT accession FROM stored_ids WHERE accession IS NOT NULL)""")
+def q_insert_unseen(spark, sf_dir):
+    """K5: the store starts as the stored ids; the new normalised ids are inserted twice
+    (the second insert adds nothing)."""
+    t = Tables(spark, sf_dir)
+    path = _scratch(spark, "ids")
+    t.stored_ids.write.parquet(path)
+    new = t.id_lists.select(RG.norm_accession("raw_id").alias("accession")).where(F.col("accession").isNotNull())
+    K.insert_unseen(new, path, "accession")
+    K.insert_unseen(new, path, "accession")
+    return spark.read.parquet(path)
+
+
+@register("schema_evolve", with_roles("examinations") + """
+SELECT accession_number, conduct_date, '' AS research_kind, 0 AS patient_age FROM examinations
+UNION ALL
+SELECT accession_number, conduct_date, research_kind, patient_age FROM examinations WHERE accession_number IS NOT NULL""")
+def q_schema_evolve(spark, sf_dir):
+    """K6: stored rows lack two columns that the new extract has; defaults fill them."""
+    e = Tables(spark, sf_dir).examinations
+    old = e.select("accession_number", "conduct_date")
+    new = e.where(F.col("accession_number").isNotNull()).select("accession_number", "conduct_date",
+                                                                "research_kind", "patient_age")
+    return K.align_schema(old, new)
+
+
+@register("stream_event_dedupe", with_roles("etl_events") + "SELECT DISTINCT entity, loaded FROM etl_events")
+def q_stream_event_dedupe(spark, sf_dir):
+    """R2: the event log arrives twice as files; the stream keeps one row per (entity, loaded)."""
+    src, dst, ck = (_scratch(spark, n) for n in ("ev-src", "ev-log", "ev-ck"))
+    ev = Tables(spark, sf_dir).etl_events.select("entity", F.col("loaded").cast("timestamp").alias("loaded"))
+    ev.write.parquet(src)
+    ev.write.mode("append").parquet(src)
+    R.stream_event_log(spark, src, dst, ck, ev.schema).awaitTermination()
+    return spark.read.parquet(dst).select("entity", F.col("loaded").cast("timestamp_ntz").alias("loaded"))
+
+
+@register("stream_id_sync", ORACLE["accession_sync"].replace(
+    "SELECT accession FROM v WHERE accession NOT IN (SELECT accession FROM stored_ids WHERE accession IS NOT NULL)",
+    "SELECT accession FROM v"))
+def q_stream_id_sync(spark, sf_dir):
+    """Raw id files arrive in a folder; the stream normalises and stores each id once."""
+    src, dst, ck = (_scratch(spark, n) for n in ("ids-src", "ids-dst", "ids-ck"))
+    Tables(spark, sf_dir).id_lists.repartition(8).write.option("header", False).csv(src)
+    R.stream_ids(spark, src, dst, ck, glob="*.csv", max_files=2).awaitTermination()
+    return spark.read.parquet(dst)

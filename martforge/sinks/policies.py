@@ -103,7 +103,10 @@ def replace_window(df: DataFrame, path: str, date_col: str, lo: dt.date, hi: dt.
     """
     spark = df.sparkSession
     staged = _staging(path)
-    df.write.mode("overwrite").partitionBy(date_col).parquet(staged)
+    # range-partition on the day: each writer task holds a few consecutive
+    # days (few files per day folder) and a very large day is still split
+    # over several tasks, unlike a hash repartition on the day.
+    df.repartitionByRange(date_col).write.mode("overwrite").partitionBy(date_col).parquet(staged)
     days = partition_values(spark, staged, date_col)
     if skip_empty and not days:
         delete(spark, staged)
