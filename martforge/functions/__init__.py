@@ -4,7 +4,7 @@ from martforge.functions.buckets import (age_group, age_group2, case, default, n
                                          sla_bucket)
 from martforge.functions.coerce import coerce
 from martforge.functions.text import (bool_text, clean_text, flag_text, full_name, json_int,
-                                      json_pick, json_text, map_status, norm_accession,
+                                      json_pick, json_struct, json_text, map_status, norm_accession,
                                       num_or, scalar_text, split_pick_int, storage_urls,
                                       strip_html, tag_texts, to_str, to_text, unescape_html,
                                       yes_no)

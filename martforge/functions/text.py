@@ -199,3 +199,15 @@ def full_name(last, first, middle, fallback) -> Column:
     parts = [F.nullif(_c(p), F.lit("")) for p in (last, first, middle)]
     name = F.nullif(F.trim(F.concat_ws(" ", *parts)), F.lit(""))
     return F.coalesce(name, _c(fallback).cast("string"))
+
+
+def json_struct(c, fields) -> Column:
+    """Parse a JSON object once into a struct of text fields (``from_json``).
+
+    A field that holds an object or a number comes back as its JSON text, so
+    nested objects can be parsed again with another ``json_struct`` call (the
+    nested-call read of X17, which also accepts a doubly encoded object).
+    Malformed text or the literal ``null`` gives NULL fields.
+    """
+    schema = ", ".join(f"`{f}` string" for f in fields)
+    return F.from_json(_c(c), schema)

@@ -86,16 +86,14 @@ def base_studies(results: DataFrame, cfg: DataFrame, date_from: dt.date, date_to
 
 def ai_results(reports: DataFrame, app_source: str = "CDS") -> DataFrame:
     """One row per (study, series) with the AI verdict and model id."""
-    norma = json_text("raw_data", "aiResult", "norma")
-    return (reports
-            .where((F.col("app_source") == app_source)
-                   & parse_ts(json_text("computed_data", "pumStudyReadyForAiTime")).isNotNull()
-                   & (F.trim(norma) != ""))
-            .groupBy(json_text("raw_data", "studyIUID").alias("study_uid"),
-                     json_text("raw_data", "aiResult", "seriesIUID").alias("series_iuid"))
-            .agg(A.any_det(norma).alias("norma_value"),
-                 A.any_det(json_pick("raw_data", "computed_data", ["aiResult", "modelId"], ["modelId"],
-                                     as_int=True)).alias("model_id")))
+    from martforge.plans.reports import report_fields
+    r = report_fields(reports)
+    model = F.when(F.col("raw_is_null"), F.col("computed_model_id")).otherwise(F.col("raw_model_id"))
+    ok = (F.col("app_source") == app_source) & parse_ts("ready_text").isNotNull() & (F.trim("norma") != "")
+    return (r.groupBy(F.col("study_iuid").alias("study_uid"), "series_iuid")
+            .agg(F.min(F.when(ok, F.col("norma"))).alias("norma_value"),
+                 F.min(F.when(ok, model)).alias("model_id"), F.bool_or(ok).alias("_ok"))
+            .where("_ok").drop("_ok"))
 
 
 def _counter(inside: Column, spec) -> Column:

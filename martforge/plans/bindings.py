@@ -271,7 +271,8 @@ def with_roles(*roles: str) -> str:
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    from martforge.sources.readers import spread
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
