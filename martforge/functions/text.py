@@ -165,7 +165,7 @@ def storage_urls(c, url_regex: str, group: int = 0, must_contain=None) -> Column
     urls = F.transform(found, lambda u: unescape_html(u))
     if must_contain is not None:
         needle = must_contain if isinstance(must_contain, Column) else F.lit(must_contain)
-        urls = F.filter(urls, lambda u: F.locate(needle, u) > 0)
+        urls = F.filter(urls, lambda u: u.contains(needle))
     return F.array_distinct(urls)
 
 
