@@ -33,9 +33,33 @@ DAY_FIRST_FORMATS = (
 )
 
 
+EPOCH = "1970-01-01 00:00:00"
+
+
+def ntz(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a date/datetime, independent of the
+    session time zone (a string cast; ``lit(datetime)`` would go through the
+    driver's local zone)."""
+    if isinstance(value, _dt.datetime):
+        text = value.isoformat(" ")
+    else:
+        text = f"{value.isoformat()} 00:00:00"
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def epoch_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 of a wall-clock timestamp, computed on
+    TIMESTAMP_NTZ values so the session time zone plays no part."""
+    return F.timestamp_diff("MICROSECOND", ntz(_dt.datetime(1970, 1, 1)), _c(ts).cast("timestamp_ntz"))
+
+
+def _floor_div(x: Column, d: int) -> Column:
+    return F.floor(x / F.lit(d)).cast("long")
+
+
 def to_local(ts, tz: str = LOCAL_TZ) -> Column:
-    """UTC instant -> local wall time (daylight rules of ``tz`` apply)."""
-    return F.from_utc_timestamp(_c(ts), tz)
+    """UTC wall time -> local wall time (daylight rules of ``tz`` apply)."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), _c(ts).cast("timestamp_ntz"))
 
 
 def local_date(ts, tz: str = LOCAL_TZ) -> Column:
@@ -49,8 +73,9 @@ def plus_hours(ts, hours: int = 3) -> Column:
 
 
 def secs(a, b) -> Column:
-    """Whole seconds from ``a`` to ``b`` (negative when b < a)."""
-    return F.unix_seconds(F.to_timestamp(_c(b))) - F.unix_seconds(F.to_timestamp(_c(a)))
+    """Second boundaries from ``a`` to ``b`` (dateDiff('second');
+    negative when b < a)."""
+    return _floor_div(epoch_micros(b), 1_000_000) - _floor_div(epoch_micros(a), 1_000_000)
 
 
 def hours_floor(a, b) -> Column:
@@ -65,7 +90,7 @@ def _int_div(x: Column, d: int) -> Column:
 
 def minute_boundaries(a, b) -> Column:
     """Minute boundaries crossed between ``a`` and ``b`` (dateDiff('minute'))."""
-    return _int_div(secs(F.date_trunc("minute", _c(a)), F.date_trunc("minute", _c(b))), 60)
+    return _floor_div(epoch_micros(b), 60_000_000) - _floor_div(epoch_micros(a), 60_000_000)
 
 
 def minutes_elapsed(a, b) -> Column:
@@ -102,18 +127,22 @@ def fix_sec60(text) -> Column:
 
 def parse_ts(text, formats=DAY_FIRST_FORMATS) -> Column:
     """Best-effort parse to UTC wall time; NULL when nothing fits (never
-    raises). ISO forms go through the built-in cast (a zone offset, when
-    present, is applied); day-first forms are tried after it. ``coalesce``
-    stops at the first hit, so the common ISO case costs one parse."""
+    raises). ISO forms go through the built-in cast: without a zone the text
+    is the wall time as is; with a zone offset it is moved to UTC. Day-first
+    forms are tried after it. ``coalesce`` stops at the first hit, so the
+    common ISO case costs one parse."""
     t = F.trim(_c(text).cast("string"))
-    return F.coalesce(t.try_cast("timestamp"),
-                      *[F.try_to_timestamp(t, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    zoned = t.rlike(r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$")
+    with_zone = F.convert_timezone(F.current_timezone(), F.lit("UTC"),
+                                   t.try_cast("timestamp").cast("timestamp_ntz"))
+    iso = F.when(zoned, with_zone).otherwise(t.try_cast("timestamp_ntz"))
+    return F.coalesce(iso, *[F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz") for f in formats])
 
 
 def clamp_ts(ts, floor=TS_FLOOR, ceil=TS_CEIL) -> Column:
     """Clamp to [floor, ceil]; NULL becomes the floor."""
     c = _c(ts).cast("timestamp_ntz")
-    lo, hi = F.lit(floor).cast("timestamp_ntz"), F.lit(ceil).cast("timestamp_ntz")
+    lo, hi = ntz(floor), ntz(ceil)
     return F.coalesce(F.least(F.greatest(c, lo), hi), lo)
 
 

@@ -198,7 +198,8 @@ def nearest_by_time(left: DataFrame, right: DataFrame, keys, lt: str, rt: str, r
       time span, not on how many rows a hot key holds.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    b = lambda c: F.floor(F.unix_micros(F.to_timestamp(F.col(c))) / F.lit(bucket_seconds * 1_000_000))
+    from martforge.functions.time import epoch_micros, secs
+    b = lambda c: F.floor(epoch_micros(c) / F.lit(bucket_seconds * 1_000_000))
     L = left.select(*keys, F.col(lt).alias("_t")).where(F.col("_t").isNotNull()).distinct() \
         .withColumn("_b", b("_t"))
     R = right.select(*keys, F.col(rt).alias("_t"), F.col(rid).alias("_rid")).where(F.col("_t").isNotNull()) \
@@ -227,10 +228,9 @@ def nearest_by_time(left: DataFrame, right: DataFrame, keys, lt: str, rt: str, r
     j = inb.join(carry, [*keys, "_b"], "left")
     prev = F.coalesce(F.col("_prev_i"), F.col("_prev_c"))
     nxt = F.coalesce(F.col("_next_i"), F.col("_next_c"))
-    secs_ = lambda a, c: F.unix_seconds(F.to_timestamp(a)) - F.unix_seconds(F.to_timestamp(c))
-    cand_p = F.when(prev.isNotNull(), F.struct(secs_(F.col("_t"), prev["t"]).alias("d"),
+    cand_p = F.when(prev.isNotNull(), F.struct(secs(prev["t"], F.col("_t")).alias("d"),
                                                (-prev["nr"]).alias("id"), prev["t"].alias("t")))
-    cand_n = F.when(nxt.isNotNull(), F.struct(secs_(nxt["t"], F.col("_t")).alias("d"),
+    cand_n = F.when(nxt.isNotNull(), F.struct(secs(F.col("_t"), nxt["t"]).alias("d"),
                                               nxt["r"].alias("id"), nxt["t"].alias("t")))
     best = F.least(cand_p, cand_n)
     return j.select(*keys, F.col("_t").alias(lt), best["id"].alias("near_id"), best["t"].alias("near_time"),

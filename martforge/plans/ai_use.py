@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions import (flag_text, json_pick, json_text, minute_boundaries,
                                  minutes_elapsed, parse_ts, plus_hours, split_pick_int)
+from martforge.functions.time import ntz
 from martforge.operators import aggregates as A
 from martforge.operators import filters as Fl
 from martforge.operators import joins as J
@@ -80,7 +81,7 @@ def base_studies(results: DataFrame, cfg: DataFrame, date_from: dt.date, date_to
               A.value_at_first("diagnostic_code", t, tie="diagnostic_code").alias("diagnostic_code")))
     b = Fl.having_not_in(b, "diagnostic_code", excluded_codes) if excluded_codes else b
     if min_describe_start is not None:
-        b = b.where(F.col("describe_start") >= F.lit(min_describe_start).cast("timestamp_ntz"))
+        b = b.where(F.col("describe_start") >= ntz(min_describe_start))
     return b
 
 

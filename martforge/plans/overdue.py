@@ -21,6 +21,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martforge.functions.time import ntz
 from martforge.functions import hhmmss, hours_floor, local_date, plus_hours, secs, sla_bucket, to_local
 from martforge.operators import aggregates as A
 from martforge.operators import filters as Fl
@@ -64,8 +65,8 @@ def overdue_monitoring(results: DataFrame, pin_tasks: DataFrame, clinical_events
     # events with a status change in the padded window (J9 semi pre-filter)
     lo = dt.datetime.combine(as_of - dt.timedelta(days=days + EVENT_PAD_DAYS), dt.time())
     hi = dt.datetime.combine(as_of, dt.time(23, 59, 59))
-    ch = status_changes.where(F.col("change_time").between(F.lit(lo).cast("timestamp_ntz"),
-                                                           F.lit(hi).cast("timestamp_ntz")))
+    ch = status_changes.where(F.col("change_time").between(ntz(lo),
+                                                           ntz(hi)))
     ev = J.semi(clinical_events, ch.select("event_id").distinct(), "event_id")
     ev = ev.select(F.col("patient_id").cast("string").alias("key_p"), F.col("job_id").cast("string").alias("key_j"),
                    "event_id").join(event_stats(ch), "event_id")

@@ -42,8 +42,9 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def _ts_lit(d: dt.date) -> F.Column:
-    return F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
+def _ts_lit(d) -> F.Column:
+    from martforge.functions.time import ntz
+    return ntz(d)
 
 
 def in_window(df: DataFrame, ts: str, as_of: dt.date, days: int, *, local: bool = False,
@@ -74,11 +75,7 @@ def in_window(df: DataFrame, ts: str, as_of: dt.date, days: int, *, local: bool
 
 def since(df: DataFrame, ts: str, start) -> DataFrame:
     """Open-ended window ``ts >= start`` (date or datetime)."""
-    if isinstance(start, dt.datetime):
-        bound = F.lit(start).cast("timestamp_ntz")
-    else:
-        bound = _ts_lit(start)
-    return df.where(F.col(ts) >= bound)
+    return df.where(F.col(ts) >= _ts_lit(start))
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = ";", required=(),

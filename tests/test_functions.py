@@ -133,3 +133,20 @@ def test_coerce_defaults(spark):
     out2 = coerce(spark.createDataFrame([("",)], "a string"), T.StructType([T.StructField("a", T.StringType())]),
                   {"a": KEEP_NULL}, empty_as_null=("a",))
     assert out2.collect()[0][0] is None
+
+
+def test_time_functions_ignore_session_zone(spark):
+    """Same answers under a session zone with daylight saving."""
+    rows = [(D(2024, 3, 10, 1, 30, 0, 500000), D(2024, 3, 10, 3, 30, 0, 250000))]
+    s = "a timestamp_ntz, b timestamp_ntz"
+    exprs = [X.to_local("a"), X.secs("a", "b"), X.minute_boundaries("a", "b"), X.hours_floor("a", "b"),
+             X.parse_ts(F.lit("2024-03-10 02:30:00")), X.parse_ts(F.lit("2024-03-10T05:30:00+03:00"))]
+    before = [one(spark, e, s, *rows)[0] for e in exprs]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        after = [one(spark, e, s, *rows)[0] for e in exprs]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert before == after
+    assert before == [D(2024, 3, 10, 4, 30, 0, 500000), 7200, 120, 2, D(2024, 3, 10, 2, 30), D(2024, 3, 10, 2, 30)]
