@@ -40,6 +40,7 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("research_id", "CAST(floor(o_totalprice / 50000) AS BIGINT)"),
         ("ae_title", "concat('AE', CAST(o_custkey % 40 AS STRING))"),
         ("assignment_id", "o_orderkey"),
+        ("assignment_mu_id", "CAST(o_custkey % 1000 AS STRING)"),
     ]),
     # Many rows per accession (one per described service line).
     "results": ("lineitem", [

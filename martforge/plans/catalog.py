@@ -483,7 +483,8 @@ def q_oncology_counts(spark, sf_dir):
 
 @register("benefit_cohort", with_roles("results", "examinations", "reports", "units", "benefits",
                                        "pin_tasks") + f""",
-ie AS (SELECT accession_number, min(patient_age) AS patient_age, min(patient_id) AS patient_id
+ie AS (SELECT accession_number, min(patient_age) AS patient_age, min(patient_id) AS patient_id,
+              min(assignment_mu_id) AS assignment_mu_id
        FROM examinations WHERE accession_number IS NOT NULL GROUP BY accession_number),
 {AI_NORMA_SQL},
 per AS (SELECT DISTINCT patient_id, start_date, coalesce(end_date, DATE '2099-12-31') AS end_date, benefit_name
@@ -494,7 +495,8 @@ lp AS (SELECT accession_number, task_pin_status, task_pin_end_date FROM (
                    ORDER BY task_pin_end_date DESC, task_pin_status, pin_id) AS rn
          FROM pin_tasks WHERE task_pin_end_date IS NOT NULL AND accession_number IS NOT NULL) x WHERE rn = 1),
 base AS (
-  SELECT t2.*, u.unit_name, ie.patient_age, ie.patient_id, ai.norma_value,
+  SELECT t2.*, u.unit_name, ie.patient_age, ie.patient_id, ie.assignment_mu_id, ua.unit_name AS assignment_unit_name,
+         ai.norma_value,
          CASE WHEN ap.accession_number IS NOT NULL THEN 'находится в ПИНе' ELSE 'не в ПИНе' END AS pin_status,
          lp.task_pin_status, lp.task_pin_end_date, {LOCAL('t2.conduct_date')} AS conduct_local,
          (SELECT arg_min(p.benefit_name, (-(p.start_date - DATE '1970-01-01'), p.benefit_name)) FROM per p
@@ -503,6 +505,7 @@ base AS (
   FROM results t2
   LEFT JOIN units u ON u.unit_id = t2.describe_unit_id
   LEFT JOIN ie ON t2.accession_number = ie.accession_number
+  LEFT JOIN units ua ON ua.unit_id = ie.assignment_mu_id
   LEFT JOIN ai ON t2.study_uid = ai.study_uid
   LEFT JOIN ap ON t2.accession_number = ap.accession_number
   LEFT JOIN lp ON t2.accession_number = lp.accession_number
@@ -513,7 +516,8 @@ f AS (SELECT *, row_number() OVER (PARTITION BY accession_number ORDER BY conduc
       FROM base WHERE llo_benefit_status IS NOT NULL)
 SELECT conduct_local AS conduct_date, {LOCAL('doc_created')} AS describe_date, accession_number, patient_id,
        payment_source, device_type, type_code AS assessment_result_type_code,
-       describe_unit_id AS assignment_describe_mu_id, unit_name AS lpu_short_name_by_lpu_id, norma_value,
+       describe_unit_id AS assignment_describe_mu_id, unit_name AS lpu_short_name_by_lpu_id, assignment_mu_id,
+       assignment_unit_name AS lpu_short_name_by_assignment_mu_id, norma_value,
        {AGE_GROUP.format(a='patient_age')} AS age_group, pin_status, task_pin_end_date, task_pin_status,
        llo_benefit_status
 FROM f WHERE rn = 1""")
