@@ -18,14 +18,6 @@ from pyspark.sql import functions as F
 from martforge.functions.time import OPEN_END
 
 
-def _keys_cond(left: DataFrame, right: DataFrame, keys, null_safe: bool = False) -> Column:
-    conds = []
-    for k in keys:
-        lk, rk = (k, k) if isinstance(k, str) else k
-        conds.append(left[lk].eqNullSafe(right[rk]) if null_safe else left[lk] == right[rk])
-    return reduce(lambda a, b: a & b, conds)
-
-
 def left_agg(df: DataFrame, side: DataFrame, key: str, **aggs: Column) -> DataFrame:
     """Left join to a side pre-aggregated to one row per key (no fan-out).
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martforge.functions._util import col as _c
 
 
 def _order(cols) -> list[Column]:

@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.functions import (flag_text, json_pick, json_text, minute_boundaries,
+from martforge.functions import (flag_text, minute_boundaries,
                                  minutes_elapsed, parse_ts, plus_hours, split_pick_int)
 from martforge.functions.time import ntz
 from martforge.operators import aggregates as A

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martforge.functions.time import ntz
-from martforge.functions import hhmmss, hours_floor, local_date, plus_hours, secs, sla_bucket, to_local
+from martforge.functions import hhmmss, hours_floor, plus_hours, secs, sla_bucket, to_local
 from martforge.operators import aggregates as A
 from martforge.operators import filters as Fl
 from martforge.operators import joins as J

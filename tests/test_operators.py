@@ -155,3 +155,8 @@ def test_filters_and_setops(spark):
     b = spark.createDataFrame([("y",), ("z",)], "k string")
     assert rows(U.id_minus(a, b, "k")) == [("x",)]
     assert rows(U.id_union(a, b, "k")) == [("x",), ("y",), ("z",)]
+
+
+def test_min_json_counts_absent_as_empty(spark):
+    df = spark.createDataFrame([(1, '{"a": {"n": "1"}}'), (1, '{"a": {}}'), (2, '{"a": {"n": "0"}}')], "k int, j string")
+    assert rows(df.groupBy("k").agg(A.min_json("j", "a", "n").alias("m"))) == [(1, ""), (2, "0")]
