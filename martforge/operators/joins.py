@@ -109,24 +109,51 @@ def anti_pair(df: DataFrame, side: DataFrame, c1: str, c2: str, exempt=()) -> Da
 
 def interval_winner(df: DataFrame, periods: DataFrame, key: str, at: str,
                     start: str = "start_date", end: str = "end_date", name: str = "name",
-                    out: str = "period_name") -> DataFrame:
-    """The one period whose [start, end] holds ``at`` (open end =
+                    out: str = "period_name", bucket_days: int = 31) -> DataFrame:
+    """The one period whose [start, end] holds the date ``at`` (open end =
     2099-12-31); winner = latest start, then smallest name; NULL when none.
 
-    Periods are de-duplicated and collected per key (one small array per
-    patient), joined by equality, and the winner is picked per row with array
-    functions: one shuffle, no range join, no second shuffle by fact row.
+    No fact is ever paired with the periods of its key:
+
+    1. the winner, as a function of the date, only changes where a period
+       starts or the day after one ends, so it is evaluated once per such
+       boundary (periods x boundaries of the same key; independent of how
+       many facts the key has) giving pieces ``[b, next b) -> winner``;
+    2. each distinct (key, date) of ``df`` then looks up the last piece at or
+       before its date: running windows inside (key, month-sized bucket) plus
+       a per-key carry over buckets, as in :func:`nearest_by_time`, so a hot
+       key's facts spread over buckets;
+    3. the answer joins back on (key, date): at most one row, no fan-out.
     """
-    p = (periods.select(F.col(key).alias("_iw_key"), F.col(start).alias("s"),
-                        F.coalesce(F.col(end), F.lit(OPEN_END)).alias("e"), F.col(name).alias("n"))
-         .where(F.col("_iw_key").isNotNull()).distinct()
-         .groupBy("_iw_key").agg(F.collect_list(F.struct("s", "e", "n")).alias("_iw_periods")))
-    j = df.join(p, df[key] == p["_iw_key"], "left")
-    at_c = F.col(at)
-    hits = F.filter(F.col("_iw_periods"), lambda x: (at_c >= x["s"]) & (at_c <= x["e"]))
-    best = F.array_min(F.transform(hits, lambda x: F.struct((-F.unix_date(x["s"])).alias("k"),
-                                                             x["n"].alias("n"))))
-    return j.withColumn(out, best["n"]).drop("_iw_key", "_iw_periods")
+    p = (periods.select(F.col(key).alias("_k"), F.col(start).cast("date").alias("s"),
+                        F.coalesce(F.col(end).cast("date"), F.lit(OPEN_END)).alias("e"), F.col(name).alias("n"))
+         .where(F.col("_k").isNotNull() & F.col("s").isNotNull()).distinct())
+    bounds = (p.select("_k", F.col("s").alias("b"))
+              .unionByName(p.select("_k", F.date_add("e", 1).alias("b"))).distinct())
+    cov = bounds.join(p.withColumnRenamed("_k", "_pk"),
+                      (F.col("_k") == F.col("_pk")) & (F.col("s") <= F.col("b")) & (F.col("b") <= F.col("e")), "left")
+    order = F.struct((-F.unix_date("s")).alias("o"), F.col("n").alias("n"))
+    pieces = cov.groupBy("_k", "b").agg(F.min(F.when(F.col("s").isNotNull(), order)).alias("w"))
+
+    bucket = lambda c: F.floor(F.unix_date(F.col(c)) / F.lit(bucket_days))
+    L = (df.select(F.col(key).alias("_k"), F.col(at).cast("date").alias("_t"))
+         .where(F.col("_k").isNotNull() & F.col("_t").isNotNull()).distinct().withColumn("_bk", bucket("_t")))
+    P = pieces.select("_k", F.col("b").alias("_t"), "w").withColumn("_bk", bucket("_t"))
+    piece = F.struct(F.col("_t").alias("t"), F.col("w").alias("w"))
+    summ = P.groupBy("_k", "_bk").agg(F.max(piece).alias("_last"))
+    touched = L.select("_k", "_bk").distinct().join(summ, ["_k", "_bk"], "full")
+    wb = Window.partitionBy("_k").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = touched.select("_k", "_bk", F.max("_last").over(wb).alias("_prev_c"))
+    u = (L.select("_k", "_bk", "_t", F.lit(None).cast(P.schema["w"].dataType).alias("w"), F.lit(1).alias("_is_l"))
+         .unionByName(P.select("_k", "_bk", "_t", "w", F.lit(0).alias("_is_l"))))
+    wi = Window.partitionBy("_k", "_bk").orderBy("_t", "_is_l").rowsBetween(Window.unboundedPreceding, 0)
+    inb = (u.select("_k", "_bk", "_t", "_is_l", F.max(F.when(F.col("_is_l") == 0, piece)).over(wi).alias("_prev_i"))
+           .where(F.col("_is_l") == 1))
+    hit = inb.join(carry, ["_k", "_bk"], "left").select(
+        F.col("_k").alias("_iw_k"), F.col("_t").alias("_iw_t"),
+        F.coalesce(F.col("_prev_i"), F.col("_prev_c"))["w"]["n"].alias(out))
+    j = df.join(hit, (df[key] == F.col("_iw_k")) & (F.col(at).cast("date") == F.col("_iw_t")), "left")
+    return j.drop("_iw_k", "_iw_t")
 
 
 def overlap(df: DataFrame, side: DataFrame, key: str, at: str, lo: str, hi: str,

@@ -160,3 +160,22 @@ def test_filters_and_setops(spark):
 def test_min_json_counts_absent_as_empty(spark):
     df = spark.createDataFrame([(1, '{"a": {"n": "1"}}'), (1, '{"a": {}}'), (2, '{"a": {"n": "0"}}')], "k int, j string")
     assert rows(df.groupBy("k").agg(A.min_json("j", "a", "n").alias("m"))) == [(1, ""), (2, "0")]
+
+
+def test_interval_winner_matches_brute_force(spark):
+    rnd = random.Random(11)
+    base = d(2024, 1, 1)
+    periods = []
+    for _ in range(60):
+        k = rnd.randint(0, 3)
+        s = base + dt.timedelta(days=rnd.randint(0, 300))
+        e = None if rnd.random() < 0.2 else s + dt.timedelta(days=rnd.randint(0, 90))
+        periods.append((k, s, e, rnd.choice("ABCDE")))
+    facts = [(i, rnd.randint(0, 4), base + dt.timedelta(days=rnd.randint(-10, 420))) for i in range(400)]
+    got = {r["id"]: r["period_name"] for r in J.interval_winner(
+        spark.createDataFrame(facts, "id int, p int, at date"),
+        spark.createDataFrame(periods, "p int, start_date date, end_date date, name string"), "p", "at").collect()}
+    for i, k, t in facts:
+        cover = [(-(s - base).days, n) for kk, s, e, n in set(periods)
+                 if kk == k and s <= t <= (e or d(2099, 12, 31))]
+        assert got[i] == (min(cover)[1] if cover else None), (i, k, t)
