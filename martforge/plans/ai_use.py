@@ -215,8 +215,9 @@ def ai_use_by_model(series: DataFrame, tariffs: DataFrame, period_from: dt.date,
     g = s.groupBy("study_uid", "model_id").agg(
         F.count(F.lit(1)).alias("_n"),
         *[A.any_det(c).alias(c) for c in CONST_COLS],
-        *[F.min(c).alias(f"_one_{c}") for c in COUNT_COLS],
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(f"_sum_{c}") for c in COUNT_COLS],
+        # one sum per counter: for a one-row group it is the value itself
+        # (NULL stays NULL), for a merged group NULL counts as 0 below
+        *[F.sum(c).alias(f"_sum_{c}") for c in COUNT_COLS],
         F.min("first_ai_open").alias("first_ai_open"),
         F.max("has_action_outside").alias("has_action_outside"),
         F.nullif(F.array_join(F.array_sort(F.collect_list("series_iuid")), ", "), F.lit("")).alias("_m_series"),
@@ -226,7 +227,8 @@ def ai_use_by_model(series: DataFrame, tariffs: DataFrame, period_from: dt.date,
         *[F.min(c).alias(f"_one_{c}") for c in ("mins_to_first_ai", "ai_before_conclusion",
                                                  "ai_interaction", "outside_ai_interaction")])
     multi = F.col("_n") > 1
-    g = g.withColumns({c: F.when(multi, F.col(f"_sum_{c}")).otherwise(F.col(f"_one_{c}")) for c in COUNT_COLS})
+    g = g.withColumns({c: F.when(multi, F.coalesce(F.col(f"_sum_{c}"), F.lit(0))).otherwise(F.col(f"_sum_{c}"))
+                       for c in COUNT_COLS})
     g = g.withColumns({"series_iuid": F.when(multi, F.col("_m_series")).otherwise(F.col("_one_series")),
                        "methods_used": F.when(multi, F.col("_m_methods")).otherwise(F.col("_one_methods"))})
     g = g.withColumns({c: F.when(multi, e).otherwise(F.col(f"_one_{c}")) for c, e in _derived().items()})
