@@ -90,7 +90,10 @@ def ai_results(reports: DataFrame, app_source: str = "CDS") -> DataFrame:
     from martforge.plans.reports import report_fields
     r = report_fields(reports)
     model = F.when(F.col("raw_is_null"), F.col("computed_model_id")).otherwise(F.col("raw_model_id"))
-    ok = (F.col("app_source") == app_source) & parse_ts("ready_text").isNotNull() & (F.trim("norma") != "")
+    # the condition is projected once, not re-evaluated inside each aggregate
+    r = r.withColumn("_ok", (F.col("app_source") == app_source) & parse_ts("ready_text").isNotNull()
+                     & (F.trim("norma") != ""))
+    ok = F.col("_ok")
     return (r.groupBy(F.col("study_iuid").alias("study_uid"), "series_iuid")
             .agg(F.min(F.when(ok, F.col("norma"))).alias("norma_value"),
                  F.min(F.when(ok, model)).alias("model_id"), F.bool_or(ok).alias("_ok"))
