@@ -369,7 +369,7 @@ AI_BY_MODEL_CTES = AI_SERIES_CTES + f""",
 g AS (
   SELECT study_uid, model_id, count(*) AS n,
          {", ".join(f"min({c}) AS {c}" for c in AI.CONST_COLS)},
-         {", ".join(f"min({c}) AS one_{c}, coalesce(sum({c}), 0) AS sum_{c}" for c in _CNT)},
+         {", ".join(f"min({c}) AS one_{c}, CAST(coalesce(sum({c}), 0) AS BIGINT) AS sum_{c}" for c in _CNT)},
          min(first_ai_open) AS first_ai_open, max(has_action_outside) AS has_action_outside,
          nullif(array_to_string(list_sort(list(series_iuid)), ', '), '') AS m_series, min(series_iuid) AS one_series,
          {_merged_union('methods_used')} AS m_methods, min(methods_used) AS one_methods,
@@ -401,7 +401,7 @@ by_model AS (
          CASE WHEN n > 1 THEN m_methods ELSE one_methods END AS methods_used,
          {", ".join(f"v_{c} AS {c}" for c in _CNT[7:])},
          DATE '{_AF}' AS period_from, DATE '{_AT}' AS period_to
-  FROM g2 LEFT JOIN (VALUES {", ".join(f"({i}, {a}, {b})" for i, a, b in MODEL_TARIFFS)})
+  FROM g2 LEFT JOIN (VALUES {", ".join(f"({i}, CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))" for i, a, b in MODEL_TARIFFS)})
        t(model_id, tariff_current, tariff_possible) ON t.model_id = g2.model_id)"""
 
 
