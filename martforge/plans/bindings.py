@@ -245,6 +245,11 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("status",
          "CASE WHEN l_linenumber IN (2, 5) THEN 'RUNNING' WHEN l_returnflag = 'R' THEN 'DEFERRED' ELSE 'DONE' END"),
     ]),
+    # Referral routes: the referring doctor's job per accession (several rows).
+    "routes": ("lineitem", [
+        ("eris_id", "l_orderkey"),
+        ("assignment_doctor_job_name", "concat('job ', CAST(l_suppkey % 7 AS STRING))"),
+    ]),
     # Ids already stored in the target.
     "stored_ids": ("lineitem", [
         ("accession", "concat('A', CAST(l_partkey * 7 AS STRING))"),

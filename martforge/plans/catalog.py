@@ -482,7 +482,7 @@ def q_oncology_counts(spark, sf_dir):
 
 
 @register("benefit_cohort", with_roles("results", "examinations", "reports", "units", "benefits",
-                                       "pin_tasks") + f""",
+                                       "pin_tasks", "routes") + f""",
 ie AS (SELECT accession_number, min(patient_age) AS patient_age, min(patient_id) AS patient_id,
               min(assignment_mu_id) AS assignment_mu_id
        FROM examinations WHERE accession_number IS NOT NULL GROUP BY accession_number),
@@ -513,18 +513,20 @@ base AS (
     AND t2.conduct_date >= TIMESTAMP '{LO} 00:00:00' AND t2.conduct_date < TIMESTAMP '{HI} 00:00:00'),
 f AS (SELECT *, row_number() OVER (PARTITION BY accession_number ORDER BY conduct_local, doc_created, line_no,
                 emp_id, diagnostic_code, payment_source, device_type) AS rn
-      FROM base WHERE llo_benefit_status IS NOT NULL)
+      FROM base WHERE llo_benefit_status IS NOT NULL),
+rd AS (SELECT eris_id, min(assignment_doctor_job_name) AS assignment_doctor_job_name FROM routes
+       WHERE eris_id IN (SELECT accession_number FROM f) GROUP BY eris_id)
 SELECT conduct_local AS conduct_date, {LOCAL('doc_created')} AS describe_date, accession_number, patient_id,
        payment_source, device_type, type_code AS assessment_result_type_code,
        describe_unit_id AS assignment_describe_mu_id, unit_name AS lpu_short_name_by_lpu_id, assignment_mu_id,
        assignment_unit_name AS lpu_short_name_by_assignment_mu_id, norma_value,
        {AGE_GROUP.format(a='patient_age')} AS age_group, pin_status, task_pin_end_date, task_pin_status,
-       llo_benefit_status
-FROM f WHERE rn = 1""")
+       llo_benefit_status, rd.assignment_doctor_job_name
+FROM f LEFT JOIN rd ON rd.eris_id = f.accession_number WHERE rn = 1""")
 def q_benefit_cohort(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return OP.benefit_cohort(t.results, t.examinations, t.reports, t.units, t.benefits, t.pin_tasks,
-                             dt.date.fromisoformat(LO), AS_OF)
+                             dt.date.fromisoformat(LO), AS_OF, routes=t.routes)
 
 
 @register("equipment_studies", with_roles("inpatient_orders", "inpatient_exams", "facilities") + f"""
