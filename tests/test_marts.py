@@ -63,3 +63,25 @@ def test_merge_multi_series_and_roll_up(spark):
     total = lambda df, c: sum((r[c] or 0) for r in df.collect())
     for c in AI.COUNT_COLS:
         assert total(series, c) == total(by_model, c) == total(AI.ai_use_by_study(by_model), c)
+
+
+def test_ai_use_load_cuts_lineage_and_is_idempotent(spark, tmp):
+    import os
+
+    from martforge.plans import catalog as C
+
+    sf = "/root/testdata/sf0.001"
+    t, cfg, names = C._ai_inputs(spark, sf)
+    tariffs = spark.createDataFrame(C.MODEL_TARIFFS, "model_id long, tariff_current double, tariff_possible double")
+    bm, bs = os.path.join(tmp, "by_model"), os.path.join(tmp, "by_study")
+    args = (t.results, t.reports, t.ai_log, cfg, names, tariffs, C.AI_FROM, C.AI_TO, bm, bs,
+            C.AI_EXCLUDED_CODES, C.AI_MIN_START)
+    AI.load_ai_use(*args, loaded_at=D(2024, 1, 1))
+    AI.load_ai_use(*args, loaded_at=D(2024, 1, 2))      # a rerun replaces, never duplicates
+    stored_model = spark.read.parquet(bm)
+    stored_study = spark.read.parquet(bs)
+    assert stored_model.count() == C.QUERIES["ai_use_by_model"](spark, sf).count()
+    assert stored_study.select("study_uid").distinct().count() == stored_study.count()
+    assert {r[0] for r in stored_study.select("loaded_at").distinct().collect()} == {D(2024, 1, 2)}
+    want = C.QUERIES["ai_use_by_study"](spark, sf)
+    assert stored_study.drop("loaded_at").exceptAll(want).count() == 0
