@@ -122,8 +122,9 @@ def dup_audit(df: DataFrame, keys, by=None) -> DataFrame:
             .withColumn("duplicates", F.col("total_rows") - F.col("distinct_keys")))
 
 
-def health(df: DataFrame, critical: Column, fresh: Column) -> DataFrame:
-    """One row: any critical problem, number of items, number fresh."""
+def health(df: DataFrame, critical: Column, **counts: Column) -> DataFrame:
+    """One-row roll-up: any critical problem (1/0), number of items, and
+    one conditional count per keyword (``name=condition``)."""
     return df.agg(F.max(F.when(critical, 1).otherwise(0)).alias("has_critical"),
                   F.count(F.lit(1)).alias("n_items"),
-                  F.sum(F.when(fresh, 1).otherwise(0)).alias("n_fresh"))
+                  *[F.sum(F.when(c, 1).otherwise(0)).alias(n) for n, c in counts.items()])

@@ -179,3 +179,9 @@ def test_interval_winner_matches_brute_force(spark):
         cover = [(-(s - base).days, n) for kk, s, e, n in set(periods)
                  if kk == k and s <= t <= (e or d(2099, 12, 31))]
         assert got[i] == (min(cover)[1] if cover else None), (i, k, t)
+
+
+def test_health_roll_up(spark):
+    df = spark.createDataFrame([("a", True, 1), ("b", False, 0), ("c", False, 1)], "t string, crit boolean, f int")
+    out = A.health(df, F.col("crit"), n_fresh=F.col("f") == 1)
+    assert rows(out) == [(1, 3, 2)]
