@@ -80,8 +80,8 @@ def flow(supply: list[tuple[list[int], int]], demand: list[int], repeats: int =
     return out
 
 
-def targets(sources: DataFrame, weights: tuple[float, ...], repeats: int) -> DataFrame:
-    """(source, source_size, target): shares of all words by weight, none above ``repeats`` times its source's size.
+def targets(sources: DataFrame, total: float, weights: tuple[float, ...], repeats: int) -> DataFrame:
+    """(source, source_size, target): shares of ``total`` words by weight, none above ``repeats`` times its source's size.
 
     Sources in code-point order (null last) weigh ``weights``, repeating. The excess of capped sources is shared anew by
     weight until none is above; each round is one aggregate that brings two sums to the driver.
@@ -89,10 +89,10 @@ def targets(sources: DataFrame, weights: tuple[float, ...], repeats: int) -> Dat
     rows = ranked(sources, [F.col("source").asc_nulls_last()], "rank").withColumn(
         "weight", F.element_at(F.lit([float(w) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int")))
     rows = stored(rows.withColumn("cap", F.col("source_size").cast("double") * repeats), "mix-sources")
-    whole = rows.agg(F.sum("source_size").cast("double"), F.sum("weight")).first()
-    total, level = whole[0] or 0.0, 0.0
-    if whole[1]:
-        level = total / whole[1]
+    weight = rows.agg(F.sum("weight")).first()[0]
+    level = 0.0
+    if weight:
+        level = total / weight
         while True:
             capped = F.col("weight") * level >= F.col("cap")
             full, open_ = rows.agg(F.coalesce(F.sum(F.when(capped, F.col("cap"))), F.lit(0.0)), F.sum(F.when(~capped, F.col("weight")))).first()
@@ -113,7 +113,8 @@ def _mixed(docs: DataFrame, weights: tuple[float, ...], repeats: int, seed: int,
         F.xxhash64(text).alias("text_hash"), F.xxhash64(F.lit(seed), F.col(id_col), F.xxhash64(text)).alias("h")).withColumn("row", F.monotonically_increasing_id()), "mix-rows")
     patterns = stored(rows.groupBy("pattern").agg(F.sum("size").alias("size")), "mix-patterns")
     by_source = patterns.select(F.explode("pattern").alias("source"), "size").groupBy("source").agg(F.sum("size").alias("source_size"))
-    asked = stored(targets(by_source, weights, repeats), "mix-targets")
+    total = patterns.where(F.size("pattern") > 0).agg(F.sum("size").cast("double")).first()[0] or 0.0
+    asked = stored(targets(by_source, total, weights, repeats), "mix-targets")
     given = _arcs(patterns, asked, many).groupBy("part").applyInPandas(_solver(repeats), "pattern array<string>, words long")
     plan = patterns.join(given, "pattern").select(
         "pattern", F.when(F.col("size") > 0, F.expr("words div size")).otherwise(0).alias("full"),
@@ -124,18 +125,33 @@ def _mixed(docs: DataFrame, weights: tuple[float, ...], repeats: int, seed: int,
     drawn = rows.where("size > 0").withColumn("run", run)
     sums = drawn.groupBy("pattern", "run").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("pattern").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("pattern", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    starts = stored(sums.select("pattern", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+                    .join(plan.select("pattern", "rest"), "pattern"), "mix-starts")
     inside = Window.partitionBy("pattern", "run").orderBy("h", "id", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reach = (drawn.withColumn("end", F.sum("size").over(inside)).join(starts, ["pattern", "run"])
-             .withColumn("end", F.col("end") + F.col("before")).join(plan, "pattern")
-             .select("row", "pattern", "size", "h", "rest", (F.col("end") <= F.col("rest")).alias("drawn"), "end"))
+             .withColumn("end", F.col("end") + F.col("before"))
+             .select("row", "pattern", "run", "size", "h", "rest", (F.col("end") <= F.col("rest")).alias("drawn"), "end"))
     reach = stored(reach, "mix-reach")
-    # one more document for what is left, if one comes nearer than none
-    gaps = reach.groupBy("pattern", "rest").agg(F.coalesce(F.max(F.when(F.col("drawn"), F.col("end"))), F.lit(0)).alias("reached"))
-    gaps = gaps.select("pattern", (F.col("rest") - F.col("reached")).alias("gap")).where("gap > 0")
-    left = reach.where(~F.col("drawn")).join(gaps, "pattern")
-    best = left.groupBy("pattern", "gap").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "h", "row")).alias("b"))
-    extra = best.where("b.off < gap").select(F.col("b.row").alias("row"), F.lit(True).alias("extra"))
+    # documents for what is left: twice the largest that fits, then the nearest if it comes nearer than none
+    reached = stored(reach.groupBy("pattern", "rest").agg(
+        F.coalesce(F.max(F.when(F.col("drawn"), F.col("end"))), F.lit(0)).alias("reached")), "mix-reached")
+    gaps = reached.select("pattern", (F.col("rest") - F.col("reached")).alias("gap"))
+    extra = None
+    for last in (False, False, True):
+        spread = starts.select("pattern", "run").join(gaps.where("gap > 0"), "pattern")  # dealt by run: a source may hold most rows
+        left = reach.where(~F.col("drawn"))
+        if extra is not None:
+            left = left.join(extra.select("row"), "row", "left_anti")
+        off = F.col("gap") - F.col("size")
+        fits = F.abs(off) < F.col("gap") if last else off >= 0
+        best = left.join(spread, ["pattern", "run"]).where(fits).groupBy("pattern").agg(
+            F.min(F.struct(F.abs(off).alias("off"), "h", "row", "size")).alias("b"))
+        found = best.select("pattern", "b.row", "b.size")
+        extra = stored(found if extra is None else extra.union(found), "mix-extra")
+        filled = extra.groupBy("pattern").agg(F.sum("size").alias("filled"))
+        gaps = reached.join(filled, "pattern", "left").select(
+            "pattern", (F.col("rest") - F.col("reached") - F.coalesce("filled", F.lit(0))).alias("gap"))
+    extra = extra.select("row", F.lit(True).alias("extra"))
     chosen = reach.where("drawn").select("row", F.lit(True).alias("extra")).union(extra)
     first = asked.select(F.array("source").alias("key"), "source_size", "target")
     key = F.when(F.size("pattern") > 0, F.slice("pattern", 1, 1)).otherwise(F.col("pattern"))
@@ -152,7 +168,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), repeats: int =
 
     ``source_col`` is one source or an array of them; with an array, source_size and target are those of the row's first
     source in code-point order. Size counts the words of the text (null and empty: 0, never taken). No row is taken more
-    than ``repeats`` times and every row is taken whole, so a source ends within about half of one of its documents of its
+    than ``repeats`` times and every row is taken whole, so a source ends within half of its smallest fitting document of its
     target. A null source is a source of its own, an empty array belongs to none and is not taken. Reruns agree: the seeded
     order depends on id, text hash and seed alone; an empty table gives no rows.
     """
