@@ -138,7 +138,7 @@ def _placed(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col:
     linked = member.join(lowest, "component").select("fp", "component", "component_low")
     places = nodes.join(linked, "fp", "left").select(
         "fp", F.coalesce("component", "fp").alias("root"), F.coalesce("component_low", "low").alias("low"))
-    return rows.join(places, "fp")
+    return rows.join(stored(places, "simhash-places"), "fp")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id",
