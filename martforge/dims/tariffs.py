@@ -60,8 +60,8 @@ DEFAULT_COEF = "1.0"
 AI_NORMAL_COEF = "0.3"
 AI_NORMAL_CODES = (33, 34, 427)
 
-# Most zones a family has in the new version.
-NEW_MAX_ZONES = {"КТ": 4, "КТ с КУ": 3, "МРТ": 3, "МРТ с КУ": 3}
+# Families that are priced by zones.
+ZONED = ("КТ", "КТ с КУ", "МРТ", "МРТ с КУ")
 
 
 def coefficient_table(spark: SparkSession, boundary: dt.date = BOUNDARY) -> DataFrame:
@@ -81,22 +81,19 @@ def code_dimension(codes: DataFrame, family_col: str = "family", zones_col: str
     """Rule-built two-version code dimension.
 
     Zone families (КТ, МРТ, with or without contrast) get '1 зона' / '2 и более
-    зон' in the old version and an exact zone count, capped per family, in
-    the new version; other families are their own service type.
+    зон' in the old version and the exact zone count in the new version; other families are their own service type.
     """
     fam, z = F.col(family_col), F.col(zones_col)
-    zoned = fam.isin(list(NEW_MAX_ZONES))
+    zoned = fam.isin(list(ZONED))
     old = F.when(zoned, F.concat(fam, F.when(z == 1, F.lit(" 1 зона")).otherwise(F.lit(" 2 и более зон")))) \
         .otherwise(fam)
-    cap = F.create_map(*[F.lit(x) for kv in NEW_MAX_ZONES.items() for x in kv])
-    new_z = F.least(z, F.try_element_at(cap, fam))
-    new = F.when(zoned, F.concat(fam, _zones_label(new_z))).otherwise(fam)
+    new = F.when(zoned, F.concat(fam, _zones_label(z))).otherwise(fam)
     base = codes.select(F.col(code_col).alias("diagnostic_code"), old.alias("old_type"), new.alias("new_type"),
-                        z.alias("z"), new_z.alias("nz"))
+                        z.alias("z"))
     old_v = base.select("diagnostic_code", F.col("old_type").alias("service_type"),
                         F.col("z").alias("anatomical_areas"),
                         F.lit(FAR_PAST).alias("valid_from"), F.lit(boundary).alias("valid_to"))
     new_v = base.select("diagnostic_code", F.col("new_type").alias("service_type"),
-                        F.coalesce(F.col("nz"), F.col("z")).alias("anatomical_areas"),
+                        F.col("z").alias("anatomical_areas"),
                         F.lit(boundary).alias("valid_from"), F.lit(FAR_FUTURE).alias("valid_to"))
     return old_v.unionByName(new_v)

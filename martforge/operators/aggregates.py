@@ -90,15 +90,15 @@ def min_json(c, *keys: str) -> Column:
 def union_lists(c, sep: str = ",", out_sep: str = ", ") -> Column:
     """Union of comma lists across the group: trimmed, distinct, sorted,
     joined; NULL when nothing is left."""
-    parts = F.flatten(F.collect_list(F.split(F.coalesce(_c(c), F.lit("")), sep)))
+    parts = F.flatten(F.collect_set(F.split(F.coalesce(_c(c), F.lit("")), sep)))
     items = F.array_sort(F.array_distinct(F.filter(F.transform(parts, lambda p: F.trim(p)),
                                                    lambda p: p != "")))
     return F.nullif(F.array_join(items, out_sep), F.lit(""))
 
 
-def n_distinct_null(*cols, repl=-1) -> Column:
-    """Distinct tuples with NULL replaced so they count as a value."""
-    return F.count_distinct(*[F.coalesce(_c(c), F.lit(repl)) for c in cols])
+def n_distinct_null(*cols) -> Column:
+    """Distinct tuples of any column types; NULL counts as a value."""
+    return F.count_distinct(F.struct(*[_c(c) for c in cols]))
 
 
 def group_hidden(df: DataFrame, keys, hidden, **aggs: Column) -> DataFrame:
@@ -118,7 +118,7 @@ def dup_audit(df: DataFrame, keys, by=None) -> DataFrame:
     by = list(by or [])
     g = df.groupBy(*by) if by else df.groupBy()
     return (g.agg(F.count(F.lit(1)).alias("total_rows"),
-                  n_distinct_null(*keys, repl="\u0000").alias("distinct_keys"))
+                  n_distinct_null(*keys).alias("distinct_keys"))
             .withColumn("duplicates", F.col("total_rows") - F.col("distinct_keys")))
 
 

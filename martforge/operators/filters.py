@@ -52,11 +52,11 @@ def valid_duration(df: DataFrame, start: str, end: str, max_seconds: int) -> Dat
     return df.where((s >= 0) & (s <= max_seconds))
 
 
-def drop_flagged(df: DataFrame, flag: str, action: str, flagged_action: str) -> DataFrame:
-    """drop rows with ``flag`` set and ``action`` equal to ``flagged_action``;
-    a NULL action is kept (``action IS NULL OR action != x``)."""
+def drop_flagged(df: DataFrame, flag: str, action: str, flagged_action: str, flag_value=1) -> DataFrame:
+    """two rules, both must hold: ``flag`` is not ``flag_value`` (a NULL flag goes too),
+    and ``action`` is NULL or not ``flagged_action``."""
     a = F.col(action)
-    return df.where((F.col(flag) != 1) | a.isNull() | (a != flagged_action))
+    return df.where((F.col(flag) != flag_value) & (a.isNull() | (a != flagged_action)))
 
 
 def parsed_ok(df: DataFrame, column, since=None) -> DataFrame:

@@ -51,9 +51,10 @@ def left_dim(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
 
 
 def versioned_dim(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str, at: Column,
-                  cols, bounded: bool = True) -> DataFrame:
+                  cols, bounded: bool = False) -> DataFrame:
     """Pick the dimension version valid at ``at``: equi join on the key plus
-    ``valid_from <= at < valid_to``. Equality first, so never a nested loop."""
+    ``valid_from <= at < valid_to``. Equality first, so never a nested loop.
+    ``bounded`` broadcasts the dimension; ask for it only where its size is known."""
     side = dim.select(F.col(dim_key).alias("_vd_key"), F.col("valid_from").alias("_vd_from"),
                       F.col("valid_to").alias("_vd_to"), *cols)
     if bounded:
@@ -193,8 +194,8 @@ def new_ids(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
 
 def resolve(df: DataFrame, lookup: DataFrame, id_col: str, lk_id: str, lk_name: str,
             out: str) -> DataFrame:
-    """Id -> name through a lookup, else the id as text."""
-    lk = lookup.select(F.col(lk_id).alias("_r_id"), F.col(lk_name).alias("_r_name")).dropDuplicates(["_r_id"])
+    """Id -> name through a lookup (the smallest name if an id repeats), else the id as text."""
+    lk = lookup.groupBy(F.col(lk_id).alias("_r_id")).agg(F.min(lk_name).alias("_r_name"))
     j = df.join(lk, df[id_col] == lk["_r_id"], "left")
     return j.withColumn(out, F.coalesce(F.col("_r_name"), F.col(id_col).cast("string"))).drop("_r_id", "_r_name")
 
@@ -205,7 +206,8 @@ def nearest_by_time(left: DataFrame, right: DataFrame, keys, lt: str, rt: str, r
     (keys, lt) of ``left``; ties go to the smaller ``rid``.
 
     Returns (keys, lt, near_id, near_time, near_dist_s) with NULLs when the
-    key has no right rows. Never forms all pairs within a key:
+    key has no right rows. Times are compared, and near_time is given, in whole
+    seconds. Never forms all pairs within a key:
 
     * rows are cut into time buckets of ``bucket_seconds``; inside a
       (key, bucket) two running windows (ascending and descending) give the
@@ -219,9 +221,10 @@ def nearest_by_time(left: DataFrame, right: DataFrame, keys, lt: str, rt: str, r
     keys = [keys] if isinstance(keys, str) else list(keys)
     from martforge.functions.time import epoch_micros, secs
     b = lambda c: F.floor(epoch_micros(c) / F.lit(bucket_seconds * 1_000_000))
-    L = left.select(*keys, F.col(lt).alias("_t")).where(F.col("_t").isNotNull()).distinct() \
+    whole = lambda df, c: F.date_trunc("second", F.col(c)).cast(df.schema[c].dataType).alias("_t")
+    L = left.select(*keys, F.col(lt).alias("_lt"), whole(left, lt)).where(F.col("_t").isNotNull()).distinct() \
         .withColumn("_b", b("_t"))
-    R = right.select(*keys, F.col(rt).alias("_t"), F.col(rid).alias("_rid")).where(F.col("_t").isNotNull()) \
+    R = right.select(*keys, whole(right, rt), F.col(rid).alias("_rid")).where(F.col("_t").isNotNull()) \
         .withColumn("_b", b("_t"))
     last_key = F.struct(F.col("_t").alias("t"), (-F.col("_rid")).alias("nr"))   # max -> latest, then min id
     first_key = F.struct(F.col("_t").alias("t"), F.col("_rid").alias("r"))     # min -> earliest, then min id
@@ -236,12 +239,13 @@ def nearest_by_time(left: DataFrame, right: DataFrame, keys, lt: str, rt: str, r
         F.min("_bf").over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("_next_c"))
 
     # inside the bucket: right rows sort before left rows at the same time
-    u = (L.select(*keys, "_b", "_t", F.lit(None).cast("long").alias("_rid"), F.lit(1).alias("_is_l"))
-         .unionByName(R.select(*keys, "_b", "_t", "_rid", F.lit(0).alias("_is_l"))))
+    u = (L.select(*keys, "_b", "_t", F.lit(None).cast("long").alias("_rid"), F.lit(1).alias("_is_l"), "_lt")
+         .unionByName(R.select(*keys, "_b", "_t", "_rid", F.lit(0).alias("_is_l"),
+                               F.lit(None).cast(left.schema[lt].dataType).alias("_lt"))))
     w_up = Window.partitionBy(*keys, "_b").orderBy("_t", "_is_l").rowsBetween(Window.unboundedPreceding, 0)
     w_dn = Window.partitionBy(*keys, "_b").orderBy(F.col("_t").desc(), "_is_l").rowsBetween(Window.unboundedPreceding, 0)
     is_r = F.col("_is_l") == 0
-    inb = u.select(*keys, "_b", "_t", "_is_l",
+    inb = u.select(*keys, "_b", "_t", "_is_l", "_lt",
                    F.max(F.when(is_r, last_key)).over(w_up).alias("_prev_i"),
                    F.min(F.when(is_r, first_key)).over(w_dn).alias("_next_i")).where(F.col("_is_l") == 1)
     j = inb.join(carry, [*keys, "_b"], "left")
@@ -252,5 +256,5 @@ def nearest_by_time(left: DataFrame, right: DataFrame, keys, lt: str, rt: str, r
     cand_n = F.when(nxt.isNotNull(), F.struct(secs(F.col("_t"), nxt["t"]).alias("d"),
                                               nxt["r"].alias("id"), nxt["t"].alias("t")))
     best = F.least(cand_p, cand_n)
-    return j.select(*keys, F.col("_t").alias(lt), best["id"].alias("near_id"), best["t"].alias("near_time"),
+    return j.select(*keys, F.col("_lt").alias(lt), best["id"].alias("near_id"), best["t"].alias("near_time"),
                     best["d"].alias("near_dist_s"))

@@ -316,21 +316,22 @@ def keep_latest_version(df: DataFrame, keys, loaded_at: str) -> DataFrame:
 def load_ai_use(results: DataFrame, reports: DataFrame, ai_log: DataFrame, cfg: DataFrame,
                 model_names: DataFrame, tariffs: DataFrame, date_from: dt.date, date_to: dt.date,
                 by_model_path: str, by_study_path: str, excluded_codes=(),
-                min_describe_start: dt.datetime | None = None, loaded_at: dt.datetime | None = None) -> int:
+                min_describe_start: dt.datetime | None = None, *, loaded_at: dt.datetime) -> int:
     """Build M10 -> M11, upsert M11 (keep the newest load per study x model,
-    K4), then build M12 from the *written* M11 and upsert it per study.
+    K4), then build M12 from this load's rows of the *written* M11 and upsert it per study.
+    ``loaded_at`` names the load; a rerun with the same stamp replaces it.
 
     Reading M12's input back from storage cuts the lineage: M12 never
     recomputes the M10/M11 plan, and a lost executor during M12 only
     recomputes from the stored M11 files. Returns the number of targets written.
     """
     from martforge.sinks.policies import upsert_latest
-    stamp = F.lit((loaded_at or dt.datetime(1970, 1, 1)).isoformat(" ")).cast("timestamp_ntz")
+    stamp = F.lit(loaded_at.isoformat(" ")).cast("timestamp_ntz")
     series = ai_use_series(results, reports, ai_log, cfg, model_names, date_from, date_to,
                            excluded_codes, min_describe_start)
     by_model = ai_use_by_model(series, tariffs, date_from, date_to).withColumn("loaded_at", stamp)
     upsert_latest(by_model, by_model_path, ["study_uid", "model_id"], "loaded_at")
-    stored = by_model.sparkSession.read.parquet(by_model_path)
+    stored = by_model.sparkSession.read.parquet(by_model_path).where(F.col("loaded_at") == stamp)
     by_study = ai_use_by_study(stored.drop("loaded_at")).withColumn("loaded_at", stamp)
     upsert_latest(by_study, by_study_path, ["study_uid"], "loaded_at")
     return 2

@@ -276,23 +276,15 @@ def with_roles(*roles: str) -> str:
     return "WITH " + ",\n".join(f"{r} AS ({role_sql(r)})" for r in roles) + "\n"
 
 
-# Roles and tables whose rows carry heavy per-row work (JSON, HTML, free
-# text): their scans are spread over the cores when the file has fewer splits
-# than cores (see ``sources.readers.spread``). Light roles are not: an extra
-# round-robin shuffle costs more than the single-task projection it saves.
-HEAVY = {"reports", "registry_rows", "documents", "pages", "id_lists"}
-
-
-def load(spark: SparkSession, sf_dir: str, table: str, heavy: bool = False) -> DataFrame:
-    from martforge.sources.readers import spread
-    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    return spread(df) if heavy or table in HEAVY else df
+def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A driver table; its splits follow ``spark.sql.files.maxPartitionBytes`` and ``minPartitionNum``."""
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The role table as a lazy projection of its driver parquet."""
     table, cols = ROLES[name]
-    return load(spark, sf_dir, table, heavy=name in HEAVY).selectExpr(*[f"{_expr(e, 'spark')} AS {n}" for n, e in cols])
+    return load(spark, sf_dir, table).selectExpr(*[f"{_expr(e, 'spark')} AS {n}" for n, e in cols])
 
 
 class Tables:

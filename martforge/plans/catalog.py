@@ -182,8 +182,7 @@ defects AS (SELECT DISTINCT study_uid, 1 AS has_defect_ab FROM lvl1
 tr AS (SELECT DISTINCT accession_number FROM trauma WHERE accession_number IS NOT NULL),
 pins AS (SELECT accession_number, {LOCAL('max(task_pin_end_date)')} AS max_pin_end FROM pin_tasks
          WHERE accession_number IS NOT NULL GROUP BY accession_number),
-pz AS (SELECT *, least(zones, CASE family WHEN 'КТ' THEN 4 WHEN 'КТ с КУ' THEN 3 WHEN 'МРТ' THEN 3
-                                         WHEN 'МРТ с КУ' THEN 3 END) AS nz FROM procedures),
+pz AS (SELECT *, zones AS nz FROM procedures),
 dim AS (
   SELECT diagnostic_code,
          CASE WHEN family IN {ZONED} THEN family || CASE WHEN zones = 1 THEN ' 1 зона' ELSE ' 2 и более зон' END
@@ -991,7 +990,7 @@ def q_stream_event_dedupe(spark, sf_dir):
     ev = Tables(spark, sf_dir).etl_events.select("entity", F.col("loaded").cast("timestamp").alias("loaded"))
     ev.write.parquet(src)
     ev.write.mode("append").parquet(src)
-    R.stream_event_log(spark, src, dst, ck, ev.schema).awaitTermination()
+    R.stream_event_log(spark, src, dst, ck, ev.schema, max_files=1).awaitTermination()
     return spark.read.parquet(dst).select("entity", F.col("loaded").cast("timestamp_ntz").alias("loaded"))
 
 

@@ -88,8 +88,7 @@ def undescribed_queue(examinations: DataFrame, results: DataFrame, pin_tasks: Da
                           name="benefit_name", out="llo_benefit_status")
     e = W.first_row(e, "accession_number", "conduct_date",
                     tie=["eris_result_emp_id", "task_list_fio", "undescr_status"])
-    e = e.where(F.col("is_trauma_exam") != TRAUMA)
-    e = e.where(F.col("undescr_action").isNull() | (F.col("undescr_action") != DEL_ASSIGNMENT))
+    e = Fl.drop_flagged(e, "is_trauma_exam", "undescr_action", DEL_ASSIGNMENT, TRAUMA)
     out = e.select("accession_number", "conduct_date", "patient_id", "ae_title", "research_id",
                    "assignment_status", "eris_result_emp_id", "pin_status", "task_pin_end_date", "task_pin_status",
                    "is_trauma_exam", "undescr_status", "undescr_reading_type", "undescr_action", "undescr_cito",

@@ -28,35 +28,39 @@ DEFAULTS = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "martforge") -> SparkSession:
-    """Return the active session or build a local one with :data:`DEFAULTS`."""
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
+    """Return the active session or build one; :data:`DEFAULTS` fill in what nobody has set."""
+    active = SparkSession.getActiveSession()
+    if active is None:
+        builder = SparkSession.builder.appName(app_name)
+        if master:  # a local session of our own; a cluster's come with spark-submit
+            builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        active = builder.getOrCreate()
+    given = {row.key for row in active.sql("SET").collect()}
     for key, value in DEFAULTS.items():
-        builder = builder.config(key, value)
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
-    return spark
+        if key.startswith("spark.sql.") and key not in given:
+            active.conf.set(key, value)
+    if shuffle_partitions and "spark.sql.shuffle.partitions" not in given:
+        active.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    active.sparkContext.setLogLevel("ERROR")
+    checkpoint_dir(active)
+    return active
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a scratch folder is taken and
-    recorded in the session, so ``DataFrame.checkpoint()`` works everywhere.
+    Where the setting is absent, a session on one machine (master ``local[...]``, as in tests) takes a scratch
+    folder and records it; on a cluster that would be a folder only one machine sees, so it is an error there.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="martforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:

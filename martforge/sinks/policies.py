@@ -58,14 +58,20 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return out
 
 
+def _move(fs, a, b) -> None:
+    """Rename that raises where Hadoop only returns false; what was staged stays in place then."""
+    if not fs.rename(a, b):
+        raise OSError(f"could not rename {a} to {b}")
+
+
 def _swap(spark: SparkSession, staged: str, target: str) -> None:
     """Replace ``target`` by ``staged`` (rename; the old copy is removed last)."""
     fs, t, jvm = _fs(spark, target)
     old = jvm.org.apache.hadoop.fs.Path(f"{target}.old-{uuid.uuid4().hex[:8]}")
     had = fs.exists(t)
     if had:
-        fs.rename(t, old)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(staged), t)
+        _move(fs, t, old)
+    _move(fs, jvm.org.apache.hadoop.fs.Path(staged), t)
     if had:
         fs.delete(old, True)
 
@@ -120,21 +126,21 @@ def replace_window(df: DataFrame, path: str, date_col: str, lo: dt.date, hi: dt.
     if not fs.exists(root):
         fs.mkdirs(root)
     for v in partition_values(spark, path, date_col):
-        if lo <= dt.date.fromisoformat(v) <= hi and v not in days:
+        if v != "__HIVE_DEFAULT_PARTITION__" and lo <= dt.date.fromisoformat(v) <= hi and v not in days:
             delete(spark, f"{path.rstrip('/')}/{date_col}={v}")
     for v in days:
         delete(spark, f"{path.rstrip('/')}/{date_col}={v}")
-        fs.rename(jvm.org.apache.hadoop.fs.Path(f"{staged}/{date_col}={v}"),
-                  jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{date_col}={v}"))
+        _move(fs, jvm.org.apache.hadoop.fs.Path(f"{staged}/{date_col}={v}"),
+              jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{date_col}={v}"))
     delete(spark, staged)
     return True
 
 
 def append_retain(df: DataFrame, path: str, load_col: str, as_of: dt.date, days: int) -> None:
-    """K3: append a snapshot partitioned by load date, then drop partitions
-    older than ``as_of - days``."""
+    """K3: add a snapshot partitioned by load date, then drop partitions older than
+    ``as_of - days``. A load date that is loaded again replaces its partition."""
     spark = df.sparkSession
-    df.write.mode("append").partitionBy(load_col).parquet(path)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(load_col).parquet(path))
     floor = as_of - dt.timedelta(days=days)
     for v in partition_values(spark, path, load_col):
         try:
@@ -147,12 +153,19 @@ def append_retain(df: DataFrame, path: str, load_col: str, as_of: dt.date, days:
 
 def upsert_latest(df: DataFrame, path: str, keys, ver: str) -> None:
     """K4: union stored and new rows, keep the newest version per key (ties
-    kept, W6), write to staging and swap in."""
+    kept, W6), write to staging and swap in. Stored rows of a key and version
+    that come again are replaced, so a repeated load changes nothing."""
     spark = df.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     allrows = df
     if exists(spark, path):
-        allrows = align_schema(spark.read.parquet(path), df)
+        own = [*keys, ver]
+        again = df.select(*(F.col(c).alias(f"_new_{c}") for c in own)).distinct()
+        stored = spark.read.parquet(path)
+        same = F.lit(True)
+        for c in own:
+            same = same & stored[c].eqNullSafe(again[f"_new_{c}"])
+        allrows = align_schema(stored.join(again, same, "left_anti"), df)
     staged = _staging(path)
     keep_latest(allrows, keys, ver).write.mode("overwrite").parquet(staged)
     _swap(spark, staged, path)

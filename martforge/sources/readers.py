@@ -27,21 +27,6 @@ def read_table(spark: SparkSession, path_or_name: str, fmt: str = "parquet", **o
     return spark.read.format(fmt).options(**options).load(path_or_name)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan with fewer input splits than the cluster has cores.
-
-    A table stored as one large row group is read by one task, and every
-    row-wise step before the first shuffle (JSON parsing, regexes) would run
-    single-threaded. Only then the rows are dealt round-robin over the
-    cores; a scan that already has enough splits (any large table) is left
-    as it is, so at cluster scale this adds nothing.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def _ts_lit(d) -> F.Column:
     from martforge.functions.time import ntz
     return ntz(d)

@@ -1,5 +1,5 @@
 """Structured Streaming jobs."""
 
-from martforge.streaming.jobs import dedupe_event_log, stream_event_log, stream_ids
+from martforge.streaming.jobs import add_events, stream_event_log, stream_ids
 
-__all__ = ["dedupe_event_log", "stream_event_log", "stream_ids"]
+__all__ = ["add_events", "stream_event_log", "stream_ids"]

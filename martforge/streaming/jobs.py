@@ -9,8 +9,9 @@ and stops, so a scheduler can run it like a batch job; a restart resumes
 from the checkpoint and never adds an id twice (the batch is also anti-joined
 with the target, so a replayed batch is harmless).
 
-R2 keeps the source-refresh event log free of repeats: rows are de-duplicated
-on (entity, loaded) with a watermark, so state only covers the horizon.
+R2 keeps the source-refresh event log free of repeats: each micro-batch is
+anti-joined with the stored log on (entity, loaded), so a row is kept once
+whenever it arrives and a replayed batch adds nothing.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martforge.functions import norm_accession
-from martforge.sinks.policies import insert_unseen
+from martforge.sinks.policies import exists, insert_unseen
 
 ID_FILE_SCHEMA = T.StructType([T.StructField("raw_id", T.StringType())])
 
@@ -41,15 +42,19 @@ def stream_ids(spark: SparkSession, src_dir: str, dst_path: str, checkpoint: str
             .trigger(availableNow=True).start())
 
 
-def dedupe_event_log(events: DataFrame, horizon: str = "15 days") -> DataFrame:
-    """R2 logic: drop repeated (entity, loaded) rows within the watermark horizon."""
-    return events.withWatermark("loaded", horizon).dropDuplicatesWithinWatermark(["entity", "loaded"])
+def add_events(events: DataFrame, dst_path: str) -> None:
+    """R2 logic: append the (entity, loaded) pairs that the stored log does not hold yet, however late they come."""
+    spark, new = events.sparkSession, events.select("entity", "loaded").distinct()
+    if exists(spark, dst_path):
+        log = spark.read.schema(new.schema).parquet(dst_path).withColumnsRenamed({"entity": "_e", "loaded": "_l"})
+        new = new.join(log, new.entity.eqNullSafe(log["_e"]) & new.loaded.eqNullSafe(log["_l"]), "left_anti")
+    new.write.mode("append").parquet(dst_path)
 
 
 def stream_event_log(spark: SparkSession, src_dir: str, dst_path: str, checkpoint: str,
-                     schema: T.StructType, horizon: str = "15 days"):
+                     schema: T.StructType, max_files: int = 1000):
     """R2: stream parquet event files to a de-duplicated parquet log."""
-    src = spark.readStream.schema(schema).parquet(src_dir).select("entity", "loaded")
-    return (dedupe_event_log(src, horizon).writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", checkpoint).option("path", dst_path)
-            .trigger(availableNow=True).start())
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(src_dir)
+           .select("entity", "loaded"))
+    return (src.writeStream.foreachBatch(lambda batch, _: add_events(batch, dst_path))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

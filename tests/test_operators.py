@@ -145,7 +145,8 @@ def test_filters_and_setops(spark):
     assert rows(Fl.non_empty(df, "s"), "id") == [(2,)]
     assert rows(Fl.in_range(df, "m", 1, 9999), "id") == [(1,), (3,)]
     flagged = df.withColumn("f", F.lit(1))
-    assert rows(Fl.drop_flagged(flagged, "f", "act", "DEL"), "id") == [(1,), (2,)]
+    assert rows(Fl.drop_flagged(flagged, "f", "act", "DEL"), "id") == []
+    assert rows(Fl.drop_flagged(df.withColumn("f", F.lit(0)), "f", "act", "DEL"), "id") == [(1,), (2,)]
     out, obs = Fl.drop_null_key(df, "s")
     assert out.count() == 2 and obs.get["dropped"] == 1
     assert rows(Fl.stamp_batch_max(df, "m", "mx"), "mx") == [(10000,)] * 3
@@ -185,3 +186,33 @@ def test_health_roll_up(spark):
     df = spark.createDataFrame([("a", True, 1), ("b", False, 0), ("c", False, 1)], "t string, crit boolean, f int")
     out = A.health(df, F.col("crit"), n_fresh=F.col("f") == 1)
     assert rows(out) == [(1, 3, 2)]
+
+
+def test_audit_counts_null_keys_of_any_type(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (None, "a"), (None, None), (None, None)], "k long, s string")
+    row = A.dup_audit(df, ["k", "s"]).first()
+    assert (row.total_rows, row.distinct_keys, row.duplicates) == (5, 3, 2)
+
+
+def test_nearest_by_time_compares_whole_seconds(spark):
+    left = spark.createDataFrame([("k", "2024-01-01 00:00:10.5")], "k string, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    right = spark.createDataFrame([("k", "2024-01-01 00:00:08.2", 1), ("k", "2024-01-01 00:00:08.7", 2)],
+                                  "k string, e string, id long").withColumn("e", F.col("e").cast("timestamp_ntz"))
+    row = J.nearest_by_time(left, right, "k", "t", "e", "id").first()
+    assert (row.near_id, row.near_dist_s) == (1, 2) and row.t.microsecond == 500000
+
+
+def test_resolve_takes_the_smallest_name(spark):
+    df = spark.createDataFrame([(1,), (2,)], "uid long")
+    names = spark.createDataFrame([(1, "b"), (1, "a")], "id long, name string")
+    assert rows(J.resolve(df, names, "uid", "id", "name", "who"), "uid", "who") == [(1, "a"), (2, "2")]
+
+
+def test_session_keeps_what_was_set(spark):
+    from martforge.session import get_session
+    before = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "7m")
+    try:
+        assert get_session().conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold") == "7m"
+    finally:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", before or "32m")

@@ -112,3 +112,47 @@ def test_stream_event_log_equals_batch_distinct(spark, tmp):
     got = spark.read.parquet(dst)
     assert got.count() == ev.distinct().count()
     assert got.exceptAll(ev.distinct()).count() == 0
+
+
+def test_stream_event_log_keeps_late_rows(spark, tmp):
+    src, dst, ck = (os.path.join(tmp, n) for n in ("late", "late-log", "late-ck"))
+    log = lambda *days: spark.createDataFrame([("a", d) for d in days], "entity string, loaded string").withColumn(
+        "loaded", F.col("loaded").cast("timestamp"))
+    log("2024-03-01", "2024-03-01").write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    R.stream_event_log(spark, src, dst, ck, schema, max_files=1).awaitTermination()
+    log("2024-01-01", "2024-03-01").write.mode("append").parquet(src)
+    R.stream_event_log(spark, src, dst, ck, schema, max_files=1).awaitTermination()
+    assert sorted(str(r.loaded.date()) for r in spark.read.parquet(dst).collect()) == ["2024-01-01", "2024-03-01"]
+
+
+def test_snapshot_and_upsert_rerun_change_nothing(spark, tmp):
+    import datetime as dt
+    snap = spark.createDataFrame([(dt.date(2024, 1, 5), 1)], "load_date date, v int")
+    for _ in range(2):
+        K.append_retain(snap, os.path.join(tmp, "snap"), "load_date", dt.date(2024, 1, 5), 3)
+    assert spark.read.parquet(os.path.join(tmp, "snap")).count() == 1
+    rows_ = spark.createDataFrame([("a", 1, 5), (None, 1, 6)], "k string, ver int, v int")
+    for _ in range(2):
+        K.upsert_latest(rows_, os.path.join(tmp, "up"), "k", "ver")
+    assert spark.read.parquet(os.path.join(tmp, "up")).count() == 2
+
+
+def test_replace_window_null_partition_and_failing_rename(spark, tmp):
+    import datetime as dt
+
+    import pytest
+    from martforge.sinks import policies
+    path = os.path.join(tmp, "win")
+    frame = lambda *d: spark.createDataFrame([(x, 1) for x in d], "d date, v int")
+    day = dt.date(2024, 1, 2)
+    frame(None, day).write.partitionBy("d").parquet(path)
+    assert K.replace_window(frame(day), path, "d", day, day)
+    assert spark.read.parquet(path).count() == 2
+
+    class Stuck:
+        def rename(self, a, b):
+            return False
+
+    with pytest.raises(OSError):
+        policies._move(Stuck(), "a", "b")
