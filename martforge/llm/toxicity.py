@@ -88,30 +88,29 @@ def train(rows: list[tuple[str | None, int]], limits: Limits = Limits()) -> Mode
     No rows, or rows of one label only, give a model without features that calls nothing toxic. The order of rows
     does not matter beyond rounding; rows are used as often as they come.
     """
-    bags = [([[f for w in set(s.lower().split()) for f in features(w, limits)] for s in SENTENCE.findall(text or "")], y)
-            for text, y in rows]
-    seen, hit, toxic = Counter(), Counter(), sum(y for _, y in bags)
-    for sentences, y in bags:
-        own = {f for s in sentences for f in s}
-        seen.update(own)
+    split = lambda text: [set(x.lower().split()) for x in SENTENCE.findall(text or "")]
+    toxic = sum(y for _, y in rows)
+    clean = len(rows) - toxic
+    # features of toxic documents first; of the others only those are counted, so memory follows the toxic part
+    hit, other = Counter(), Counter()
+    for text, y in rows:
         if y:
-            hit.update(own)
-    clean = len(bags) - toxic
-    lift = {}
-    for f, a in hit.items():
-        if a >= limits.min_docs:
-            b = seen[f] - a
-            lift[f] = math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
+            hit.update({f for w in set().union(*split(text)) for f in features(w, limits)})
+    hit = {f: n for f, n in hit.items() if n >= limits.min_docs}
+    for text, y in rows:
+        if not y:
+            other.update({f for w in set().union(*split(text)) for f in features(w, limits) if f in hit})
+    lift = {f: math.log((a + 0.5) / (toxic + 1)) - math.log((other[f] + 0.5) / (clean + 1)) for f, a in hit.items()}
     chosen = sorted((f for f in lift if lift[f] > 1.0), key=lambda f: (-lift[f] * math.sqrt(hit[f]), f))[:limits.features]
     at = {f: i for i, f in enumerate(chosen)}
     if not chosen or not clean:
         return Model({}, -20.0, limits)
     sent_of, feat_of, doc_of, y_of, plain = [], [], [], [], []
-    for d, (sentences, y) in enumerate(bags):
+    for d, (text, y) in enumerate(rows):
         y_of.append(y)
         bare = 0
-        for s in sentences:
-            own = {at[f] for f in s if f in at}
+        for s in split(text):
+            own = sorted({at[f] for w in s for f in features(w, limits) if f in at})
             if own:
                 sent_of += [len(doc_of)] * len(own)
                 feat_of += own
