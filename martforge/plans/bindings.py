@@ -23,7 +23,7 @@ SERIES_UID = (
     "CASE WHEN l_linenumber = 5 THEN concat('1.2.840.', CAST(l_orderkey AS STRING)) "
     "WHEN l_linenumber = 6 THEN CAST(l_orderkey AS STRING) "
     "WHEN l_linenumber = 7 THEN concat('1.2.', CAST(20240101000000 + l_orderkey AS STRING), '.1') "
-    "ELSE concat('1.2.643.', CAST(l_orderkey AS STRING), '.', CAST(1095 + l_suppkey % 3 AS STRING), '.1') END")
+    "ELSE concat('1.2.643.', CAST(l_orderkey AS STRING), '.', CAST(1095 + l_suppkey % 5 AS STRING), '.1') END")
 
 # role -> (driver table, [(column, expression)])
 ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
@@ -62,6 +62,14 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("amount", "l_extendedprice"),
         ("patient_key", "CAST(l_suppkey AS STRING)"),
         ("job_id", "l_partkey % 3"),
+        ("emp_fio", "concat('врач ', CAST(l_suppkey AS STRING))"),
+        ("diagnostic_name", "concat('услуга ', CAST(l_partkey % 50 AS STRING))"),
+        ("diag_code", "CASE WHEN l_partkey % 5 = 0 THEN '' ELSE concat('Z', CAST(l_partkey % 100 AS STRING)) END"),
+        ("conduct_mo_name", "concat('МО ', CAST(l_suppkey % 7 AS STRING))"),
+        ("conduct_mu_name", "CASE WHEN l_partkey % 29 = 0 THEN NULL ELSE concat('МУ ', CAST(l_partkey % 11 AS STRING)) END"),
+        ("conduct_district_name", "concat('округ ', CAST(l_suppkey % 12 AS STRING))"),
+        ("patient_gender", "CASE l_linenumber % 3 WHEN 0 THEN 'М' WHEN 1 THEN 'Ж' ELSE NULL END"),
+        ("assignment_status", "CASE WHEN l_partkey % 8 = 0 THEN 'В работе' WHEN l_partkey % 53 = 0 THEN NULL ELSE 'Выполнено' END"),
     ]),
     # Units (describing departments): id -> short name.
     "units": ("supplier", [
@@ -87,11 +95,11 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
          "CASE WHEN l_linestatus = 'O' AND l_linenumber = 1 THEN 'null' ELSE concat("
          "'{\"studyIUID\": \"', CAST(l_orderkey AS STRING), '\", \"aiResult\": {\"norma\": \"', "
          "CAST(l_partkey % 2 AS STRING), '\", \"seriesIUID\": \"', " + SERIES_UID + ", "
-         "'\", \"modelId\": ', CAST(1095 + l_suppkey % 3 AS STRING), ', \"error\": \"', "
+         "'\", \"modelId\": ', CAST(1095 + l_suppkey % 5 AS STRING), ', \"error\": \"', "
          "CASE WHEN l_returnflag = 'R' AND l_linenumber = 2 THEN 'timeout' ELSE '' END, '\"}}') END"),
         ("computed_data",
          "concat('{\"studyUid\": \"', CAST(l_orderkey AS STRING), '\", \"modelId\": ', "
-         "CAST(1095 + l_suppkey % 3 AS STRING), ', \"pumStudyReadyForAiTime\": \"', "
+         "CAST(1095 + l_suppkey % 5 AS STRING), ', \"pumStudyReadyForAiTime\": \"', "
          "CAST(l_shipdate - INTERVAL 1 MINUTE * l_suppkey AS STRING), '\", \"pumReportSentTime\": \"', "
          "CASE WHEN l_partkey % 97 = 0 THEN concat(substr(CAST(l_shipdate AS STRING), 1, 10), ' 12:30:60') "
          "ELSE CAST(l_shipdate + INTERVAL 1 SECOND * (l_partkey % 900) AS STRING) END, "
@@ -134,7 +142,9 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("end_date",
          "CASE WHEN o_orderstatus = 'O' THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INT) END"),
         ("benefit_name", "o_orderpriority"),
-        ("benefit_code", "CASE WHEN o_orderstatus = 'P' THEN '999' ELSE '940' END"),
+        ("benefit_code", "CASE WHEN o_orderstatus = 'P' THEN '999' WHEN o_custkey % 2 = 0 THEN '941' ELSE '940' END"),
+        ("patient_status_id", "CASE WHEN o_orderkey % 9 = 0 THEN '12' WHEN o_orderkey % 31 = 0 THEN NULL ELSE '11' END"),
+        ("status_llo_id", "CASE WHEN o_orderkey % 7 = 0 THEN '3' ELSE '4' END"),
     ]),
     # Trauma-route records: (device, procedure) pairs per accession.
     "trauma": ("customer", [

@@ -22,6 +22,8 @@ AS_OF = dt.date(2002, 1, 1)
 DAYS = 2700
 LO = (AS_OF - dt.timedelta(days=DAYS)).isoformat()
 HI = AS_OF.isoformat()
+LOADED_AT = dt.datetime(2002, 1, 1, 3, 0, 0)
+LOADED = "TIMESTAMP '2002-01-01 03:00:00'"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,14 +78,15 @@ t2 AS (SELECT * FROM results WHERE accession_number IS NOT NULL
        AND {LOCAL_DATE('doc_created')} BETWEEN DATE '{LO}' AND DATE '{HI}'
        AND conduct_date IS NOT NULL)
 SELECT {LOCAL_DATE('t2.conduct_date')} AS conduct_date, payment_source, device_type,
-       type_code AS assessment_result_type_code, describe_unit_id AS assignment_describe_mu_id,
+       type_code AS assessment_result_type_code, conduct_mo_name, conduct_mu_name,
+       describe_unit_id AS assignment_describe_mu_id,
        ai.norma_value, {AGE_GROUP.format(a='ie.patient_age')} AS age_group,
-       count(DISTINCT t2.accession_number) AS cnt
+       count(DISTINCT t2.accession_number) AS cnt, {LOADED} AS load_datetime
 FROM t2 LEFT JOIN ie USING (accession_number) LEFT JOIN ai ON t2.study_uid = ai.study_uid
 GROUP BY ALL""")
 def q_unit_summary(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return C.unit_summary(t.results, t.examinations, t.reports, AS_OF, DAYS)
+    return C.unit_summary(t.results, t.examinations, t.reports, AS_OF, DAYS, loaded_at=LOADED_AT)
 
 
 # ---- M3 describe time daily ---------------------------------------------------
@@ -91,43 +94,47 @@ def q_unit_summary(spark, sf_dir):
 @register("describe_time_daily", with_roles("results", "reports") + f""",
 {AI_NORMA_SQL},
 t2 AS (SELECT * FROM results WHERE describe_start IS NOT NULL AND doc_created IS NOT NULL
-       AND accession_number IS NOT NULL AND doc_created >= TIMESTAMP '{LO} 00:00:00'),
+       AND accession_number IS NOT NULL AND assignment_status = 'Выполнено'
+       AND doc_created >= TIMESTAMP '{LO} 00:00:00'),
 studies AS (
   SELECT * FROM (
-    SELECT accession_number, diagnostic_code, ai.norma_value, min(device_type) AS modality,
+    SELECT accession_number, diagnostic_code, ai.norma_value, min(diagnostic_name) AS diagnostic_name,
+           min(device_type) AS modality,
            min(describe_start) AS describe_start, min(doc_created) AS describe_end
     FROM t2 LEFT JOIN ai ON t2.study_uid = ai.study_uid
     GROUP BY accession_number, diagnostic_code, ai.norma_value) s
   WHERE describe_end >= describe_start AND date_diff('second', describe_start, describe_end) <= 21600),
 agg AS (
-  SELECT CAST(describe_end AS DATE) AS report_date, diagnostic_code, modality, norma_value,
+  SELECT CAST(describe_end AS DATE) AS report_date, diagnostic_code, diagnostic_name, modality, norma_value,
          count(*) AS n_studies, avg(date_diff('second', describe_start, describe_end)) AS avg_seconds
   FROM studies GROUP BY ALL)
-SELECT report_date, diagnostic_code, modality, norma_value, n_studies, avg_seconds,
-       printf('%d:%02d:%02d', r // 3600, (r % 3600) // 60, r % 60) AS avg_time
+SELECT report_date, diagnostic_code, diagnostic_name, modality, norma_value, n_studies, avg_seconds,
+       printf('%d:%02d:%02d', r // 3600, (r % 3600) // 60, r % 60) AS avg_time, {LOADED} AS load_datetime
 FROM (SELECT *, CAST(round_even(avg_seconds, 0) AS BIGINT) AS r FROM agg) x""")
 def q_describe_time_daily(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return C.describe_time_daily(t.results, t.reports, AS_OF, DAYS)
+    return C.describe_time_daily(t.results, t.reports, AS_OF, DAYS, loaded_at=LOADED_AT)
 
 
 # ---- M4 distinct conclusions ------------------------------------------------
 
 @register("distinct_conclusions", with_roles("results") + f"""
 SELECT DISTINCT accession_number, study_uid,
-       CAST(doc_created + INTERVAL 3 HOUR AS DATE) AS doc_date,
-       doc_created + INTERVAL 3 HOUR AS doc_created_plus_3h,
-       payment_source, device_type, type_code AS assessment_result_type_code,
+       {LOCAL_DATE('doc_created')} AS doc_date,
+       {LOCAL('doc_created')} AS assignment_result_doc_created_date_plus_3h,
+       emp_fio AS assignment_result_emp_fio, payment_source, device_type, diagnostic_name,
+       type_code AS assessment_result_type_code,
+       conduct_mo_name, conduct_mu_name, conduct_district_name, patient_gender,
        describe_unit_id AS assignment_describe_mu_id,
        CAST(emp_id AS VARCHAR) AS assignment_result_emp_id,
        {LOCAL('conduct_date')} AS conduct_datetime,
-       {LOCAL_DATE('conduct_date')} AS conduct_date_only
+       {LOCAL_DATE('conduct_date')} AS conduct_date_only, {LOADED} AS load_datetime
 FROM results
 WHERE accession_number IS NOT NULL AND type_code = 1 AND conduct_date IS NOT NULL
   AND CAST(doc_created + INTERVAL 3 HOUR AS DATE) BETWEEN DATE '{LO}' AND DATE '{HI}'""")
 def q_distinct_conclusions(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return C.distinct_conclusions(t.results, t.examinations, AS_OF, DAYS)
+    return C.distinct_conclusions(t.results, t.examinations, AS_OF, DAYS, loaded_at=LOADED_AT)
 
 
 # ---- M1 conclusions summary ------------------------------------------------
@@ -136,11 +143,21 @@ TARIFF_BOUNDARY = dt.date(1998, 6, 1)
 DEFECTS_SINCE = dt.datetime(1990, 1, 1)
 
 
+# Coefficients before and from the boundary, written out here so that the twin can disagree.
+TWIN_BEFORE = (
+    ("КТ с КУ 1 зона", 30.41), ("КТ с КУ 2 и более зон", 49.75), ("КТ 1 зона", 11.58), ("КТ 2 и более зон", 11.58),
+    ("МРТ 1 зона", 15.06), ("МРТ 2 и более зон", 15.06), ("МРТ с КУ 1 зона", 34.71),
+    ("МРТ с КУ 2 и более зон", 60.25), ("ММГ", 3.67), ("РГ", 3.67), ("ФЛГ", 1.0), ("Денс", 2.15))
+TWIN_FROM = (
+    ("КТ с КУ 1 зона", 35.71), ("КТ с КУ 2 зоны", 43.01), ("КТ с КУ 3 зоны", 50.30), ("КТ 1 зона", 14.59),
+    ("КТ 2 зоны", 21.88), ("КТ 3 зоны", 29.17), ("КТ 4 зоны", 36.47), ("МРТ 1 зона", 17.22), ("МРТ 2 зоны", 25.86),
+    ("МРТ 3 зоны", 34.44), ("МРТ с КУ 1 зона", 39.92), ("МРТ с КУ 2 зоны", 48.50), ("МРТ с КУ 3 зоны", 57.14),
+    ("ММГ", 3.67), ("РГ", 3.67), ("ФЛГ", 1.0), ("Денс", 2.15))
+
+
 def _coef_values() -> str:
-    from martforge.dims.tariffs import FAR_FUTURE, FAR_PAST, NEW_COEFS, OLD_COEFS
-    b = TARIFF_BOUNDARY.isoformat()
-    rows = [f"('{s}', CAST({c} AS DECIMAL(18,2)), DATE '{FAR_PAST}', DATE '{b}')" for s, c in OLD_COEFS]
-    rows += [f"('{s}', CAST({c} AS DECIMAL(18,2)), DATE '{b}', DATE '{FAR_FUTURE}')" for s, c in NEW_COEFS]
+    periods = [(TWIN_BEFORE, "1900-01-01", TARIFF_BOUNDARY), (TWIN_FROM, TARIFF_BOUNDARY, "2999-12-31")]
+    rows = [f"('{s}', CAST({c} AS DECIMAL(18,2)), DATE '{a}', DATE '{b}')" for v, a, b in periods for s, c in v]
     return "coefs(service_type, coef, valid_from, valid_to) AS (VALUES " + ", ".join(rows) + ")"
 
 
@@ -216,14 +233,17 @@ k AS (
                  ELSE coalesce(coef, CAST(1.0 AS DECIMAL(18,2))) END AS c,
          CAST(trunc(date_diff('second', coalesce(max_pin_end, {LOCAL('conduct_date')}), {LOCAL('doc_created')}) / 3600) AS BIGINT) AS h
   FROM j)
-SELECT doc_day AS doc_date, CAST(emp_id AS VARCHAR) AS assignment_result_emp_id, payment_source, device_type,
+SELECT doc_day AS doc_date, CAST(emp_id AS VARCHAR) AS assignment_result_emp_id,
+       emp_fio AS assignment_result_emp_fio, payment_source, device_type, diagnostic_name,
+       conduct_mo_name, conduct_mu_name, conduct_district_name, patient_gender,
        type_code AS assessment_result_type_code, describe_unit_id AS assignment_describe_mu_id,
        service_type, anatomical_areas, norma_value, has_defect_ab,
        {AGE_GROUP.format(a='patient_age')} AS age_group,
        CASE WHEN max_pin_end IS NOT NULL THEN 1 ELSE 0 END AS has_task_pin_record,
        trauma_after_orthopedist_flag,
        CASE WHEN h < 24 THEN 'Менее 24 часов' WHEN h < 48 THEN 'Более 24 часов' ELSE 'Более 48 часов' END AS time_interval,
-       CAST(sum(c) AS DOUBLE) AS total_coefficient, count(DISTINCT accession_number) AS cnt
+       CAST(sum(c) AS DOUBLE) AS total_coefficient, count(DISTINCT accession_number) AS cnt,
+       CAST(0 AS DOUBLE) AS tarif, {LOADED} AS load_datetime
 FROM k GROUP BY ALL"""
 
 
@@ -234,7 +254,7 @@ def q_conclusions_summary(spark, sf_dir):
     dim = code_dimension(t.procedures, boundary=TARIFF_BOUNDARY)
     return C.conclusions_summary(t.results, t.examinations, t.reports, t.pin_tasks, t.trauma, dim,
                                  coefficient_table(spark, TARIFF_BOUNDARY), AS_OF, DAYS,
-                                 TARIFF_BOUNDARY, DEFECTS_SINCE)
+                                 TARIFF_BOUNDARY, DEFECTS_SINCE, loaded_at=LOADED_AT)
 
 
 # ---- M10-M13, M20 AI use ----------------------------------------------------
@@ -487,7 +507,8 @@ ie AS (SELECT accession_number, min(patient_age) AS patient_age, min(patient_id)
        FROM examinations WHERE accession_number IS NOT NULL GROUP BY accession_number),
 {AI_NORMA_SQL},
 per AS (SELECT DISTINCT patient_id, start_date, coalesce(end_date, DATE '2099-12-31') AS end_date, benefit_name
-        FROM benefits WHERE benefit_code IN ('940', '941') AND patient_id IS NOT NULL),
+        FROM benefits WHERE benefit_code IN ('940', '941') AND patient_status_id = '11' AND status_llo_id IN ('4')
+          AND patient_id IS NOT NULL),
 ap AS (SELECT DISTINCT accession_number FROM pin_tasks WHERE task_pin_end_date IS NULL AND accession_number IS NOT NULL),
 lp AS (SELECT accession_number, task_pin_status, task_pin_end_date FROM (
          SELECT *, row_number() OVER (PARTITION BY accession_number
@@ -516,7 +537,9 @@ f AS (SELECT *, row_number() OVER (PARTITION BY accession_number ORDER BY conduc
 rd AS (SELECT eris_id, min(assignment_doctor_job_name) AS assignment_doctor_job_name FROM routes
        WHERE eris_id IN (SELECT accession_number FROM f) GROUP BY eris_id)
 SELECT conduct_local AS conduct_date, {LOCAL('doc_created')} AS describe_date, accession_number, patient_id,
-       payment_source, device_type, type_code AS assessment_result_type_code,
+       payment_source, device_type, diagnostic_name, type_code AS assessment_result_type_code,
+       conduct_mo_name, conduct_mu_name, diag_code, {LOADED} AS load_datetime,
+       {LOCAL('describe_start')} AS assignment_describe_start_date,
        describe_unit_id AS assignment_describe_mu_id, unit_name AS lpu_short_name_by_lpu_id, assignment_mu_id,
        assignment_unit_name AS lpu_short_name_by_assignment_mu_id, norma_value,
        {AGE_GROUP.format(a='patient_age')} AS age_group, pin_status, task_pin_end_date, task_pin_status,
@@ -525,7 +548,7 @@ FROM f LEFT JOIN rd ON rd.eris_id = f.accession_number WHERE rn = 1""")
 def q_benefit_cohort(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return OP.benefit_cohort(t.results, t.examinations, t.reports, t.units, t.benefits, t.pin_tasks,
-                             dt.date.fromisoformat(LO), AS_OF, routes=t.routes)
+                             dt.date.fromisoformat(LO), AS_OF, routes=t.routes, loaded_at=LOADED_AT)
 
 
 @register("equipment_studies", with_roles("inpatient_orders", "inpatient_exams", "facilities") + f"""
@@ -884,7 +907,8 @@ lt AS (SELECT accession_number, job_execution_id FROM (
          WHERE br.accession_number IS NOT NULL) x WHERE rn = 1),
 ltf AS (SELECT lt.accession_number, grm.fio AS task_list_fio FROM lt LEFT JOIN grm ON lt.job_execution_id = grm.doctor_id),
 per AS (SELECT DISTINCT patient_id, start_date, coalesce(end_date, DATE '2099-12-31') AS end_date, benefit_name
-        FROM benefits WHERE benefit_code IN ('940', '941') AND patient_id IS NOT NULL),
+        FROM benefits WHERE benefit_code IN ('940', '941') AND patient_status_id = '11' AND status_llo_id IN ('4')
+          AND patient_id IS NOT NULL),
 pairs AS (SELECT DISTINCT t.ae_title, e.research_id FROM trauma t JOIN examinations e ON t.accession_number = e.accession_number
           WHERE t.ae_title IS NOT NULL AND e.research_id IS NOT NULL AND e.research_id NOT IN ({', '.join(map(str, QUEUE_EXEMPT))})
             AND CAST(t.assignment_signed_date AS DATE) >= DATE '{QUEUE_AS_OF}' - INTERVAL 14 DAY),

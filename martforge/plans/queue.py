@@ -19,7 +19,7 @@ from martforge.functions.time import open_end
 from martforge.operators import filters as Fl
 from martforge.operators import joins as J
 from martforge.operators import windows as W
-from martforge.plans.operational import IN_PIN, NOT_IN_PIN
+from martforge.plans.operational import BENEFIT_CODES, IN_PIN, NOT_IN_PIN, active_benefits
 
 TRAUMA, NOT_TRAUMA = "Травма", "Не травма"
 DEL_ASSIGNMENT = "DEL_ASSIGNMENT"
@@ -43,7 +43,7 @@ def undescribed_queue(examinations: DataFrame, results: DataFrame, pin_tasks: Da
                       undescribed: DataFrame, task_lists: DataFrame, doctors: DataFrame, employees: DataFrame,
                       benefits: DataFrame, since_date: dt.date, as_of: dt.date, done_status: str,
                       trauma_days: int = 14, exempt=TRAUMA_EXEMPT_RESEARCH_IDS,
-                      staff_since: dt.date = dt.date(2023, 1, 1), benefit_codes=("940", "941")) -> DataFrame:
+                      staff_since: dt.date = dt.date(2023, 1, 1), benefit_codes=BENEFIT_CODES) -> DataFrame:
     described = W.latest(results.where(F.col("accession_number").isNotNull()), "accession_number", "doc_created",
                          tie=["emp_id", "line_no", "diagnostic_code"]) \
         .select("accession_number", F.col("emp_id").alias("eris_result_emp_id"))
@@ -83,7 +83,7 @@ def undescribed_queue(examinations: DataFrame, results: DataFrame, pin_tasks: Da
                      "is_trauma_exam", TRAUMA, NOT_TRAUMA)
     e = e.join(status, "accession_number", "left").join(task_fio, "accession_number", "left")
     e = J.interval_winner(e.withColumn("conduct_day", F.to_date("conduct_date")),
-                          benefits.where(F.col("benefit_code").isin(list(benefit_codes))),
+                          active_benefits(benefits, benefit_codes),
                           "patient_id", "conduct_day", start="start_date", end="end_date",
                           name="benefit_name", out="llo_benefit_status")
     e = W.first_row(e, "accession_number", "conduct_date",

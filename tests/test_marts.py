@@ -3,6 +3,8 @@
 import datetime as dt
 
 from martforge.plans import ai_use as AI
+from martforge.plans import conclusions as C
+from martforge.plans.operational import active_benefits
 
 D = dt.datetime
 SERIES_COLS = ["modality", "study_uid", "accession_number", "doctor_id", "diagnostic_code", "describe_start",
@@ -85,3 +87,48 @@ def test_ai_use_load_cuts_lineage_and_is_idempotent(spark, tmp):
     assert {r[0] for r in stored_study.select("loaded_at").distinct().collect()} == {D(2024, 1, 2)}
     want = C.QUERIES["ai_use_by_study"](spark, sf)
     assert stored_study.drop("loaded_at").exceptAll(want).count() == 0
+
+
+RESULT = ("accession_number long, study_uid string, line_no int, emp_id long, emp_fio string, describe_unit_id string, "
+          "diagnostic_code long, diagnostic_name string, type_code int, payment_source string, device_type string, "
+          "doc_created timestamp_ntz, conduct_date timestamp_ntz, describe_start timestamp_ntz, conduct_mo_name string, "
+          "conduct_mu_name string, conduct_district_name string, patient_gender string, assignment_status string")
+REPORT = "app_source string, raw_data string, computed_data string"
+LOADED = D(2024, 7, 3, 3)
+
+
+def result(accession, created, status="Выполнено", mo="a", kind=1):
+    return (accession, str(accession), 1, 5, "врач", "u", 44, "снимок", kind, "ОМС", "O", created,
+            created - dt.timedelta(hours=2), created - dt.timedelta(minutes=10), mo, None, "c", "Ж", status)
+
+
+def test_describe_time_counts_finished_assignments_only(spark):
+    at = D(2024, 7, 1, 10)
+    rows = [result(1, at), result(2, at, "В работе"), result(3, at, None), result(4, at)]
+    got = C.describe_time_daily(spark.createDataFrame(rows, RESULT), spark.createDataFrame([], REPORT),
+                                dt.date(2024, 7, 2), 5, loaded_at=LOADED).collect()
+    assert [(r.n_studies, r.avg_time, r.diagnostic_name, r.load_datetime) for r in got] == [(2, "0:10:00", "снимок", LOADED)]
+
+
+def test_distinct_conclusions_show_local_time_and_filter_by_three_hours(spark):
+    # in 2012 the local clock was four hours ahead: the day shown is the next one, the filter's day is not
+    rows = [result(1, D(2012, 6, 1, 20, 30)), result(2, D(2012, 6, 1, 21, 30))]
+    got = C.distinct_conclusions(spark.createDataFrame(rows, RESULT), None, dt.date(2012, 6, 1), 0, loaded_at=LOADED).collect()
+    assert [(r.accession_number, r.doc_date, r.assignment_result_doc_created_date_plus_3h) for r in got] == [
+        (1, dt.date(2012, 6, 2), D(2012, 6, 2, 0, 30))]
+
+
+def test_unit_summary_keeps_organisations_apart(spark):
+    at = D(2024, 7, 1, 10)
+    exams = spark.createDataFrame([], "accession_number long, patient_age long")
+    rows = [result(1, at), result(2, at), result(3, at, mo="b"), result(4, at, mo=None)]
+    got = C.unit_summary(spark.createDataFrame(rows, RESULT), exams, spark.createDataFrame([], REPORT),
+                         dt.date(2024, 7, 2), 5, loaded_at=LOADED).collect()
+    assert {(r.conduct_mo_name, r.cnt) for r in got} == {("a", 2), ("b", 1), (None, 1)}
+
+
+def test_benefits_need_code_patient_and_record_active(spark):
+    rows = [("940", "11", "4"), ("941", "11", "4"), ("999", "11", "4"), ("940", "12", "4"), ("940", "11", "3"),
+            ("940", None, "4"), ("940", "11", None), (None, "11", "4")]
+    got = active_benefits(spark.createDataFrame(rows, "benefit_code string, patient_status_id string, status_llo_id string"))
+    assert sorted(map(tuple, got.collect())) == [("940", "11", "4"), ("941", "11", "4")]
