@@ -217,13 +217,21 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
     # CRM items: scalar, list, boolean and missing values; user and stage refs.
     "crm_items": ("customer", [
         ("id", "c_custkey"),
-        ("employee", "c_name"),
+        ("employee", "CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_custkey % 60 END"),
         ("created_by", "c_nationkey"),
         ("assigned_by_id", "CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_custkey % 120 END"),
         ("stage_id", "c_mktsegment"),
         ("kpe_document", ("array(c_mktsegment, CASE WHEN c_acctbal < 0 THEN NULL ELSE 'signed' END)",
                           "[c_mktsegment, CASE WHEN c_acctbal < 0 THEN NULL ELSE 'signed' END]")),
         ("kpe_size", "CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_acctbal > 5000 END"),
+        ("voting_status_9", ("array(CASE WHEN c_custkey % 3 = 0 THEN 'за' END, c_mktsegment)",
+                             "[CASE WHEN c_custkey % 3 = 0 THEN 'за' END, c_mktsegment]")),
+        ("commission_member_9", "CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_nationkey * 3 END"),
+        ("department_parus", "concat(' отдел ', CAST(c_nationkey % 8 AS STRING), ' ')"),
+        ("additional_info", "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_name END"),
+        ("reregistration", "CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE c_custkey % 2 = 0 END"),
+        ("labor_code_article", "CASE WHEN c_nationkey % 2 = 0 THEN 'ст. 77' ELSE '' END"),
+        ("dismissal_reason", "NULLIF(c_mktsegment, 'BUILDING')"),
         ("descriptions_count", "c_acctbal"),
         ("dismissal_date",
          "CASE WHEN c_custkey % 7 = 0 THEN 'not a date' WHEN c_custkey % 11 = 0 THEN NULL "
@@ -239,9 +247,26 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
     "registry_rows": ("pages", [
         ("seq", "page_id"),
         ("code", "regexp_extract(url, '://([^/:#?]+)', 1)"),
+        ("request_id", "CASE WHEN page_id % 4 = 0 THEN NULL ELSE CAST(page_id AS STRING) END"),
+        ("created_at", "concat('<b>', CAST(DATE '2024-01-01' + CAST(page_id % 300 AS INT) AS STRING), '</b> 10:00')"),
+        ("medservice_name", "concat('<i>услуга</i> ', CAST(page_id % 6 AS STRING))"),
+        ("source_name", "CASE WHEN page_id % 5 = 0 THEN NULL ELSE url END"),
+        ("organization_fmt", "concat('<a href=\"/o\">', url, '</a>')"),
+        ("responsible_name", "concat('  врач   ', CAST(page_id % 9 AS STRING))"),
+        ("work_type_name", "CASE WHEN page_id % 2 = 0 THEN 'КТ' ELSE '<br/>' END"),
+        ("load_rate", "CASE WHEN page_id % 7 = 0 THEN NULL ELSE page_id % 11 END"),
+        ("sla_time", "concat(CAST(page_id % 48 AS STRING), '<sup>ч</sup>')"),
         ("status_text",
          "CASE WHEN url LIKE 'https:%' THEN ' Новая ' WHEN url LIKE '%#%' THEN 'В работе' ELSE 'archived' END"),
-        ("html", "html"),
+        ("orthanc_html", "replace(replace(html, '<li>', '<span class=\"z\">'), '</li>', '</span>')"),
+        ("doc_list", "CASE WHEN page_id % 10 = 0 THEN NULL WHEN page_id % 10 = 1 THEN '' ELSE 'list' END"),
+        ("detail_html",
+         "replace(replace(html, 'href=\"/', concat('href=\"https://files.test/docs/', CAST(page_id AS STRING), '/')),"
+         " 'href=\"#', 'href=\"https://files.test/other/')"),
+    ]),
+    # Ids of dental requests (NULL for the others).
+    "dentistry": ("pages", [
+        ("id", "CASE WHEN page_id % 3 = 0 THEN regexp_extract(url, '://([^/:#?]+)', 1) END"),
     ]),
     # Clinical events per (patient, doctor job) and their status changes.
     "clinical_events": ("orders", [

@@ -687,48 +687,64 @@ users AS (SELECT ID, coalesce(nullif(trim(concat_ws(' ', nullif(LAST_NAME, ''),
                  nullif(SECOND_NAME, ''))), ''), CAST(ID AS VARCHAR)) AS full_name FROM crm_users),
 stages(STATUS_ID, NAME) AS (VALUES {", ".join(f"('{a}', '{b}')" for a, b in GUIDE_STAGES)})
 SELECT coalesce(TRY_CAST(CAST(i.id AS VARCHAR) AS BIGINT), 0) AS bx_id,
-       coalesce(trim(i.employee), '') AS employee_name,
+       coalesce(trim(coalesce(u0.full_name, CAST(i.employee AS VARCHAR))), '') AS employee_name,
        coalesce(trim(coalesce(u1.full_name, CAST(i.created_by AS VARCHAR))), '') AS created_by,
        coalesce(trim(coalesce(u2.full_name, CAST(i.assigned_by_id AS VARCHAR))), '') AS assigned_to,
        coalesce(trim(coalesce(s.NAME, i.stage_id)), '') AS stage,
        coalesce(array_to_string(list_filter(i.kpe_document, lambda x: x IS NOT NULL), '; '), '') AS kpe_document,
        CASE WHEN i.kpe_size IS NULL THEN '' WHEN i.kpe_size THEN 'Да' ELSE 'Нет' END AS kpe_size,
+       coalesce(array_to_string(list_filter(i.voting_status_9, lambda x: x IS NOT NULL), '; '), '') AS voting_status_9,
+       coalesce(trim(coalesce(u3.full_name, CAST(i.commission_member_9 AS VARCHAR))), '') AS commission_member_9,
+       coalesce(trim(i.department_parus), '') AS department_parus,
+       coalesce(trim(i.additional_info), '') AS additional_info,
+       CASE WHEN i.reregistration IS NULL THEN '' WHEN i.reregistration THEN 'Да' ELSE 'Нет' END AS reregistration,
+       coalesce(trim(i.labor_code_article), '') AS labor_code_article,
+       coalesce(trim(i.dismissal_reason), '') AS dismissal_reason, {LOADED} AS load_datetime,
        coalesce(trim(CAST(i.descriptions_count AS VARCHAR)), '') AS descriptions_count,
        coalesce(CAST(TRY_CAST(trim(i.dismissal_date) AS TIMESTAMP) AS DATE), DATE '1900-01-01') AS dismissal_date
 FROM crm_items i
+LEFT JOIN users u0 ON u0.ID = i.employee
 LEFT JOIN users u1 ON u1.ID = i.created_by
+LEFT JOIN users u3 ON u3.ID = i.commission_member_9
 LEFT JOIN users u2 ON u2.ID = i.assigned_by_id
 LEFT JOIN stages s ON s.STATUS_ID = i.stage_id""")
 def q_dismissed_guide(spark, sf_dir):
     t = Tables(spark, sf_dir)
     stages = spark.createDataFrame(GUIDE_STAGES, "STATUS_ID string, NAME string")
-    return RG.dismissed_guide(t.crm_items, t.crm_users, stages)
+    return RG.dismissed_guide(t.crm_items, t.crm_users, stages, loaded_at=LOADED_AT)
 
 
 _STATUS_CASE = ("CASE lower(st) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STATUS_CODES.items())
                 + " ELSE st END")
-_HREFS = "regexp_extract_all(coalesce(html, ''), 'href=\"([^\"''<>\\\\\\s]+)\"', 1)"
-_URLS = f"list_transform({_HREFS}, lambda u: {_unescape_sql('u')})"
+_LINKS = "regexp_extract_all(coalesce(detail_html, ''), 'https://files\\.test/[^\"''<>\\\\\\s]+')"
 
 
-@register("web_registry", with_roles("registry_rows") + f""",
+@register("web_registry", with_roles("registry_rows", "dentistry") + f""",
 r AS (
-  SELECT seq, {_strip_html_sql('code')} AS id, {_tag_texts_sql('html', 'title')} AS title,
-         {_tag_texts_sql('html', 'h1')} AS heading,
-         trim({_strip_html_sql('status_text')}) AS st,
-         {_tag_texts_sql('html', 'li')} AS documents_dicom,
-         {_URLS} AS urls, {_strip_html_sql('html')} AS body_text
+  SELECT seq, {_strip_html_sql('code')} AS id, {_strip_html_sql('created_at')} AS date_time,
+         {_strip_html_sql('medservice_name')} AS specialization, {_strip_html_sql('source_name')} AS source,
+         {_strip_html_sql('organization_fmt')} AS med_organization, {_strip_html_sql('responsible_name')} AS responsible,
+         {_strip_html_sql('work_type_name')} AS type_zayavki, load_rate AS norma_zagruzki,
+         {_strip_html_sql('sla_time')} AS sla, trim({_strip_html_sql('status_text')}) AS st,
+         {_tag_texts_sql('orthanc_html', 'span')} AS documents_dicom,
+         CASE WHEN doc_list IS NULL OR doc_list = '' THEN []
+              ELSE list_filter(list_transform({_LINKS}, lambda u: {_unescape_sql('u')}),
+                   lambda u: request_id IS NULL OR contains(u, '/docs/' || request_id || '/')) END AS urls
   FROM registry_rows),
 k AS (
-  SELECT *, row_number() OVER (PARTITION BY coalesce(nullif(id, ''), md5(concat_ws('|', id, title, heading, st,
-         documents_dicom, array_to_string(urls, ' '), body_text))) ORDER BY seq) AS rn
+  SELECT *, row_number() OVER (PARTITION BY coalesce(nullif(id, ''), md5(concat_ws('|', id, date_time, specialization,
+         source, med_organization, responsible, type_zayavki, norma_zagruzki, sla, st, documents_dicom,
+         array_to_string(urls, ' ')))) ORDER BY seq) AS rn
   FROM r)
-SELECT id, title, heading, {_STATUS_CASE} AS status, documents_dicom,
+SELECT id, date_time, specialization, source, med_organization, responsible, type_zayavki, norma_zagruzki, sla,
+       {_STATUS_CASE} AS status, documents_dicom,
        array_to_string(list_filter(urls, lambda u, i: list_position(urls, u) = i), '; ') AS documents_pdf,
-       body_text
+       '2002-01-01 03:00:00' AS load_date,
+       CASE WHEN id IN (SELECT d.id FROM dentistry d WHERE d.id != '') THEN 'Да' ELSE 'Нет' END AS stomatology
 FROM k WHERE rn = 1""")
 def q_web_registry(spark, sf_dir):
-    return RG.web_registry(Tables(spark, sf_dir).registry_rows)
+    t = Tables(spark, sf_dir)
+    return RG.web_registry(t.registry_rows, t.dentistry, "https://files.test/", loaded_at=LOADED_AT)
 
 
 # ---- M20 and operator-level keys -------------------------------------------------
@@ -836,10 +852,11 @@ st AS (SELECT event_id,
               min(change_time) FILTER (WHERE status = 'RUNNING') + INTERVAL 3 HOUR AS first_running,
               max(change_time) FILTER (WHERE status = 'RUNNING') + INTERVAL 3 HOUR AS last_running
        FROM ch GROUP BY event_id),
+ae AS (SELECT DISTINCT b2.accession_number, ce.event_id FROM b2
+       JOIN ce ON ce.p = CAST(b2.patient_key AS VARCHAR) AND ce.j = CAST(b2.job_id AS VARCHAR)),
 pairs AS (
-  SELECT b2.*, ce.event_id AS eid, st.status_chain, st.cnt_deferred, st.first_running, st.last_running
-  FROM b2 LEFT JOIN ce ON ce.p = CAST(b2.patient_key AS VARCHAR) AND ce.j = CAST(b2.job_id AS VARCHAR)
-  LEFT JOIN st ON st.event_id = ce.event_id),
+  SELECT b2.*, ae.event_id AS eid, st.status_chain, st.cnt_deferred, st.first_running, st.last_running
+  FROM b2 LEFT JOIN ae ON ae.accession_number = b2.accession_number LEFT JOIN st ON st.event_id = ae.event_id),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY accession_number ORDER BY
            CASE WHEN eid IS NULL THEN 1 ELSE 0 END,
@@ -847,6 +864,8 @@ ranked AS (
            eid, line_no, emp_id, diagnostic_code, payment_source, device_type, conduct_date) AS rn
   FROM pairs)
 SELECT accession_number, patient_key AS patient_id, CAST(emp_id AS VARCHAR) AS assignment_result_emp_id,
+       emp_fio AS assignment_result_emp_fio, diagnostic_name, conduct_mo_name, conduct_mu_name,
+       {LOADED} AS load_datetime,
        payment_source, device_type, CAST(diagnostic_code AS VARCHAR) AS diagnostic_code,
        type_code AS assessment_result_type_code, describe_unit_id AS assignment_describe_mu_id,
        {LOCAL('conduct_date')} AS conduct_date, effective_start_date,
@@ -863,7 +882,7 @@ SELECT accession_number, patient_key AS patient_id, CAST(emp_id AS VARCHAR) AS a
 FROM ranked WHERE rn = 1""")
 def q_overdue_monitoring(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return OV.overdue_monitoring(t.results, t.pin_tasks, t.clinical_events, t.status_changes, AS_OF, DAYS)
+    return OV.overdue_monitoring(t.results, t.pin_tasks, t.clinical_events, t.status_changes, AS_OF, DAYS, loaded_at=LOADED_AT)
 
 
 # ---- M8 undescribed queue ------------------------------------------------------

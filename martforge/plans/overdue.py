@@ -1,10 +1,12 @@
 """Overdue monitoring (M6): conclusions documented 24 h or more after the
 examination (or after the pin that released it), each with the clinical
-event of the same patient and doctor job whose first RUNNING status is
-closest to the document time, and that event's status chain.
+event whose first RUNNING status is closest to the document time, and that
+event's status chain. An accession's events are those of the patient and
+doctor job of any of its overdue lines, and each line competes for all of them.
 
-The reference pairs every result row with every event of its patient and
-keeps the closest pair. Here the closest event comes from
+The reference pairs every result row with every event of its accession and
+keeps the closest pair. Here a line meets the distinct (patient, job) pairs of
+its accession - one or two in practice - and the closest event comes from
 :func:`martforge.operators.joins.nearest_by_time` (bucketed as-of search), and
 the final pick per accession is an aggregate (``min_by`` over an ordering
 struct), so neither step builds all pairs of a key or routes a hot key's
@@ -46,7 +48,8 @@ def event_stats(changes: DataFrame) -> DataFrame:
 
 def overdue_monitoring(results: DataFrame, pin_tasks: DataFrame, clinical_events: DataFrame,
                        status_changes: DataFrame, as_of: dt.date, days: int,
-                       unit_id: str | None = None, bucket_seconds: int = 6 * 3600) -> DataFrame:
+                       unit_id: str | None = None, bucket_seconds: int = 6 * 3600, *,
+                       loaded_at: dt.datetime) -> DataFrame:
     pins = (Fl.non_empty(pin_tasks, "accession_number").groupBy("accession_number")
             .agg(to_local(F.max("task_pin_end_date")).alias("max_pin_date")))
     t2 = Fl.non_empty(results, "accession_number")
@@ -72,6 +75,8 @@ def overdue_monitoring(results: DataFrame, pin_tasks: DataFrame, clinical_events
                    "event_id").join(event_stats(ch), "event_id")
 
     keys = ["key_p", "key_j"]
+    owners = b.select("accession_number", *keys).distinct()
+    b = b.drop(*keys).join(owners, "accession_number")
     # distance 0: events without a RUNNING status (smallest id per key)
     zero = ev.where(F.col("first_running").isNull()).groupBy(*keys).agg(F.min("event_id").alias("zero_id"))
     # otherwise the event whose first RUNNING is nearest to the document time
@@ -84,8 +89,8 @@ def overdue_monitoring(results: DataFrame, pin_tasks: DataFrame, clinical_events
                                                                   F.col("near_id").alias("id"))))
     c = c.withColumns({"_no_event": F.when(pick.isNull(), 1).otherwise(0), "_d": pick["d"], "_eid": pick["id"]})
     # one row per accession: aggregate, not a window, so a hot accession is combined map-side
-    cols = ["patient_key", "emp_id", "payment_source", "device_type", "diagnostic_code", "type_code",
-            "describe_unit_id", "conduct_date", "effective_start_date", "max_pin_date", "doc_local",
+    cols = ["patient_key", "emp_id", "emp_fio", "payment_source", "device_type", "diagnostic_code", "diagnostic_name",
+            "type_code", "conduct_mo_name", "conduct_mu_name", "describe_unit_id", "conduct_date", "effective_start_date", "max_pin_date", "doc_local",
             "hours_overdue", "_eid"]
     order = F.struct("_no_event", "_d", "_eid", *BASE_TIE)
     w = c.groupBy("accession_number").agg(F.min_by(F.struct(*cols), order).alias("w")).select("accession_number", "w.*")
@@ -94,9 +99,10 @@ def overdue_monitoring(results: DataFrame, pin_tasks: DataFrame, clinical_events
     span = secs("first_running", "last_running")
     return w.select(
         "accession_number", F.col("patient_key").alias("patient_id"),
-        F.col("emp_id").cast("string").alias("assignment_result_emp_id"), "payment_source", "device_type",
-        F.col("diagnostic_code").cast("string").alias("diagnostic_code"),
-        F.col("type_code").alias("assessment_result_type_code"),
+        F.col("emp_id").cast("string").alias("assignment_result_emp_id"),
+        F.col("emp_fio").alias("assignment_result_emp_fio"), "payment_source", "device_type",
+        F.col("diagnostic_code").cast("string").alias("diagnostic_code"), "diagnostic_name",
+        F.col("type_code").alias("assessment_result_type_code"), "conduct_mo_name", "conduct_mu_name",
         F.col("describe_unit_id").alias("assignment_describe_mu_id"),
         to_local("conduct_date").alias("conduct_date"), "effective_start_date",
         F.when(F.col("max_pin_date").isNotNull(), 1).otherwise(0).alias("has_pin"),
@@ -105,4 +111,5 @@ def overdue_monitoring(results: DataFrame, pin_tasks: DataFrame, clinical_events
         F.col("_eid").cast("string").alias("event_id"), "first_running", "last_running",
         F.when(F.col("first_running").isNotNull() & F.col("last_running").isNotNull(), hhmmss(span))
          .alias("deferred_time_hhmmss"),
-        "status_chain", F.coalesce(F.col("cnt_deferred"), F.lit(0)).alias("cnt_deferred"))
+        "status_chain", F.coalesce(F.col("cnt_deferred"), F.lit(0)).alias("cnt_deferred"),
+        ntz(loaded_at).alias("load_datetime"))

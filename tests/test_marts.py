@@ -4,6 +4,8 @@ import datetime as dt
 
 from martforge.plans import ai_use as AI
 from martforge.plans import conclusions as C
+from martforge.plans import overdue as OV
+from martforge.plans import registry as RG
 from martforge.plans.operational import active_benefits
 
 D = dt.datetime
@@ -132,3 +134,41 @@ def test_benefits_need_code_patient_and_record_active(spark):
             ("940", None, "4"), ("940", "11", None), (None, "11", "4")]
     got = active_benefits(spark.createDataFrame(rows, "benefit_code string, patient_status_id string, status_llo_id string"))
     assert sorted(map(tuple, got.collect())) == [("940", "11", "4"), ("941", "11", "4")]
+
+
+def test_overdue_line_takes_the_closest_event_of_its_accession(spark):
+    at = D(2024, 7, 1, 10)  # 13:00 local
+    lines = [(1, 1, at, "p1", 7), (1, 2, at + dt.timedelta(hours=5), "p1", 8)]
+    rows = [result(a, t)[:2] + (n,) + result(a, t)[3:12] + (t - dt.timedelta(days=2),) + result(a, t)[13:] + (p, j)
+            for a, n, t, p, j in lines]
+    results = spark.createDataFrame(rows, RESULT + ", patient_key string, job_id long")
+    # job 7's only event is far away; job 8's event starts RUNNING 10 minutes after line 1, not line 2
+    events = spark.createDataFrame([(70, "p1", 7), (80, "p1", 8), (90, "p2", 8)], "event_id long, patient_id string, job_id long")
+    changes = spark.createDataFrame(
+        [(70, D(2024, 7, 1, 2), "RUNNING"), (80, D(2024, 7, 1, 10, 10), "RUNNING"), (80, D(2024, 7, 1, 11), "DEFERRED"),
+         (90, at, "RUNNING")], "event_id long, change_time timestamp_ntz, status string")
+    pins = spark.createDataFrame([], "accession_number long, task_pin_end_date timestamp_ntz")
+    got = OV.overdue_monitoring(results, pins, events, changes, dt.date(2024, 7, 3), 10, loaded_at=LOADED).collect()
+    assert [(r.event_id, r.assignment_result_doc_created_date, r.status_chain, r.cnt_deferred) for r in got] == [
+        ("80", D(2024, 7, 1, 13), "RUNNING -> DEFERRED", 1)]
+
+
+def test_registry_keeps_the_requests_own_documents(spark):
+    html = "".join(f'<a href="{u}">' for u in (
+        "https://files.test/docs/5/a.pdf?x=1&amp;y=2", "https://files.test/docs/5/a.pdf?x=1&amp;y=2",
+        "https://files.test/docs/55/b.pdf", "https://other.test/docs/5/c.pdf", "https://files.test/docs/5/d.pdf"))
+    zips = "<span class='z'>one &amp; <b>two</b></span><SPAN></SPAN><span>three</span>"
+    row = lambda seq, code, request, docs: (
+        seq, code, request, "<b>1</b>", "s", None, "o", "r", "t", 3, "2ч", " новая ", zips, docs, html)
+    rows = spark.createDataFrame(
+        [row(1, "A", "5", "x"), row(2, "A", "6", "x"), row(3, "B", "5", ""), row(4, "C", None, "x")],
+        "seq long, code string, request_id string, created_at string, medservice_name string, source_name string, "
+        "organization_fmt string, responsible_name string, work_type_name string, load_rate long, sla_time string, "
+        "status_text string, orthanc_html string, doc_list string, detail_html string")
+    dental = spark.createDataFrame([("B",), (None,)], "id string")
+    got = {r.id: r for r in RG.web_registry(rows, dental, "https://files.test/", loaded_at=LOADED).collect()}
+    first, own = "https://files.test/docs/5/a.pdf?x=1&y=2", "https://files.test/docs/5/d.pdf"
+    assert got["A"].documents_pdf == f"{first}; {own}" and got["A"].documents_dicom == "one & two; three"
+    assert got["B"].documents_pdf == "" and (got["B"].stomatology, got["A"].stomatology) == ("Да", "Нет")
+    assert got["C"].documents_pdf == f"{first}; https://files.test/docs/55/b.pdf; {own}"
+    assert len(got) == 3 and got["A"].load_date == "2024-07-03 03:00:00" and got["A"].source == ""
