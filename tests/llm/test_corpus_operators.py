@@ -337,6 +337,42 @@ def test_line_dedup_long_lines(spark):
     assert parts == {r.id: r.sim for r in line_dedup._simhashes(line_dedup._lines(hashed)).collect()}
 
 
+def test_line_dedup_finds_all_similar_lines(spark):
+    """Against all pairs by edit similarity alone; links at 0.8 and above of lines with up to a fifth of the words edited."""
+    rng = random.Random(21)
+    lines = []
+    for n in (3, 4, 5, 6, 7, 9, 10, 14, 15, 20, 25, 40, 60, 100):
+        for _ in range(2):
+            base = [f"w{rng.randrange(60 if n < 20 else 900)}" for _ in range(n)]
+            lines.append(base)
+            for share in (0.05, 0.1, 0.2, 0.2, 0.25):
+                line = list(base)
+                for _ in range(max(1, round(share * n))):
+                    at = rng.randrange(len(line))
+                    line[at:at + 1] = rng.choice(([f"x{rng.randrange(900)}"], [f"x{rng.randrange(900)}"], [], [line[at], f"x{rng.randrange(900)}"]))
+                lines.append(line)
+    lines = list(dict.fromkeys(map(tuple, lines)))
+    rng.shuffle(lines)
+    parent = list(range(len(lines)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    pairs = 0
+    for i, a in enumerate(lines):
+        for j in range(i + 1, len(lines)):
+            b = lines[j]
+            longer = max(len(a), len(b))
+            if abs(len(a) - len(b)) <= 0.2 * longer and _edit(a, b) <= 0.2 * longer + 1e-9:
+                x, y = sorted((find(i), find(j)))
+                parent[y] = x
+                pairs += 1
+    out = line_dedup.dedup(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(lines)], "doc_id long, text string")).collect()
+    assert pairs > 60 and {r.doc_id for r in out if not r.n_removed} == {i for i in range(len(lines)) if find(i) == i}
+
+
 # 8 secrets ---------------------------------------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
