@@ -4,7 +4,8 @@ Documents are summed by membership pattern (the set of sources they belong to).
 repetition, at a cost that rises with every repetition, and every source asks for its quota: a small transport
 problem whose min-cost flow says how many words each pattern gives. Patterns and sources that share nothing are
 solved apart, one connected part per task. Then documents are drawn in a seeded order until their pattern's words
-are met: all of them for every full repetition, a seeded share for the rest.
+are met: all of them for every full repetition, a seeded share for the rest. A document that does not fit what is left
+is passed over, not the ones behind it.
 """
 
 from __future__ import annotations
@@ -130,27 +131,34 @@ def _mixed(docs: DataFrame, weights: tuple[float, ...], repeats: int, seed: int,
     inside = Window.partitionBy("pattern", "run").orderBy("h", "id", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reach = (drawn.withColumn("end", F.sum("size").over(inside)).join(starts, ["pattern", "run"])
              .withColumn("end", F.col("end") + F.col("before"))
-             .select("row", "pattern", "run", "size", "h", "rest", (F.col("end") <= F.col("rest")).alias("drawn"), "end"))
+             .select("row", "pattern", "run", "size", "h", "id", "rest", (F.col("end") <= F.col("rest")).alias("drawn"), "end"))
     reach = stored(reach, "mix-reach")
-    # documents for what is left: twice the largest that fits, then the nearest if it comes nearer than none
+    # what is left: passes over the documents that still fit, in the seeded order, until none does; each pass draws one
+    # per open pattern at least. Then the nearest if it comes nearer than none
     reached = stored(reach.groupBy("pattern", "rest").agg(
         F.coalesce(F.max(F.when(F.col("drawn"), F.col("end"))), F.lit(0)).alias("reached")), "mix-reached")
     gaps = reached.select("pattern", (F.col("rest") - F.col("reached")).alias("gap"))
-    extra = None
-    for last in (False, False, True):
+    left, extra = reach.where(~F.col("drawn")).select("row", "pattern", "run", "size", "h", "id"), None
+    while True:
         spread = starts.select("pattern", "run").join(gaps.where("gap > 0"), "pattern")  # dealt by run: a source may hold most rows
-        left = reach.where(~F.col("drawn"))
-        if extra is not None:
-            left = left.join(extra.select("row"), "row", "left_anti")
-        off = F.col("gap") - F.col("size")
-        fits = F.abs(off) < F.col("gap") if last else off >= 0
-        best = left.join(spread, ["pattern", "run"]).where(fits).groupBy("pattern").agg(
-            F.min(F.struct(F.abs(off).alias("off"), "h", "row", "size")).alias("b"))
-        found = best.select("pattern", "b.row", "b.size")
-        extra = stored(found if extra is None else extra.union(found), "mix-extra")
+        apart = left if extra is None else left.join(extra.select("row"), "row", "left_anti")
+        fit = apart.join(spread, ["pattern", "run"]).where("size <= gap")
+        sums = fit.groupBy("pattern", "run", "gap").agg(F.sum("size").alias("n"))
+        met = stored(sums.select("pattern", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), "gap")
+                     .where("before < gap"), "mix-open")
+        if met.isEmpty():
+            break
+        more = (fit.drop("gap").join(met, ["pattern", "run"]).withColumn("end", F.sum("size").over(inside) + F.col("before"))
+                .where("end <= gap").select("row", "pattern", "size"))
+        extra = stored(more if extra is None else extra.union(more), "mix-extra")
         filled = extra.groupBy("pattern").agg(F.sum("size").alias("filled"))
         gaps = reached.join(filled, "pattern", "left").select(
             "pattern", (F.col("rest") - F.col("reached") - F.coalesce("filled", F.lit(0))).alias("gap"))
+    off = F.abs(F.col("gap") - F.col("size"))
+    best = apart.join(spread, ["pattern", "run"]).where(off < F.col("gap")).groupBy("pattern").agg(
+        F.min(F.struct(off.alias("off"), "h", "row", "size")).alias("b"))
+    nearest = best.select("b.row", "pattern", "b.size")
+    extra = nearest if extra is None else extra.union(nearest)
     extra = extra.select("row", F.lit(True).alias("extra"))
     chosen = reach.where("drawn").select("row", F.lit(True).alias("extra")).union(extra)
     first = asked.select(F.array("source").alias("key"), "source_size", "target")
@@ -168,8 +176,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), repeats: int =
 
     ``source_col`` is one source or an array of them; with an array, source_size and target are those of the row's first
     source in code-point order. Size counts the words of the text (null and empty: 0, never taken). No row is taken more
-    than ``repeats`` times and every row is taken whole, so a source ends within half of its smallest fitting document of its
-    target. A null source is a source of its own, an empty array belongs to none and is not taken. Reruns agree: the seeded
+    than ``repeats`` times and every row is taken whole, so a source (without overlaps) ends within half of its smallest document
+    not drawn of its target. A null source is a source of its own, an empty array belongs to none and is not taken. Reruns agree: the seeded
     order depends on id, text hash and seed alone; an empty table gives no rows.
     """
     return _mixed(docs, weights, repeats, seed, id_col, text_col, source_col).drop("text_hash")

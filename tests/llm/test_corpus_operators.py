@@ -151,6 +151,19 @@ def test_mixing_flow_and_overlap(spark, docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mixing_passes_over_documents_that_do_not_fit(spark):
+    """Sources of short documents and one very long one: each ends within half of its smallest document not drawn."""
+    rng = random.Random(13)
+    sizes = {(s, i): 3000 if i == 60 else rng.randrange(30, 70) for s in range(30) for i in range(61)}
+    rows = [(s * 100 + i, "w " * n, f"s{s:02}") for (s, i), n in sizes.items()]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for s in range(30):
+        own = [r for r in got if r.doc_id // 100 == s]
+        times = {r.doc_id: r.taken // r.size for r in own}
+        undrawn = min(r.size for r in own if times[r.doc_id] == min(times.values()))
+        assert abs(sum(r.taken for r in own) - own[0].target) <= undrawn / 2 + 1
+
+
 # 4 Order MinHash ---------------------------------------------------------------------------------------------------
 
 def _plain_sketch(text, k=order_minhash.K, m=order_minhash.SKETCHES, size=order_minhash.TUPLE):
