@@ -425,6 +425,29 @@ def test_secrets(spark, docs, empty, sf):
     assert secrets.report(docs).count() == docs.count() and secrets.report(empty).count() == 0
 
 
+def _slug(rng, words):
+    own = rng.choices(words, k=rng.randrange(3, 8))
+    return rng.choice(("-".join(own), "/".join(own) + f"/{rng.randrange(10 ** 5)}", "".join(w.title() for w in own),
+                       "_".join(own) + f"_{rng.randrange(3000)}", f"20{rng.randrange(10, 30)}/{rng.randrange(10, 13)}/" + "-".join(own)))
+
+
+def test_secrets_rare_keys_among_slugs(spark, sf):
+    """Keys at 0.1 % of the candidates, of every length: found, and next to no slug with them."""
+    rng = random.Random(17)
+    words = [w for r in spark.read.parquet(f"{sf}/documents.parquet").where("lang = 'en'").limit(40).collect()
+             for w in re.findall(r"\b[a-z]{2,12}\b", (r.text or "").lower())]
+    symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = {f"{n}-{i}": "".join(rng.choices(symbols, k=n - 1)) + "7" for n in (20, 24, 28, 31, 40) for i in range(8)}
+    slugs = [x for x in (_slug(rng, words) for _ in range(60_000)) if len(x) >= 20]
+    rows = [(k, f"see {v} here") for k, v in keys.items()]
+    rows += [(f"s{i}", " ".join(("at", *slugs[i:i + 50], *rng.choices(words, k=100)))) for i in range(0, len(slugs), 50)]
+    out = {r.doc_id: r.spans.count("random") for r in secrets.report(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert len(slugs) > 1000 * 40
+    for n in (20, 24, 28, 31, 40):
+        assert sum(out[f"{n}-{i}"] for i in range(8)) >= 6
+    assert sum(x for k, x in out.items() if k[0] == "s") <= 6
+
+
 # 9 HTML ------------------------------------------------------------------------------------------------------------
 
 def test_html(spark, sf):
