@@ -448,6 +448,20 @@ def test_secrets_rare_keys_among_slugs(spark, sf):
     assert sum(x for k, x in out.items() if k[0] == "s") <= 6
 
 
+def test_secrets_of_letters_alone(spark, sf):
+    rng = random.Random(19)
+    words = [w for r in spark.read.parquet(f"{sf}/documents.parquet").where("lang = 'en'").limit(40).collect()
+             for w in re.findall(r"\b[a-z]{2,12}\b", (r.text or "").lower())]
+    small = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(f"{name}{i}", "see " + "".join(rng.choices(symbols, k=32)) + " here") for i in range(20)
+            for name, symbols in (("small", small), ("capital", small.upper()), ("both", small + small.upper()))]
+    rows += [(f"plain{i}", " ".join([*rng.choices(words, k=60), "".join(rng.choices(words, k=9)), "".join(rng.choices(words, k=9)).upper()])) for i in range(400)]
+    out = {r.doc_id: "random" in r.spans for r in secrets.report(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    for name in ("small", "capital", "both"):
+        assert sum(out[f"{name}{i}"] for i in range(20)) >= 15
+    assert sum(out[f"plain{i}"] for i in range(400)) <= 6
+
+
 # 9 HTML ------------------------------------------------------------------------------------------------------------
 
 def test_html(spark, sf):
