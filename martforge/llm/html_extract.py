@@ -22,9 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: One token: a comment, an element whose content is not text, a tag, a declaration.
+_REST = r"(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+"
+_SKIPPED = "|".join(rf"<{n}{_REST}>.*?(?:</{n}\s*>|\Z)" for n in ("title", "script", "style", "noscript", "template"))
+#: The head as far as it holds what may stand there: it ends at its end tag, the body or the first thing of the body.
+HEAD = rf"<head{_REST}>(?:\s+|<!--.*?(?:-->|\Z)|{_SKIPPED}|<(?:meta|link|base){_REST}>)*+(?:</head\s*>)?"
+#: One token: a comment, an element whose content is not text (not a self-closed svg, which has none), the head, a tag, a declaration.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|head)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg(?!{_REST}(?<=/)>)|iframe){_REST}>.*?(?:</\1\s*>|\Z)|{HEAD}"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>", re.S | re.I)
 #: A tag that the end of the page cuts off.
 CUT_TAG = re.compile(r"<[a-zA-Z/!][^<>]*\Z")
@@ -101,7 +105,7 @@ def blocks(html: str | None) -> list[Block]:
         at = m.end()
         tag = (m.group(3) or m.group(6) or "").lower()
         if not tag:
-            if m.group(1) and m.group(1).lower() not in ("svg", "noscript"):
+            if m.group(1) and m.group(1).lower() not in ("svg", "noscript") or m.group()[:5].lower() == "<head":
                 close()
             continue
         if tag == "br":

@@ -492,6 +492,17 @@ def test_html_viterbi_is_best(spark, sf):
     assert total(model.decode(page)) == pytest.approx(max(map(total, every)))
 
 
+def test_html_open_head_and_empty_svg():
+    read = lambda h: [b.text for b in html_extract.blocks(h)]
+    meta = '<!doctype html><html><head data-a="1>2"><meta charset=utf-8><title>Site</title><!-- c --><style>p{}</style><script>x("<p>")</script>'
+    for end in ("", "</head>", "</HEAD ><body>", "<body class=a>", "<link rel=b>\n</head>\n<body>"):
+        assert read(f"{meta}{end}<p>One.</p><p>Two.") == ["One.", "Two."]
+    assert read("<head><title>t</title>Bare text<p>One.") == ["Bare text", "One."]
+    assert read('<p>One <svg class="i" viewBox="0 0 1 1"/> two.</p><p>Three.</p>') == ["One two.", "Three."]
+    assert read("<p>One <svg/>two.</p><svg><text>no</text></svg><p>Three <svg a='/'><path/></svg>four.") == ["One two.", "Three four."]
+    assert read("<header>a</header><svg-icon>b</svg-icon><head-line>c</head-line>") == ["a", "bc"]
+
+
 # 10 SimHash --------------------------------------------------------------------------------------------------------
 
 def _brute_groups(fps):
