@@ -210,6 +210,12 @@ def test_order_minhash(docs, empty, spark, sf):
     assert order_minhash.fingerprints(docs).count() == docs.count()
 
 
+def test_order_minhash_tells_half_a_text_from_none(spark, sf):
+    base = spark.read.parquet(f"{sf.replace('0.001', '0.1')}/documents.parquet").where("doc_id < 400 and n_chars >= 100")
+    rows = [r for r in order_minhash.against_next(base).collect() if r.near_next < 0.05]
+    assert len(rows) > 200 and all(r.near_edited > r.near_next for r in rows)
+
+
 # 5 quality ---------------------------------------------------------------------------------------------------------
 
 def test_quality_counts_and_verdict(docs, empty, spark, sf):
