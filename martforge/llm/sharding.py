@@ -1,6 +1,7 @@
 """Sharding along a Hilbert curve over several metadata dimensions.
 
-Every dimension is quantised to ``2 ** bits`` cells between its smallest and largest value, the cells of a row are
+Every dimension is quantised to ``2 ** bits`` cells: metadata columns by the rank of their distinct whole values, size and
+id by the rank of the row, so that cells hold about equal shares. The cells of a row are
 turned into one index along the Hilbert curve, and the rows, sorted by that index, are cut into runs of equal length.
 Neighbours on the curve are neighbours in all dimensions, so a file's value ranges are narrow in each of them and a
 filter on any dimension skips most files.
@@ -52,40 +53,39 @@ def hilbert(cells: list[Column], bits: int) -> Column:
     return F.aggregate(parts, start, step, lambda a: a["index"])
 
 
-def as_number(column: Column, kind: str) -> Column:
-    """A double that orders like the column: numbers as they are, texts by their first seven UTF-8 bytes."""
-    if kind == "string":
-        return F.conv(F.rpad(F.hex(F.substring(column.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("double")
-    return column.cast("double")
+def _cells(rows: DataFrame, name: str, bits: int, distinct: bool) -> DataFrame:
+    """(name, cell): the cell of every value of a column, by its rank among the distinct values or among the rows.
+
+    Nulls come first. Ranked by distinct values, up to ``2 ** bits`` values have a cell each.
+    """
+    values = rows.select(name).distinct() if distinct else rows.select(name)
+    places = stored(ranked(values, [F.col(name).asc_nulls_first()], "rank"), "shard-ranks")
+    total = max(places.count(), 1)
+    return places.groupBy(name).agg(F.min("rank").alias("rank")).select(name, F.expr(f"int(rank * {1 << bits} div {total})").alias("cell"))
 
 
 def assign(docs: DataFrame, shards: int = 8, bits: int = 6, id_col: str = "doc_id", text_col: str = "text",
            by: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """(id, size, text_crc32, law, shard, slot, grown_shard) for every row of ``docs``; law ``rows``.
 
-    The dimensions are the columns ``by``, the logarithm of the size and the id. Shards hold runs of the curve whose
+    The dimensions are the columns ``by``, the size and the id. Shards hold runs of the curve whose
     row counts differ by at most one; ``slot`` is the place in the shard. Rows of one cell follow the text's CRC-32
-    and the id, so copies with equal metadata lie side by side; ties beyond that are equal rows. Nulls take the lowest
-    cell, null and empty texts have size 1 and CRC-32 zero; an empty table gives no rows; ``grown_shard`` is null.
+    and the id, so copies with equal metadata lie side by side; ties beyond that are equal rows. The columns ``by`` are ranked by
+    distinct value, texts by the whole of it. Nulls take the lowest cell, null and empty texts have size 1 and CRC-32 zero; an empty table gives no rows; ``grown_shard`` is null.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    kinds = dict(docs.dtypes)
-    dims = [*(as_number(F.col(c), kinds[c]) for c in by), F.log2(F.octet_length(text) + 1), as_number(F.col(id_col), kinds[id_col])]
+    dims = [*(F.col(c) for c in by), F.octet_length(text), F.col(id_col)]
     rows = stored(docs.select(
         F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("crc"), *(d.alias(f"d{i}") for i, d in enumerate(dims))), "shard-rows")
-    ends = rows.agg(F.count("*").alias("n"), *(f(f"d{i}").alias(f"{f.__name__}{i}") for i in range(len(dims)) for f in (F.min, F.max))).first()
-    cells = []
+    total = max(rows.count(), 1)
+    placed = rows
     for i in range(len(dims)):
-        low, high = ends[f"min{i}"] or 0.0, ends[f"max{i}"] or 0.0
-        scale = (1 << bits) / (high - low) if high > low else 0.0
-        cell = F.floor((F.col(f"d{i}") - F.lit(low)) * F.lit(scale)).cast("int")
-        cells.append(F.coalesce(F.greatest(F.lit(0), F.least(F.lit((1 << bits) - 1), cell)), F.lit(0)))
-    placed = rows.withColumns({f"c{i}": c for i, c in enumerate(cells)}).withColumn(
-        "curve", hilbert([F.col(f"c{i}") for i in range(len(cells))], bits))
+        cells = _cells(rows, f"d{i}", bits, i < len(by)).select(F.col(f"d{i}").alias("__d"), F.col("cell").alias(f"c{i}"))
+        placed = placed.join(cells, F.col(f"d{i}").eqNullSafe(F.col("__d"))).drop("__d")
+    placed = placed.withColumn("curve", hilbert([F.col(f"c{i}") for i in range(len(dims))], bits))
     order = [F.col("curve"), F.col("crc"), F.col("id"), F.col("size")]
     at = ranked(placed.select("id", "size", "crc", "curve"), order, "rank")
-    total = max(ends["n"], 1)
     shard = F.expr(f"int(rank * {shards} div {total})")
     start = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
     return at.withColumn("shard", shard).select(

@@ -257,6 +257,16 @@ def test_hilbert_visits_neighbours(spark):
         assert all(sum(abs(a - b) for a, b in zip(x[1:], y[1:])) == 1 for x, y in zip(rows, rows[1:]))
 
 
+def test_sharding_parts_sources_alike_in_front(spark):
+    """Sources that share their first seven bytes lie in different shards."""
+    rows = [(i, "same text", "common_crawl_2023" if i % 2 else "common_crawl_2024") for i in range(400)]
+    got = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string, source string"), shards=4, by=("source",)).collect()
+    held = collections.defaultdict(set)
+    for r in got:
+        held[r.shard].add(rows[r.doc_id][2])
+    assert sorted(map(len, held.values())) == [1, 1, 1, 1]
+
+
 def test_sharding_laws(docs, empty, spark, sf, tmp):
     base = spark.read.parquet(f"{sf}/documents.parquet")
     for table in (base, docs):
