@@ -82,3 +82,17 @@ def ranked(df: DataFrame, order: list[Column], rank: str) -> DataFrame:
     return (rows.withColumn("__run", run).join(F.broadcast(offsets), "__run")
             .withColumn(rank, F.col("__m").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("__before"))
             .drop("__run", "__before", "__m"))
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, least: int = 500) -> DataFrame:
+    """Inner join of ``rows`` with the one row of their group, without a hot group in one task.
+
+    ``size`` names the column of ``groups`` with the group's number of rows. Groups of more than a ten-thousandth of all
+    rows (and more than ``least``) are at most 10,000, so these are broadcast; the others meet their few rows in a
+    shuffle.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    limit = max(least, total // 10_000)
+    large = F.broadcast(groups.where(F.col(size) > limit))
+    few = rows.join(large.select(*on), on, "left_anti").join(groups.where(F.col(size) <= limit), on)
+    return rows.join(large, on).unionByName(few)

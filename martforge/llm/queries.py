@@ -1,6 +1,6 @@
 """Registered queries of the corpus operators, each over its whole table with production parameters.
 
-None of them has a DuckDB twin: noisy-or training, rank merges, flows, sketches, expectation-maximisation, space-filling
+Only exact dedup has a DuckDB twin: noisy-or training, rank merges, flows, sketches, expectation-maximisation, space-filling
 curves, p-values, Viterbi and SimHash have no SQL form that DuckDB runs on whole tables. ``tests/llm`` holds each
 against a brute-force version or the public library instead.
 """
@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm import (bpe, html_extract, line_dedup, mixing, order_minhash, quality, secrets, sharding,
+from martforge.llm import (bpe, exact_dedup, html_extract, line_dedup, mixing, order_minhash, quality, secrets, sharding,
                            simhash_dedup, toxicity)
 from martforge.llm.common import read
 
@@ -70,7 +70,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_bpe, op3_mixing, op4_order_minhash, op5_quality, op6_sharding,
-                            op7_line_dedup, op8_secrets, op9_html, op10_simhash)}
-ORACLE: dict[str, str] = {}
+                            op7_line_dedup, op8_secrets, op9_html, op10_simhash, op13_exact_dedup)}
+ORACLE: dict[str, str] = {
+    "op13_exact_dedup": """
+        WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+                   FROM documents)
+        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+               row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) = 1 AS kept, sha256(t) AS text_sha256
+        FROM d WINDOW w AS (PARTITION BY t)""",
+}
