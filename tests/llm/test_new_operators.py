@@ -4,10 +4,13 @@ import collections
 import hashlib
 import random
 
+import public_tokenizers
 import pytest
+import sentencepiece
+import tokenizers
 from pyspark.sql import functions as F
 
-from martforge.llm import exact_dedup
+from martforge.llm import exact_dedup, token_alignment
 from martforge.llm.common import join_groups
 
 fold = lambda t: (t or "").encode().lower().decode()
@@ -80,3 +83,105 @@ def test_exact_dedup_query(spark, sf):
     got = queries.op13_exact_dedup(spark, sf)
     assert got.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
     _check_exact(got.collect(), [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()])
+
+
+# 12 tokenizer alignment --------------------------------------------------------------------------------------------
+
+A_PATH, B_PATH = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+
+
+def _brute_alignment(rows):
+    """Per (id, text): the contract's columns, token by token."""
+    a_tok = tokenizers.Tokenizer.from_file(A_PATH)
+    a_tok.encode_special_tokens = True
+    b_tok = sentencepiece.SentencePieceProcessor(model_file=B_PATH)
+    own = {**{i: i for r in ((33, 127), (161, 173), (174, 256)) for i in range(*r)}}
+    back = {chr(c): b for b, c in {**own, **{b: 256 + n for n, b in enumerate(x for x in range(256) if x not in own)}}.items()}
+    docs, held = [], collections.Counter()
+    for i, text in rows:
+        text, groups = text or "", []
+        a = a_tok.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = b_tok.encode(text) if text else []
+        ab = [bytes(back[c] for c in a_tok.id_to_token(x)) for x in a]
+        bb = []
+        for x in b:
+            piece = b_tok.id_to_piece(x)
+            bb.append(bytes([int(piece[3:5], 16)]) if b_tok.is_byte(x) else piece.replace("\u2581", " ").encode())
+        whole = (" " + text).encode()
+        if text and b"".join(ab) == whole == b"".join(bb):
+            ia = ib = ea = eb = 0
+            group = ([], [])
+            while ia < len(a) or ib < len(b):
+                if ea <= eb and ia < len(a):
+                    group[0].append(a[ia])
+                    ea += len(ab[ia])
+                    ia += 1
+                else:
+                    group[1].append(b[ib])
+                    eb += len(bb[ib])
+                    ib += 1
+                if ea == eb:
+                    groups.append(group)
+                    group = ([], [])
+        else:
+            a, b = [], []
+        links = [(x, y) for g in groups for x in g[0] for y in g[1]]
+        held.update(set(links))
+        docs.append((i, a, b, groups, links))
+    best = collections.defaultdict(int)
+    for (x, _), n in held.items():
+        best[x] = max(best[x], n)
+    out = []
+    for i, a, b, groups, links in docs:
+        shown = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        out.append((i, len(a), len(b), len(groups), len(links), sum(held[p] == best[p[0]] for p in links),
+                    sum(held[p] for p in links), hashlib.sha256(shown.encode()).hexdigest() if shown else ""))
+    return sorted(out, key=str)
+
+
+ALIGNED = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+AWKWARD = ["<|endoftext|> and <s>", "a\u2581b", "tab\tand  two   spaces \n\n", "\x00\x01", "ﬁ ligature", "a\u0301", "¼½ ²", "日本語のテキスト",
+           "🎉🎉", " lead", "trail ", "<0x41>", "\u200b", "it's we'll THEY'RE", "\u0085x", "1234567 12 3", "İstanbul ßẞ"]
+
+
+def test_alignment_brute_force(spark, docs, empty, monkeypatch):
+    rng = random.Random(12)
+    more = [(1000 + i, t) for i, t in enumerate(AWKWARD * 2 + ["".join(rng.choices("abcdeé \n\tñ'12,.", k=n)) for n in range(1, 120)])]
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + more
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = token_alignment.measure(frame, A_PATH, B_PATH)
+    assert got.columns == ALIGNED and {t for c, t in got.dtypes if c not in ("doc_id", "groups_sha256")} == {"bigint"}
+    want = _brute_alignment(rows)
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    monkeypatch.setattr(token_alignment, "WIDE", 40)  # most pairs join in a shuffle
+    assert sorted(map(tuple, token_alignment.measure(frame, A_PATH, B_PATH).collect()), key=str) == want
+    assert token_alignment.measure(empty, A_PATH, B_PATH).count() == 0
+    clash = docs.select("doc_id", "text", *(F.lit(1).alias(c) for c in ("copies", "tid", "pairs", "n_a", "text_key")))
+    assert token_alignment.measure(clash, A_PATH, B_PATH).count() == docs.count()
+
+
+def test_alignment_of_wide_groups(monkeypatch):
+    aligner = token_alignment.Aligner(*token_alignment._files(A_PATH, B_PATH))
+    texts = ["some words " * 30 + "日本語" * 40, "aé" * 50 + " x", "", "plain"]
+    listed = aligner.align(texts)
+    monkeypatch.setattr(token_alignment, "LISTED", 1)
+    for x, y in zip(listed, aligner.align(texts)):
+        assert list(x) == list(y)
+
+
+def test_fast_encoder_equals_the_model():
+    aligner = token_alignment.Aligner(*token_alignment._files(A_PATH, B_PATH))
+    assert aligner.fast is not None
+    plain = [chr(c) for c in range(0x250)] + [chr(c) for c in range(0x2010, 0x2028)] + ["\u20ac"]
+    rng = random.Random(2)
+    texts = [f"a{c}b {c}1 {c}{c} x{c}\n'{c}s" for c in plain] + ["".join(rng.choices(plain, k=60)) for _ in range(300)]
+    for t in texts:
+        assert token_alignment.PLAIN.fullmatch(t)
+        assert aligner.fast.encode_ordinary(" " + t) == aligner.a.encode(" " + t, add_special_tokens=False).ids, t
+
+
+def test_alignment_query(spark, sf):
+    from martforge.llm import queries
+    got = queries.op12_token_alignment(spark, sf)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert sorted(map(tuple, got.select(ALIGNED).collect()), key=str) == _brute_alignment(rows)
