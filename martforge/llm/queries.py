@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.llm import (bpe, exact_dedup, html_extract, line_dedup, mixing, order_minhash, quality, secrets, sharding,
-                           simhash_dedup, token_alignment, toxicity)
+                           simhash_dedup, spelling_variants, token_alignment, toxicity)
 from martforge.llm.common import read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -71,6 +71,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(read(spark, sf_dir, "documents"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return token_alignment.measure(docs, public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES))
@@ -82,7 +86,7 @@ def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_bpe, op3_mixing, op4_order_minhash, op5_quality, op6_sharding,
-                            op7_line_dedup, op8_secrets, op9_html, op10_simhash, op12_token_alignment, op13_exact_dedup)}
+                            op7_line_dedup, op8_secrets, op9_html, op10_simhash, op11_spelling, op12_token_alignment, op13_exact_dedup)}
 ORACLE: dict[str, str] = {
     "op13_exact_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t

@@ -3,14 +3,17 @@
 import collections
 import hashlib
 import random
+import re
+import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
 import tokenizers
 from pyspark.sql import functions as F
 
-from martforge.llm import exact_dedup, token_alignment
+from martforge.llm import exact_dedup, spelling_variants, token_alignment
 from martforge.llm.common import join_groups
 
 fold = lambda t: (t or "").encode().lower().decode()
@@ -185,3 +188,95 @@ def test_alignment_query(spark, sf):
     got = queries.op12_token_alignment(spark, sf)
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert sorted(map(tuple, got.select(ALIGNED).collect()), key=str) == _brute_alignment(rows)
+
+
+# 11 spelling variants ----------------------------------------------------------------------------------------------
+
+def _edits(word, alphabet):
+    """All strings one code point apart."""
+    out = {word[:i] + word[i + 1:] for i in range(len(word))}
+    out |= {word[:i] + c + word[i + 1:] for i in range(len(word)) for c in alphabet}
+    out |= {word[:i] + c + word[i:] for i in range(len(word) + 1) for c in alphabet}
+    return out - {word}
+
+
+def _brute_variants(rows):
+    counts = collections.Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = fold(run)
+            h = zlib.crc32(f"{'null' if i is None else i}:{run}".encode())
+            if h % 31 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if n >= 2 and len(w) >= 7}
+    alphabet = {c for w in words for c in w}
+    near = {w: _edits(w, alphabet) & words.keys() for w in words}
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda x: (-words[x], x), default=None)
+        form[w] = best if best is not None and words[best] >= 10 * n else None
+    out = []
+    for w, n in words.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), words.get(form[w])))
+    return sorted(out)
+
+
+VARIANTS = ["word", "form", "root", "n", "n_near", "form_n"]
+
+
+def _check_variants(spark, rows):
+    got = spelling_variants.variants(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert got.columns == VARIANTS
+    want = _brute_variants(rows)
+    assert sorted(map(tuple, got.collect())) == want
+    return want
+
+
+def test_variants_brute_force(spark, monkeypatch):
+    rng = random.Random(11)
+    stems = ["".join(rng.choices("abé", k=rng.randrange(6, 12))) for _ in range(60)] + ["çàéèùôö", "aaaaaaaa", "aaaaaaa", "aaaaaaaaa", "Straße÷x×"]
+    pool = []
+    for k, s in enumerate(stems):
+        pool += [s] * (1 + 300 // (k + 1))
+        pool += [rng.choice(sorted(_edits(s, "abcé"))) for _ in range(8)] * 2
+    pool += ["abcdefghij"] * 600 + ["abcdefghi"] * 36 + ["abcdefgh"] * 2 + ["short"] * 9
+    rng.shuffle(pool)
+    rows = [(i, rng.choice([" ", ", ", "\n", "1"]).join(pool[k:k + 40]).title() if i % 3 else " ".join(pool[k:k + 40]))
+            for i, k in enumerate(range(0, len(pool), 40))] + [(None, "abcdefghij Abcdefghij"), (9999, None), (9998, "")]
+    want = _check_variants(spark, rows)
+    assert sum(r[1] is not None for r in want) > 20 and any(r[1] not in (None, r[2]) for r in want)
+    monkeypatch.setattr(spelling_variants, "SHARD", 6)  # halves are cut into parts and blocks
+    monkeypatch.setattr(spelling_variants, "ASKED", 9)
+    monkeypatch.setattr(spelling_variants, "NARROW", 1)
+    monkeypatch.setattr(spelling_variants, "HELD", 10)
+    _check_variants(spark, rows)
+
+
+def test_index_searches():
+    rng = random.Random(5)
+    words = np.array(sorted({"".join(rng.choices("abc", k=rng.randrange(7, 10))) for _ in range(400)} | {"éöüàçñß"}), dtype=object)
+    asked = np.array([*words[::3], "zzzzzzzz", "abzabca"], dtype=object)
+    half = np.array([len(w) // 2 for w in asked])
+    q, w = spelling_variants.Index(words).variants(asked, half)
+    want = set()
+    for i, a in enumerate(asked):
+        h = half[i]
+        for j, b in enumerate(words):
+            if b.endswith(a[h:]) and b in _edits(a, "abcéöüàçñß") and len(b) >= len(a) and b[:len(b) - len(a) + h] in _edits(a[:h], "abcéöüàçñß"):
+                want.add((i, j))
+    assert len(want) > 20 and set(zip(q.tolist(), w.tolist())) == want and len(q) == len(want)
+
+
+def test_variants_awkward(spark, docs, empty, sf):
+    assert sorted(map(tuple, spelling_variants.variants(docs).collect())) == _brute_variants([(r.doc_id, r.text) for r in docs.collect()])
+    assert spelling_variants.variants(empty).count() == 0
+    clash = docs.select("doc_id", "text", *(F.lit(1).alias(c) for c in ("word", "n", "half", "side", "form")))
+    assert spelling_variants.variants(clash).count() == spelling_variants.variants(docs).count()
+    from martforge.llm import queries
+    got = queries.op11_spelling(spark, sf)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert sorted(map(tuple, got.select(VARIANTS).collect())) == _brute_variants(rows)
