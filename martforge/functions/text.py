@@ -6,33 +6,25 @@ codegen, so there is no Python on the hot path.
 
 from __future__ import annotations
 
+from functools import reduce
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from martforge.functions._util import col as _c
 
-# The HTML entities decoded by ``unescape_html`` (a deliberate
-# subset of the HTML5 table; ``&amp;`` is decoded last so ``&amp;lt;`` stays
-# ``&lt;``, as a single-pass decoder would leave it).
-HTML_ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&#x27;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&copy;", "\u00a9"),
-    ("&reg;", "\u00ae"),
-    ("&middot;", "\u00b7"),
-    ("&laquo;", "\u00ab"),
-    ("&raquo;", "\u00bb"),
-    ("&ndash;", "\u2013"),
-    ("&mdash;", "\u2014"),
-    ("&hellip;", "\u2026"),
-    ("&euro;", "\u20ac"),
-    ("&amp;", "&"),
-)
+# The character references of HTML: all names with their text, from the standard table that Python ships. Some old
+# names also count without the semicolon, and in front of other letters.
+ENTITIES = sorted((name.encode(), name, text) for name, text in html5.items())
+OLD_ENTITIES = {name: text for name, text in html5.items() if not name.endswith(";")}
+
+# Numeric references to bytes of the old Windows code page stand for its characters; those without one for themselves.
+WINDOWS = {c: bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0)}
+
+# Ranges of code points that a numeric reference yields nothing for (controls and non-characters; the
+# last two of every plane too).
+NOTHING = ((0x1, 0x8), (0xB, 0xB), (0xE, 0x1F), (0x7F, 0x9F), (0xFDD0, 0xFDEF))
 
 # Whitespace as Python's ``str.split()`` / ``re`` ``\s`` see it (Unicode
 # White_Space plus the ASCII separators 0x1C-0x1F), in a syntax both the JVM
@@ -132,12 +124,49 @@ def norm_accession(c) -> Column:
     return F.when(s.rlike(r"^[A-Za-z][0-9]{5,}$"), F.upper(s))
 
 
+def _named(name: Column) -> Column:
+    """The text of a reference by its name (without the ampersand), by the longest known beginning; NULL if none is known.
+
+    The whole name is looked up by binary search in the sorted table; beginnings can only be old names, which are short.
+    """
+    names = F.array(*(F.lit(n) for _, n, _ in ENTITIES))
+    texts = F.array(*(F.lit(t) for _, _, t in ENTITIES))
+    steps = F.array(*(F.lit(1 << b) for b in range(len(ENTITIES).bit_length() - 1, -1, -1)))
+    at = F.aggregate(steps, F.lit(0), lambda i, step: F.when(
+        (i + step <= len(ENTITIES)) & (F.get(names, i + step - 1) <= name), i + step).otherwise(i)) - 1
+    whole = F.when(F.get(names, at) == name, F.get(texts, at))
+    old = F.create_map(*(F.lit(x) for kv in OLD_ENTITIES.items() for x in kv))
+    sizes = range(max(map(len, OLD_ENTITIES)), min(map(len, OLD_ENTITIES)) - 1, -1)
+    begun = [F.when(F.length(name) > n, F.concat(F.try_element_at(old, F.left(name, F.lit(n))), F.substr(name, F.lit(n + 1))))
+             for n in sizes]
+    return F.coalesce(whole, *begun)
+
+
+def _numbered(ref: Column) -> Column:
+    """The character of a numeric reference ``#123`` or ``#x7b`` (a semicolon may follow)."""
+    hexadecimal = ref.rlike("^#[xX]")
+    digits = F.regexp_extract(ref, "^#[xX]?0*([0-9a-fA-F]*)", 1)
+    digits = F.when(digits == "", "0").otherwise(digits)
+    code = F.when(F.length(digits) > 7, F.lit(0x110000)).otherwise(
+        F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("int"))
+    nothing = reduce(lambda a, b: a | b, (code.between(lo, hi) for lo, hi in NOTHING))
+    windows = F.create_map(*(F.lit(x) for kv in WINDOWS.items() for x in kv))
+    return (F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd"))
+            .when(code.between(0x80, 0x9F), F.try_element_at(windows, code))
+            .when(nothing | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE), F.lit(""))
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
+
+
 def unescape_html(c) -> Column:
-    """Decode the entity subset in :data:`HTML_ENTITIES`."""
-    out = _c(c)
-    for ent, ch in HTML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Decode all character references of HTML, named and numeric, as a browser does; each is decoded once."""
+    text = _c(c)
+    # a reference, or a run without one, or an ampersand by itself
+    tokens = F.regexp_extract_all(
+        text, F.lit(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)|[^&]+|&"), F.lit(0))
+    name = lambda t: F.substr(t, F.lit(2))
+    decoded = F.transform(tokens, lambda t: F.when(~t.startswith("&") | (t == "&"), t)
+                          .when(t.startswith("&#"), _numbered(name(t))).otherwise(F.coalesce(_named(name(t)), t)))
+    return F.when(text.contains("&"), F.array_join(decoded, "")).otherwise(text)
 
 
 def strip_html(c) -> Column:

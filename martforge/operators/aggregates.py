@@ -71,6 +71,22 @@ def chain(t, s, sep: str = " -> ") -> Column:
     return F.array_join(F.transform(ordered, lambda e: e["s"]), sep)
 
 
+def chains(df: DataFrame, keys, t: str, s: str, out: str = "chain", sep: str = " -> ", **aggs) -> DataFrame:
+    """A10 for keys of any size: per key the chain of :func:`chain`, with further figures.
+
+    The rows are dealt out by ranges of (keys, t, s), so a hot key lies in several tasks, each with a stretch of its
+    time. Every stretch becomes one text, and a key's stretches are joined in their order. ``aggs`` maps a name to
+    (aggregate of the rows, aggregate of the stretches' column of that name).
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    spread = df.repartitionByRange(*keys, t, s).withColumn("_run", F.spark_partition_id())
+    parts = spread.groupBy(*keys, "_run").agg(
+        F.when(F.count(s) > 0, chain(t, s, sep)).alias("_text"), *(a.alias(n) for n, (a, _) in aggs.items()))
+    own = F.array_sort(F.collect_list(F.struct("_run", "_text")))  # a stretch without any status has no text
+    return parts.groupBy(*keys).agg(
+        F.array_join(F.transform(own, lambda x: x["_text"]), sep).alias(out), *(a(n).alias(n) for n, (_, a) in aggs.items()))
+
+
 def collect_periods(start, end, name) -> Column:
     """Validity periods as an array of (start, end, name)."""
     return F.collect_list(F.struct(_c(start).alias("s"), _c(end).alias("e"), _c(name).alias("n")))

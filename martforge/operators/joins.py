@@ -108,51 +108,61 @@ def anti_pair(df: DataFrame, side: DataFrame, c1: str, c2: str, exempt=()) -> Da
     return df.join(s, cond, "left_anti")
 
 
+#: Added to a day's number since 1970, so that all dates of the calendar are non-negative ...
+DAY_ZERO = 1 << 20
+#: ... and lie in this many levels of nodes, each node being four of the level below.
+LEVELS = 11
+
+
+def _node(level: int):
+    return lambda at: F.struct(F.lit(level).alias("level"), at.alias("at"))
+
+
+def _nodes(first: Column, last: Column) -> Column:
+    """The fewest nodes (level, at) that together are the days ``[first, last]``: at most six a level."""
+    def quarter(day: Column, level: int) -> Column:
+        return F.shiftright(day, 2 * level)
+
+    none = F.array().cast("array<int>")
+    run = lambda lo, hi: F.when(lo < hi, F.sequence(lo, hi - 1)).otherwise(none)
+    found = []
+    for level in range(LEVELS):
+        lo, hi = quarter(first + (1 << 2 * level) - 1, level), quarter(last + 1, level)
+        if level < LEVELS - 1:  # whole quadruples go to the next level
+            up, down = F.shiftleft(quarter(lo + 3, 1), 2), F.shiftleft(quarter(hi, 1), 2)
+            at = F.when(up > down, run(lo, hi)).otherwise(F.concat(run(lo, up), run(down, hi)))
+        else:
+            at = run(lo, hi)
+        found.append(F.transform(at, _node(level)))
+    return F.concat(*found)
+
+
 def interval_winner(df: DataFrame, periods: DataFrame, key: str, at: str,
                     start: str = "start_date", end: str = "end_date", name: str = "name",
-                    out: str = "period_name", bucket_days: int = 31) -> DataFrame:
+                    out: str = "period_name") -> DataFrame:
     """The one period whose [start, end] holds the date ``at`` (open end =
     2099-12-31); winner = latest start, then smallest name; NULL when none.
 
-    No fact is ever paired with the periods of its key:
-
-    1. the winner, as a function of the date, only changes where a period
-       starts or the day after one ends, so it is evaluated once per such
-       boundary (periods x boundaries of the same key; independent of how
-       many facts the key has) giving pieces ``[b, next b) -> winner``;
-    2. each distinct (key, date) of ``df`` then looks up the last piece at or
-       before its date: running windows inside (key, month-sized bucket) plus
-       a per-key carry over buckets, as in :func:`nearest_by_time`, so a hot
-       key's facts spread over buckets;
-    3. the answer joins back on (key, date): at most one row, no fan-out.
+    A sweep over starts and ends cut to nodes of time, so that it needs no order within a key: the calendar is a tree
+    whose nodes are 1, 4, 16, ... days. A period is the sum of a few nodes, and each node of a key keeps the winner of
+    the periods that cover all of it (a map-side combined minimum). A date lies in one node per level; the best of
+    their winners is its own. Work is linear in periods and in facts, no fact meets a period and no period another
+    one's ends; a key with very many of either is spread over its nodes. The answer joins back on (key, date): at most
+    one row, no fan-out.
     """
+    day = lambda c: F.unix_date(c) + DAY_ZERO
     p = (periods.select(F.col(key).alias("_k"), F.col(start).cast("date").alias("s"),
                         F.coalesce(F.col(end).cast("date"), F.lit(OPEN_END)).alias("e"), F.col(name).alias("n"))
-         .where(F.col("_k").isNotNull() & F.col("s").isNotNull()).distinct())
-    bounds = (p.select("_k", F.col("s").alias("b"))
-              .unionByName(p.select("_k", F.date_add("e", 1).alias("b"))).distinct())
-    cov = bounds.join(p.withColumnRenamed("_k", "_pk"),
-                      (F.col("_k") == F.col("_pk")) & (F.col("s") <= F.col("b")) & (F.col("b") <= F.col("e")), "left")
-    order = F.struct((-F.unix_date("s")).alias("o"), F.col("n").alias("n"))
-    pieces = cov.groupBy("_k", "b").agg(F.min(F.when(F.col("s").isNotNull(), order)).alias("w"))
-
-    bucket = lambda c: F.floor(F.unix_date(F.col(c)) / F.lit(bucket_days))
-    L = (df.select(F.col(key).alias("_k"), F.col(at).cast("date").alias("_t"))
-         .where(F.col("_k").isNotNull() & F.col("_t").isNotNull()).distinct().withColumn("_bk", bucket("_t")))
-    P = pieces.select("_k", F.col("b").alias("_t"), "w").withColumn("_bk", bucket("_t"))
-    piece = F.struct(F.col("_t").alias("t"), F.col("w").alias("w"))
-    summ = P.groupBy("_k", "_bk").agg(F.max(piece).alias("_last"))
-    touched = L.select("_k", "_bk").distinct().join(summ, ["_k", "_bk"], "full")
-    wb = Window.partitionBy("_k").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = touched.select("_k", "_bk", F.max("_last").over(wb).alias("_prev_c"))
-    u = (L.select("_k", "_bk", "_t", F.lit(None).cast(P.schema["w"].dataType).alias("w"), F.lit(1).alias("_is_l"))
-         .unionByName(P.select("_k", "_bk", "_t", "w", F.lit(0).alias("_is_l"))))
-    wi = Window.partitionBy("_k", "_bk").orderBy("_t", "_is_l").rowsBetween(Window.unboundedPreceding, 0)
-    inb = (u.select("_k", "_bk", "_t", "_is_l", F.max(F.when(F.col("_is_l") == 0, piece)).over(wi).alias("_prev_i"))
-           .where(F.col("_is_l") == 1))
-    hit = inb.join(carry, ["_k", "_bk"], "left").select(
-        F.col("_k").alias("_iw_k"), F.col("_t").alias("_iw_t"),
-        F.coalesce(F.col("_prev_i"), F.col("_prev_c"))["w"]["n"].alias(out))
+         .where(F.col("_k").isNotNull() & F.col("s").isNotNull()))
+    own = F.struct((-F.unix_date("s")).alias("o"), F.col("n").alias("n"))
+    won = (p.select("_k", own.alias("w"), F.explode(_nodes(day("s"), day("e"))).alias("d"))
+           .groupBy("_k", F.col("d.level").alias("level"), F.col("d.at").alias("at")).agg(F.min("w").alias("w")))
+    dates = (df.select(F.col(key).alias("_k"), F.col(at).cast("date").alias("_t"))
+             .where(F.col("_k").isNotNull() & F.col("_t").isNotNull()).distinct())
+    up = F.array(*(F.struct(F.lit(k).alias("level"), F.shiftright(day("_t"), 2 * k).alias("at")) for k in range(LEVELS)))
+    hit = (dates.select("_k", "_t", F.explode(up).alias("d")).select("_k", "_t", "d.level", "d.at")
+           .join(won, ["_k", "level", "at"]).groupBy("_k", "_t").agg(F.min("w").alias("w"))
+           .select(F.col("_k").alias("_iw_k"), F.col("_t").alias("_iw_t"), F.col("w.n").alias(out)))
     j = df.join(hit, (df[key] == F.col("_iw_k")) & (F.col(at).cast("date") == F.col("_iw_t")), "left")
     return j.drop("_iw_k", "_iw_t")
 

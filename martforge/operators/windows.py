@@ -66,23 +66,31 @@ def keep_first(df: DataFrame, id_col: str, seq: str) -> DataFrame:
     return top1(df.withColumn("_kf_key", key), "_kf_key", [seq]).drop("_kf_key")
 
 
-def second_newest(df: DataFrame, ts: str, keys=()) -> DataFrame:
+def top_two(ts: str, row_id: str) -> tuple[Column, Column]:
+    """The largest and second largest value of ``ts`` as aggregates of one pass; equal values count.
+
+    ``row_id`` numbers the rows (a non-negative long, unique). The winner is one row with the largest value. Every
+    other row differs from it in some bit of the number, so the second value is the largest one, over all bits, among
+    the rows that have the bit unlike the winner. The aggregates are plain maxima: partial and final, of constant size.
+    """
+    bit = lambda c, b: F.shiftright(c, b).bitwiseAND(F.lit(1)) == 1
+    i, t = F.col(row_id), F.col(ts)
+    winner = F.max_by(i, t)
+    others = [F.when(bit(winner, b), F.max(F.when(~bit(i, b), t))).otherwise(F.max(F.when(bit(i, b), t))) for b in range(63)]
+    return F.max(t), F.greatest(*others)
+
+
+def second_newest(df: DataFrame, ts: str, keys=(), **aggs: Column) -> DataFrame:
     """O2: per key, the newest and the second-newest value of ``ts``
     (``ORDER BY ts DESC LIMIT 1 OFFSET 1``: duplicates count, so two equal
-    newest stamps make the second one equal to the first).
+    newest stamps make the second one equal to the first), and further aggregates.
 
-    Two partial aggregates and no sort: the per-key maximum, then, joined
-    back, the count of rows at the maximum and the largest value below it.
-    Memory per key is constant, so a hot key cannot blow up a task.
+    One scan and one aggregate, see :func:`top_two`; without keys one row, also for no rows. Memory per key is
+    constant, so a hot key cannot blow up a task.
     """
-    keys = list(keys)
-    top = df.groupBy(*keys).agg(F.max(ts).alias("_sn_max"))
-    j = df.crossJoin(F.broadcast(top)) if not keys else df.join(top, keys)
-    agg = j.groupBy(*keys).agg(F.max("_sn_max").alias("newest"),
-                               F.count_if(F.col(ts) == F.col("_sn_max")).alias("_sn_ties"),
-                               F.max(F.when(F.col(ts) < F.col("_sn_max"), F.col(ts))).alias("_sn_below"))
-    prev = F.when(F.col("_sn_ties") >= 2, F.col("newest")).otherwise(F.col("_sn_below"))
-    return agg.withColumn("previous", prev).drop("_sn_ties", "_sn_below")
+    newest, previous = top_two(ts, "_sn_id")
+    return df.withColumn("_sn_id", F.monotonically_increasing_id()).groupBy(*keys).agg(
+        newest.alias("newest"), previous.alias("previous"), *(c.alias(n) for n, c in aggs.items()))
 
 
 def order(df: DataFrame, *keys) -> DataFrame:

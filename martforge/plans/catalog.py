@@ -632,9 +632,17 @@ def q_refresh_log(spark, sf_dir):
 
 # ---- M16-M19 text, id sync, guide, registry ------------------------------------
 
-from martforge.functions.text import HTML_ENTITIES, PY_WS, STATUS_CODES  # noqa: E402
 from martforge.plans import registry as RG  # noqa: E402
 
+# Fixed values of the twins: white space, the character references that the pages hold (the ampersand last), status codes.
+PY_WS = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"),
+                 ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&laquo;", "\u00ab"),
+                 ("&raquo;", "\u00bb"), ("&ndash;", "\u2013"), ("&mdash;", "\u2014"), ("&hellip;", "\u2026"),
+                 ("&amp;", "&"))
+STATUS_CODES = {"новая": "new", "назначен ответственный": "responsible_assigned", "назначена": "responsible_assigned",
+                "в работе": "work", "отправлено на доработку": "rework", "на доработке": "rework"}
+
 
 def _ws(x: str, repl: str = " ") -> str:
     return f"regexp_replace({x}, '{PY_WS}', '{repl}', 'g')"

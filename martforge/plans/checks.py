@@ -14,13 +14,13 @@ from martforge.operators import aggregates as A
 
 def status_chains(changes: DataFrame, key: str, t: str, status: str) -> DataFrame:
     """Per key, the ordered status chain, the number of a given
-    status and the first/last time of another, in one aggregate."""
-    return changes.groupBy(key).agg(
-        A.chain(t, status).alias("status_chain"),
-        A.count_where(F.col(status) == "assistant").alias("cnt_assistant"),
-        A.min_where(t, F.col(status) == "user").alias("first_user"),
-        A.max_where(t, F.col(status) == "user").alias("last_user"),
-        A.n_rows().alias("n_changes"))
+    status and the first/last time of another; a hot key's chain is built in stretches."""
+    return A.chains(
+        changes, key, t, status, "status_chain",
+        cnt_assistant=(A.count_where(F.col(status) == "assistant"), F.sum),
+        first_user=(A.min_where(t, F.col(status) == "user"), F.min),
+        last_user=(A.max_where(t, F.col(status) == "user"), F.max),
+        n_changes=(A.n_rows(), F.sum))
 
 
 def first_values(df: DataFrame, key: str, t: str, value: str, tie: str) -> DataFrame:

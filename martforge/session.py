@@ -28,6 +28,9 @@ DEFAULTS = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # The streams' seen keys stay on local disk with snapshots in the checkpoint, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -209,17 +209,25 @@ class VersionedTable:
         new = [{"path": f"{folder}/{PART}={d}", "part": d} for d in sorted(loaded) if fresh(d)]
         return self._publish(base, "append_retain", df.schema, kept + new, metrics=metrics, **extra)
 
-    def append(self, df: DataFrame, stream: str | None = None, batch: int | None = None, expire: Column | None = None,
-               **extra) -> int | None:
-        """Adds rows. A micro-batch names its ``stream`` and number, and is added once however often it is replayed."""
+    def append(self, df: DataFrame, stream: str | None = None, batch: int | None = None, day_col: str | None = None,
+               floor: dt.date | None = None, **extra) -> int | None:
+        """Adds rows. A micro-batch names its ``stream`` and number, and is added once however often it is replayed.
+
+        With ``day_col`` the rows go into day folders, and days before ``floor`` leave the table in the same commit.
+        """
         base = self.manifest()
         batches = dict(base.get("batches", {}))
         if stream is not None and batches.get(stream, -1) >= batch:
             return None
-        folder, metrics = self._write(df)
+        rows = df if day_col is None else df.withColumn(PART, F.to_date(day_col).cast("string"))
+        folder, metrics = self._write(rows, by_part=day_col is not None)
+        new = [{"path": folder, "rows": metrics["rows"]}]
+        if day_col is not None:
+            new = [{"path": f"{folder}/{PART}={d}", "part": d} for d in sorted(partition_values(self.spark, f"{self.path}/{folder}", PART))]
+        fresh = lambda e: floor is None or not _is_date(e.get("part")) or dt.date.fromisoformat(e["part"]) >= floor
         if stream is not None:
             batches[stream] = batch
-        return self._publish(base, "append", df.schema, [*base["entries"], {"path": folder, "rows": metrics["rows"]}],
+        return self._publish(base, "append", df.schema, [e for e in base["entries"] + new if fresh(e)],
                              metrics=metrics, **({"batches": batches} if batches else {}), **extra)
 
     def insert_unseen(self, df: DataFrame, key: str) -> int | None:

@@ -126,6 +126,26 @@ def latest_file(df: DataFrame, file_col: str = "file", mtime_col: str = "file_mt
     return df.join(F.broadcast(newest), F.col(file_col) == F.col("_newest"), "left_semi")
 
 
+def file_index(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """(path, modificationTime, length) of a folder's files from their listing; no file is opened."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+            .select("path", "modificationTime", "length"))
+
+
+def newest_file(spark: SparkSession, folder: str, glob: str = "*.csv") -> str | None:
+    """The path of the newest file (of equal times the last by name); None for an empty folder."""
+    row = file_index(spark, folder, glob).agg(F.max(F.struct("modificationTime", "path")).alias("f")).first()
+    return row["f"]["path"] if row["f"] else None
+
+
+def read_newest_ids(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """S10 on the newest file alone: (raw_id, file, file_mtime); the other files are listed, not read."""
+    newest = newest_file(spark, folder, glob)
+    if newest is None:
+        return spark.createDataFrame([], "raw_id string, file string, file_mtime timestamp")
+    return read_id_lists(spark, newest, "*")
+
+
 def clean_column_names(df: DataFrame) -> DataFrame:
     """Strip 1-3 quote characters at both ends of each header, then a BOM."""
     import re

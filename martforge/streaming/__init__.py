@@ -1,5 +1,5 @@
 """Structured Streaming jobs."""
 
-from martforge.streaming.jobs import add_events, stream_event_log, stream_ids
+from martforge.streaming.jobs import stream_event_log, stream_ids, stream_retained_log
 
-__all__ = ["add_events", "stream_event_log", "stream_ids"]
+__all__ = ["stream_event_log", "stream_ids", "stream_retained_log"]
