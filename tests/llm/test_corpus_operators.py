@@ -302,18 +302,14 @@ def _line_words(line):
 
 
 def _brute_lines(rows):
-    """rows: (id, text) in id order. All pairs: SimHash within two bits and word similarity of 0.8."""
-    nodes, first = {}, {}
+    """rows: (id, text) in id order. All pairs of lines by the word similarity of 0.8."""
+    first = {}
     for i, t in rows:
         for n, line in enumerate(t.split("\n")):
             w = tuple(_line_words(line))
             if w:
                 first.setdefault(w, (i, n))
-    for w in first:
-        hashes = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in w], dtype=np.uint64)
-        ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0)
-        nodes[w] = int(np.packbits(ones * 2 > len(w), bitorder="little").view(np.uint64)[0])
-    keys = list(nodes)
+    keys = sorted(first, key=len)
     parent = {w: w for w in keys}
 
     def find(x):
@@ -322,8 +318,12 @@ def _brute_lines(rows):
         return x
 
     for i, a in enumerate(keys):
+        words_a = collections.Counter(a)
         for b in keys[i + 1:]:
-            if (nodes[a] ^ nodes[b]).bit_count() <= 2 and _edit(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9:
+            edits = int(0.2 * len(b) + 1e-9)
+            if len(b) - len(a) > edits:
+                break
+            if len(b) - sum((words_a & collections.Counter(b)).values()) <= edits and _edit(a, b) <= edits:
                 x, y = find(a), find(b)
                 if first[x] > first[y]:
                     x, y = y, x
@@ -354,16 +354,25 @@ def test_line_dedup_brute_force(spark, docs, empty, sf):
     assert line_dedup.dedup(empty).count() == 0
 
 
-def test_line_dedup_long_lines(spark):
-    wide = line_dedup.COUNTED
-    line_dedup.COUNTED = 10  # parts of ten words: the added votes must give the same SimHash
-    try:
-        rows = [(0, " ".join(f"a{i * i % 31}" for i in range(45))), (1, "b c d")]
-        hashed = spark.createDataFrame(rows, "id long, t string").withColumn("h", F.lit(1).cast("long"))
-        parts = {r.id: r.sim for r in line_dedup._simhashes(line_dedup._lines(hashed)).collect()}
-    finally:
-        line_dedup.COUNTED = wide
-    assert parts == {r.id: r.sim for r in line_dedup._simhashes(line_dedup._lines(hashed)).collect()}
+def test_line_dedup_compares_words_not_hashes(spark):
+    """Three of ten words differ, two of them with equal short codes: similarity 0.7, so both lines stay."""
+    common = " ".join(f"c{k}" for k in range(7))
+    rows = [(0, f"{common} q212 y1 y2"), (1, f"{common} q76 z1 z2"), (2, f"{common} q212 y1 z3")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: rows[0][1], 1: rows[1][1], 2: ""} == _brute_lines(rows)
+    pairs = [("a b c", "a b c"), ("a b c", "c b a"), ("x", "y z"), ("é 日 b", "é b"), ("w " * 300 + "end", "w " * 299 + "the end")]
+    df = spark.createDataFrame([(i, a.split(), b.split()) for i, (a, b) in enumerate(pairs)], "i int, a array<string>, b array<string>")
+    got = {r.i: r.d for r in df.select("i", line_dedup._distance(F.col("a"), F.col("b")).alias("d")).collect()}
+    assert got == {i: _edit(a.split(), b.split()) for i, (a, b) in enumerate(pairs)}
+
+
+def test_line_dedup_columns_that_clash(spark):
+    rows = [(0, "one two three four"), (1, "x\none two three four")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clash = docs.select("*", *(F.lit(c).alias(c) for c in ("out", "id", "h", "t", "pos", "words", "n1", "key", "head", "n_lines")))
+    got = line_dedup.dedup(clash)
+    assert {r.doc_id: (r.text, r.out, r.n_lines) for r in got.collect()} == {0: (rows[0][1], "out", 1), 1: ("x", "out", 2)}
+    assert sorted(got.columns) == sorted([*clash.columns, "n_removed"])
 
 
 def test_line_dedup_finds_all_similar_lines(spark):
@@ -591,7 +600,7 @@ def test_pipeline(spark, sf):
     import __spark_entry__
     import corpus_pipeline
     names = __spark_entry__.queries()
-    assert "pipeline" in names and sum(bool(re.match(r"op\d+_", n)) for n in names) == 10
+    assert "pipeline" in names and sum(bool(re.match(r"op\d+_", n)) for n in names) == 13
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     kept = corpus_pipeline.clean(spark, docs, sf)
     lines = corpus_pipeline.dedup_lines(spark, kept, sf)
