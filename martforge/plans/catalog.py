@@ -1054,3 +1054,6 @@ def q_stream_id_sync(spark, sf_dir):
     Tables(spark, sf_dir).id_lists.repartition(8).write.option("header", False).csv(src)
     R.stream_ids(spark, src, dst, ck, glob="*.csv", max_files=2).awaitTermination()
     return spark.read.parquet(dst)
+
+
+from martforge.plans import load_queries  # noqa: E402,F401  (registers its queries)
