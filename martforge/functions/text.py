@@ -129,13 +129,13 @@ def _named(name: Column) -> Column:
 
     The whole name is looked up by binary search in the sorted table; beginnings can only be old names, which are short.
     """
-    names = F.array(*(F.lit(n) for _, n, _ in ENTITIES))
-    texts = F.array(*(F.lit(t) for _, _, t in ENTITIES))
-    steps = F.array(*(F.lit(1 << b) for b in range(len(ENTITIES).bit_length() - 1, -1, -1)))
+    # each table is one literal, cut up once when the query is planned
+    names, texts = (F.split(F.lit("\0".join(e[k] for e in ENTITIES)), "\0") for k in (1, 2))
+    steps = F.lit([1 << b for b in range(len(ENTITIES).bit_length() - 1, -1, -1)])
     at = F.aggregate(steps, F.lit(0), lambda i, step: F.when(
         (i + step <= len(ENTITIES)) & (F.get(names, i + step - 1) <= name), i + step).otherwise(i)) - 1
     whole = F.when(F.get(names, at) == name, F.get(texts, at))
-    old = F.create_map(*(F.lit(x) for kv in OLD_ENTITIES.items() for x in kv))
+    old = F.str_to_map(F.lit("\0".join(f"{n}\1{t}" for n, t in OLD_ENTITIES.items())), F.lit("\0"), F.lit("\1"))
     sizes = range(max(map(len, OLD_ENTITIES)), min(map(len, OLD_ENTITIES)) - 1, -1)
     begun = [F.when(F.length(name) > n, F.concat(F.try_element_at(old, F.left(name, F.lit(n))), F.substr(name, F.lit(n + 1))))
              for n in sizes]
@@ -150,9 +150,9 @@ def _numbered(ref: Column) -> Column:
     code = F.when(F.length(digits) > 7, F.lit(0x110000)).otherwise(
         F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("int"))
     nothing = reduce(lambda a, b: a | b, (code.between(lo, hi) for lo, hi in NOTHING))
-    windows = F.create_map(*(F.lit(x) for kv in WINDOWS.items() for x in kv))
+    windows = F.split(F.lit("\0".join(WINDOWS.values())), "\0")
     return (F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd"))
-            .when(code.between(0x80, 0x9F), F.try_element_at(windows, code))
+            .when(code.between(0x80, 0x9F), F.get(windows, code - 0x80))
             .when(nothing | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE), F.lit(""))
             .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
 

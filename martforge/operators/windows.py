@@ -66,31 +66,23 @@ def keep_first(df: DataFrame, id_col: str, seq: str) -> DataFrame:
     return top1(df.withColumn("_kf_key", key), "_kf_key", [seq]).drop("_kf_key")
 
 
-def top_two(ts: str, row_id: str) -> tuple[Column, Column]:
-    """The largest and second largest value of ``ts`` as aggregates of one pass; equal values count.
-
-    ``row_id`` numbers the rows (a non-negative long, unique). The winner is one row with the largest value. Every
-    other row differs from it in some bit of the number, so the second value is the largest one, over all bits, among
-    the rows that have the bit unlike the winner. The aggregates are plain maxima: partial and final, of constant size.
-    """
-    bit = lambda c, b: F.shiftright(c, b).bitwiseAND(F.lit(1)) == 1
-    i, t = F.col(row_id), F.col(ts)
-    winner = F.max_by(i, t)
-    others = [F.when(bit(winner, b), F.max(F.when(~bit(i, b), t))).otherwise(F.max(F.when(bit(i, b), t))) for b in range(63)]
-    return F.max(t), F.greatest(*others)
-
-
 def second_newest(df: DataFrame, ts: str, keys=(), **aggs: Column) -> DataFrame:
     """O2: per key, the newest and the second-newest value of ``ts``
     (``ORDER BY ts DESC LIMIT 1 OFFSET 1``: duplicates count, so two equal
     newest stamps make the second one equal to the first), and further aggregates.
 
-    One scan and one aggregate, see :func:`top_two`; without keys one row, also for no rows. Memory per key is
-    constant, so a hot key cannot blow up a task.
+    One scan finds both: every task keeps its two newest rows of a key, and only those are shuffled
+    (``WindowGroupLimit``). ``aggs`` are a partial and final aggregate over the same column; the two results are
+    stacked and folded, not joined. Without keys one row comes back, also for no rows.
     """
-    newest, previous = top_two(ts, "_sn_id")
-    return df.withColumn("_sn_id", F.monotonically_increasing_id()).groupBy(*keys).agg(
-        newest.alias("newest"), previous.alias("previous"), *(c.alias(n) for n, c in aggs.items()))
+    w = Window.partitionBy(*keys).orderBy(F.col("_ts").desc_nulls_last())
+    top = df.select(*keys, F.col(ts).alias("_ts")).withColumn("_rn", F.row_number().over(w)).where("_rn <= 2")
+    fold = [F.max(F.when(F.col("_rn") == n, F.col("_ts"))).alias(c) for n, c in ((1, "newest"), (2, "previous"))]
+    if not aggs:
+        return top.groupBy(*keys).agg(*fold)
+    counted = df.groupBy(*keys).agg(*(c.alias(n) for n, c in aggs.items()))
+    both = top.unionByName(counted, allowMissingColumns=True)
+    return both.groupBy(*keys).agg(*fold, *(F.max(n).alias(n) for n in aggs))
 
 
 def order(df: DataFrame, *keys) -> DataFrame:
