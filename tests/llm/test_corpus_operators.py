@@ -362,7 +362,7 @@ def test_line_dedup_compares_words_not_hashes(spark):
     assert got == {0: rows[0][1], 1: rows[1][1], 2: ""} == _brute_lines(rows)
     pairs = [("a b c", "a b c"), ("a b c", "c b a"), ("x", "y z"), ("é 日 b", "é b"), ("w " * 300 + "end", "w " * 299 + "the end")]
     df = spark.createDataFrame([(i, a.split(), b.split()) for i, (a, b) in enumerate(pairs)], "i int, a array<string>, b array<string>")
-    got = {r.i: r.d for r in df.select("i", line_dedup._distance(F.col("a"), F.col("b")).alias("d")).collect()}
+    got = {r.i: r.d for r in df.select("i", line_dedup._distance(F.col("a"), F.col("b"), F.lit(99)).alias("d")).collect()}
     assert got == {i: _edit(a.split(), b.split()) for i, (a, b) in enumerate(pairs)}
 
 
