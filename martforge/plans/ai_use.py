@@ -88,11 +88,10 @@ def base_studies(results: DataFrame, cfg: DataFrame, date_from: dt.date, date_to
 def ai_results(reports: DataFrame, app_source: str = "CDS") -> DataFrame:
     """One row per (study, series) with the AI verdict and model id."""
     from martforge.plans.reports import report_fields
-    r = report_fields(reports)
+    r = report_fields(reports, app_source, "study_iuid", "norma", "series_iuid", "raw_model_id", "computed_model_id", "ready_text")
     model = F.when(F.col("raw_is_null"), F.col("computed_model_id")).otherwise(F.col("raw_model_id"))
     # the condition is projected once, not re-evaluated inside each aggregate
-    r = r.withColumn("_ok", (F.col("app_source") == app_source) & parse_ts("ready_text").isNotNull()
-                     & (F.trim("norma") != ""))
+    r = r.withColumn("_ok", parse_ts("ready_text").isNotNull() & (F.trim("norma") != ""))
     ok = F.col("_ok")
     return (r.groupBy(F.col("study_iuid").alias("study_uid"), "series_iuid")
             .agg(F.min(F.when(ok, F.col("norma"))).alias("norma_value"),
