@@ -65,8 +65,7 @@ CHANGES = {"U": {"U": 0.40, "L": 0.45, "D": 0.07, "S": 0.08}, "L": {"U": 0.06, "
 #: Letter frequencies in percent, a to z, that stand for ``PRIOR`` pairs per first letter beside those of the corpus.
 LETTERS = (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1, 2.8, 0.98, 2.4, 0.15, 2.0, 0.074)
 PRIOR = 50
-#: Texts, and characters of each, whose words show how letters follow each other.
-SAMPLE, SAMPLE_CHARS = 5_000, 20_000
+
 
 def _cut(kind: str, rank: int) -> Column:
     """Array of (rank, i, gap, hit): the matches of a kind and the length of what lies before each."""
@@ -136,11 +135,9 @@ def _battery(rows: DataFrame) -> DataFrame:
 def _writing(texts: DataFrame) -> list[float]:
     """log10 of the chance that writing goes on from symbol a with symbol b, at place 64a + b in the order of base64.
 
-    Learnt from the words (2 to 19 ASCII letters) of about ``SAMPLE`` texts, those with the smallest hashes.
+    Learnt from the words (2 to 19 ASCII letters) of all texts.
     """
-    share = min(1.0, SAMPLE / max(1, texts.count()))
-    some = texts.where(F.pmod("k", F.lit(1_000_000)) < F.lit(share * 1_000_000)).select(F.substring("t", 1, SAMPLE_CHARS).alias("t"))
-    words = some.select(F.explode(F.regexp_extract_all("t", F.lit(r"(?<![A-Za-z0-9+/_-])[A-Za-z]{2,19}(?![A-Za-z0-9+/_-])"), F.lit(0))).alias("w"))
+    words = texts.select(F.explode(F.regexp_extract_all("t", F.lit(r"(?<![A-Za-z0-9+/_-])[A-Za-z]{2,19}(?![A-Za-z0-9+/_-])"), F.lit(0))).alias("w"))
     counted = words.groupBy(F.lower("w").alias("w")).agg(F.count("*").alias("n"))
     pairs = counted.select("n", F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring("w", i, F.lit(2)))).alias("pair"))
     seen = {r.pair: r.n for r in pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect()}  # at most 26 x 26 rows
