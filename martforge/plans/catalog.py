@@ -572,25 +572,36 @@ def q_equipment_studies(spark, sf_dir):
 
 FRESH_AS_OF = dt.date(2001, 11, 4)
 FRESH_CHECK_TS = dt.datetime(2001, 11, 4, 9, 30)
-# (name, kind, description, role, timestamp column); the lookback spans the whole table
-FRESH_CHECKS = [
-    ("examinations", "critical", "conducted examinations", "examinations", "conduct_date"),
-    ("results", "critical", "radiologist conclusions", "results", "doc_created"),
-    ("pin_tasks", "auxiliary", "pin tasks", "pin_tasks", "task_pin_send_date"),
-    ("etl_events", "auxiliary", "source refresh events", "etl_events", "loaded"),
-]
+FRESH_DASHBOARD = "undescribed studies"
+# The driver's days run over years: the look-backs are widened to span each table.
+FRESH_BACK = {"examinations": DAYS, "results": DAYS + 10, "trauma": 3 * DAYS, "undescribed": DAYS + 400, "pin_tasks": DAYS}
 
 
 def _fresh_sql() -> str:
+    floor = {k: f"DATE '{FRESH_AS_OF}' - INTERVAL {v} DAY" for k, v in FRESH_BACK.items()}
+    checks = [
+        ("examinations", "critical", "Данные о проведённых исследованиях", "examinations", "conduct_date",
+         f"CAST(conduct_date AS DATE) >= {floor['examinations']}"),
+        ("results", "critical", "Описания рентгенологов",
+         "results LEFT JOIN examinations ON results.accession_number = examinations.accession_number", "examinations.conduct_date",
+         f"CAST(examinations.conduct_date AS DATE) >= {floor['results']}"),
+        ("trauma", "auxiliary", "Травматологические направления", "trauma", "assignment_signed_date",
+         f"CAST(assignment_signed_date AS DATE) >= {floor['trauma']}"),
+        ("undescribed", "auxiliary", "Неописанные исследования", "undescribed", "create_date",
+         f"CAST(create_date AS DATE) >= {floor['undescribed']}"),
+        ("pin_tasks", "auxiliary", "Задачи в ПИНе", "pin_tasks", "task_pin_send_date",
+         f"(task_pin_end_date IS NULL OR CAST(task_pin_end_date AS DATE) >= {floor['pin_tasks']}) "
+         f"AND CAST(task_pin_send_date AS DATE) <= DATE '{FRESH_AS_OF}'"),
+    ]
     parts = []
-    for name, kind, desc, role_, col in FRESH_CHECKS:
+    for name, kind, desc, source, col, cond in checks:
         parts.append(f"""SELECT '{name}' AS table_name, '{kind}' AS table_type, '{desc}' AS description,
   count(*) AS row_count, coalesce(max({col}), TIMESTAMP '1971-01-01 00:00:00') AS last_data_datetime,
-  coalesce((SELECT {col} FROM {role_} WHERE CAST({col} AS DATE) >= DATE '{FRESH_AS_OF}' - INTERVAL {DAYS} DAY
-            ORDER BY {col} DESC LIMIT 1 OFFSET 1), TIMESTAMP '1971-01-01 00:00:00') AS previous_data_datetime
-FROM {role_} WHERE CAST({col} AS DATE) >= DATE '{FRESH_AS_OF}' - INTERVAL {DAYS} DAY""")
+  coalesce((SELECT {col} FROM {source} WHERE {cond} ORDER BY {col} DESC LIMIT 1 OFFSET 1),
+           TIMESTAMP '1971-01-01 00:00:00') AS previous_data_datetime
+FROM {source} WHERE {cond}""")
     fmt = "strftime(last_data_datetime, '%d.%m.%Y %H:%M:%S')"
-    return with_roles(*sorted({c[3] for c in FRESH_CHECKS})) + ",\nchecks AS (" + "\nUNION ALL\n".join(parts) + f"""),
+    return with_roles("examinations", "results", "trauma", "undescribed", "pin_tasks") + ",\nchecks AS (" + "\nUNION ALL\n".join(parts) + f"""),
 st AS (
   SELECT *, CAST(last_data_datetime AS DATE) AS last_data_date,
     CASE WHEN last_data_datetime >= TIMESTAMP '{FRESH_AS_OF} 00:00:00' THEN 'Данные за текущий день (' || {fmt} || ')'
@@ -607,15 +618,16 @@ SELECT TIMESTAMP '{FRESH_CHECK_TS}' AS check_timestamp, table_name, table_type,
        last_data_datetime, previous_data_datetime, last_data_date, table_status,
        CASE WHEN h = 1 THEN 'НЕ ПРИГОДЕН' ELSE 'ПРИГОДЕН' END AS overall_status,
        'Критических таблиц: ' || CAST(today_n AS VARCHAR) || ' из ' || CAST(crit_n AS VARCHAR) AS fresh_tables_details,
-       date_diff('second', last_data_datetime, TIMESTAMP '{FRESH_CHECK_TS}') AS data_latency_seconds
+       date_diff('second', last_data_datetime, TIMESTAMP '{FRESH_CHECK_TS}') AS data_latency_seconds,
+       '{FRESH_DASHBOARD}' AS dashboard_name
 FROM st CROSS JOIN ds"""
 
 
 @register("freshness_report", _fresh_sql())
 def q_freshness_report(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    checks = [(n, k, d, getattr(t, r), c, DAYS) for n, k, d, r, c in FRESH_CHECKS]
-    return OP.freshness_report(checks, FRESH_AS_OF, FRESH_CHECK_TS)
+    checks = OP.source_checks(t.examinations, t.results, t.trauma, t.undescribed, t.pin_tasks, FRESH_AS_OF, FRESH_BACK)
+    return OP.freshness_report(checks, FRESH_AS_OF, FRESH_CHECK_TS, FRESH_DASHBOARD)
 
 
 REFRESH_ENTITIES = ("click", "purchase", "signup")

@@ -79,14 +79,33 @@ def test_freshness_top_two(spark, tmp):
     at = lambda d, h: dt.datetime(2024, 3, d, h)
     for name, times in (("a", [at(5, 1), at(5, 9), at(5, 9)]), ("b", [at(3, 1)])):
         spark.createDataFrame([(t,) for t in times], "t timestamp_ntz").write.parquet(os.path.join(tmp, name))
-    checks = [(n, "critical", n, spark.read.parquet(os.path.join(tmp, n)), "t", 3) for n in "ab"]
-    out = freshness_report(checks, day, at(5, 12))
+    checks = [(n, "critical", n, spark.read.parquet(os.path.join(tmp, n)), "t") for n in "ab"]
+    out = freshness_report(checks, day, at(5, 12), "board")
     rows = {r.table_name: r for r in out.collect()}
     assert (rows["a"].row_count, rows["a"].last_data_datetime, rows["a"].previous_data_datetime) == (3, at(5, 9), at(5, 9))
     assert rows["b"].row_count == 1 and rows["b"].previous_data_datetime == dt.datetime(1971, 1, 1)
     assert plan(out).count("Join") == 1  # with the one-row roll-up
 
 
+def test_freshness_looks_at_each_table_its_own_way(spark):
+    from martforge.plans.operational import freshness_report, source_checks
+    day = dt.date(2024, 3, 5)
+    at = lambda d, h=1: dt.datetime(2024, 3, d, h)
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    exams = frame([(1, at(5)), (2, at(4)), (3, at(3))], "accession_number long, conduct_date timestamp_ntz")
+    results = frame([(1,), (1,), (2,), (3,), (9,), (None,)], "accession_number long")
+    trauma = frame([(at(2),), (at(1),)], "assignment_signed_date timestamp_ntz")
+    undescribed = frame([(at(3),)], "create_date timestamp_ntz")
+    pins = frame([(None, at(1)), (at(4), at(2)), (at(3), at(3)), (None, at(6))], "task_pin_end_date timestamp_ntz, task_pin_send_date timestamp_ntz")
+    out = freshness_report(source_checks(exams, results, trauma, undescribed, pins, day), day, at(5, 12), "board")
+    got = {r.table_name: (r.row_count, r.last_data_datetime, r.previous_data_datetime) for r in out.collect()}
+    never = dt.datetime(1971, 1, 1)
+    assert got == {"examinations": (2, at(5), at(4)), "results": (3, at(5), at(5)), "trauma": (1, at(2), never),
+                   "undescribed": (0, never, never), "pin_tasks": (2, at(2), at(1))}
+    assert len(out.columns) == 13 and {(r.overall_status, r.dashboard_name, r.fresh_tables_details) for r in out.collect()} == {
+        ("ПРИГОДЕН", "board", "Критических таблиц: 2 из 2")}
+
+
 def test_chains_equal_the_plain_chain(spark):
     rng = random.Random(5)
     data = [(0 if rng.random() < 0.6 else rng.randrange(9), rng.choice([None, *range(60)]), rng.choice(["new", "run", "", None]))
