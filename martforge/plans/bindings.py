@@ -42,6 +42,55 @@ ROLES: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("assignment_id", "o_orderkey"),
         ("assignment_mu_id", "CAST(o_custkey % 1000 AS STRING)"),
     ]),
+    # The same examinations with everything that the undescribed-study queue shows of them.
+    "queue_examinations": ("orders", [
+        ("assignment_conduct_id", "o_orderkey * 3 + 1"),
+        ("conduct_date", "o_orderdate"),
+        ("conduct_doc_id", "o_orderkey * 2"),
+        ("conduct_doc_cct", "o_orderdate + INTERVAL 1 MINUTE * (o_orderkey % 90)"),
+        ("conduct_doc_author_job_execution_id", "o_custkey % 500"),
+        ("conduct_doc_author_id", "o_custkey % 300"),
+        ("conduct_doc_author_fio", "concat('лаборант ', CAST(o_custkey % 300 AS STRING))"),
+        ("conduct_mu_id", "CAST(o_custkey % 1000 AS STRING)"),
+        ("conduct_mo_id", "CAST(o_custkey % 90 AS STRING)"),
+        ("conduct_mu_name", "concat('МУ ', CAST(o_custkey % 1000 AS STRING))"),
+        ("conduct_mo_name", "concat('МО ', CAST(o_custkey % 90 AS STRING))"),
+        ("district_short_name", "CASE WHEN o_custkey % 13 = 0 THEN NULL ELSE concat('округ ', CAST(o_custkey % 12 AS STRING)) END"),
+        ("assignment_id", "o_orderkey"),
+        ("assignment_status", "o_orderstatus"),
+        ("assignment_mu_id", "CAST(o_custkey % 700 AS STRING)"),
+        ("assignment_mo_id", "CAST(o_custkey % 70 AS STRING)"),
+        ("assignment_mu_name", "concat('МУ ', CAST(o_custkey % 700 AS STRING))"),
+        ("assignment_mo_name", "concat('МО ', CAST(o_custkey % 70 AS STRING))"),
+        ("research_id", "CAST(floor(o_totalprice / 50000) AS BIGINT)"),
+        ("research_name", "concat('исследование ', CAST(CAST(floor(o_totalprice / 50000) AS BIGINT) AS STRING))"),
+        ("research_subtype_id", "o_orderkey % 17"),
+        ("research_subtype_name", "concat('подтип ', CAST(o_orderkey % 17 AS STRING))"),
+        ("research_type_id", "o_orderkey % 6"),
+        ("research_type", "concat('тип ', CAST(o_orderkey % 6 AS STRING))"),
+        ("research_kind_id", "CAST(substr(o_orderpriority, 1, 1) AS INT)"),
+        ("research_kind", "o_orderpriority"),
+        ("device_type", "CASE o_orderkey % 4 WHEN 0 THEN 'CT' WHEN 1 THEN 'MR' WHEN 2 THEN 'DX' ELSE 'MG' END"),
+        ("body_part", "CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE concat('часть ', CAST(o_orderkey % 8 AS STRING)) END"),
+        ("diagnosis_code", "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE concat('Z', CAST(o_orderkey % 100 AS STRING)) END"),
+        ("patient_id", "o_custkey"),
+        ("patient_birth_date", "DATE '1930-01-01' + CAST(o_custkey % 30000 AS INT)"),
+        ("patient_age", "CAST(floor(o_totalprice / 10000) AS BIGINT)"),
+        ("patient_gender", "CASE o_custkey % 3 WHEN 0 THEN 'М' WHEN 1 THEN 'Ж' ELSE NULL END"),
+        ("technician_job_execution_id", "CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE o_custkey % 400 END"),
+        ("technician_id", "CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE o_custkey % 200 END"),
+        ("technician_fio", "CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE concat('техник ', CAST(o_custkey % 200 AS STRING)) END"),
+        ("payment_source", "NULLIF(o_orderstatus, 'P')"),
+        ("accession_number", "o_orderkey"),
+        ("ae_title", "concat('AE', CAST(o_custkey % 40 AS STRING))"),
+        ("equipment_result_date", "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderdate + INTERVAL 1 MINUTE * (o_orderkey % 600) END"),
+        ("study_uid", "CAST(o_orderkey AS STRING)"),
+        ("url", "concat('https://viewer.test/', CAST(o_orderkey AS STRING))"),
+        ("is_contrast", "CAST(o_orderkey % 2 AS INT)"),
+        ("dose_msv", "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderkey % 50 AS DOUBLE) / 4 END"),
+        ("dose_micro_sv", "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderkey % 50 AS DOUBLE) * 250 END"),
+        ("model_name", "concat('аппарат ', CAST(o_custkey % 40 AS STRING))"),
+    ]),
     # Many rows per accession (one per described service line).
     "results": ("lineitem", [
         ("accession_number", "l_orderkey"),

@@ -913,9 +913,9 @@ QUEUE_AS_OF = dt.date(2001, 11, 4)
 QUEUE_EXEMPT = (3,)
 
 
-@register("undescribed_queue", with_roles("examinations", "results", "pin_tasks", "trauma", "undescribed",
+@register("undescribed_queue", with_roles("queue_examinations", "results", "pin_tasks", "trauma", "undescribed",
                                           "task_lists", "doctors", "employees", "benefits") + f""",
-ear AS (SELECT accession_number, emp_id AS eris_result_emp_id FROM (
+ear AS (SELECT accession_number, emp_fio AS eris_result_fio FROM (
           SELECT *, row_number() OVER (PARTITION BY accession_number ORDER BY doc_created DESC NULLS LAST,
                     emp_id, line_no, diagnostic_code) AS rn
           FROM results WHERE accession_number IS NOT NULL) x WHERE rn = 1),
@@ -938,7 +938,7 @@ dd AS (SELECT doctor_id, medical_employee_id,
 grm AS (SELECT dd.doctor_id, min(mei.medical_employee_fio_obf) AS fio FROM dd JOIN mei
           ON dd.medical_employee_id = mei.medical_employee_id AND dd.doc_edate BETWEEN mei.mei_sdate AND mei.mei_edate
         GROUP BY dd.doctor_id),
-br AS (SELECT DISTINCT assignment_id, accession_number FROM examinations WHERE assignment_id IS NOT NULL),
+br AS (SELECT DISTINCT assignment_id, accession_number FROM queue_examinations WHERE assignment_id IS NOT NULL),
 lt AS (SELECT accession_number, job_execution_id FROM (
          SELECT tl.*, br.accession_number, row_number() OVER (PARTITION BY br.accession_number
                    ORDER BY tl.personal_task_list_updated DESC NULLS LAST, tl.job_execution_id) AS rn
@@ -948,11 +948,11 @@ ltf AS (SELECT lt.accession_number, grm.fio AS task_list_fio FROM lt LEFT JOIN g
 per AS (SELECT DISTINCT patient_id, start_date, coalesce(end_date, DATE '2099-12-31') AS end_date, benefit_name
         FROM benefits WHERE benefit_code IN ('940', '941') AND patient_status_id = '11' AND status_llo_id IN ('4')
           AND patient_id IS NOT NULL),
-pairs AS (SELECT DISTINCT t.ae_title, e.research_id FROM trauma t JOIN examinations e ON t.accession_number = e.accession_number
+pairs AS (SELECT DISTINCT t.ae_title, e.research_id FROM trauma t JOIN queue_examinations e ON t.accession_number = e.accession_number
           WHERE t.ae_title IS NOT NULL AND e.research_id IS NOT NULL AND e.research_id NOT IN ({', '.join(map(str, QUEUE_EXEMPT))})
             AND CAST(t.assignment_signed_date AS DATE) >= DATE '{QUEUE_AS_OF}' - INTERVAL 14 DAY),
 e AS (
-  SELECT e.*, ear.eris_result_emp_id,
+  SELECT e.*, ear.eris_result_fio,
          CASE WHEN ap.accession_number IS NOT NULL THEN 'находится в ПИНе' ELSE 'не в ПИНе' END AS pin_status,
          lp.task_pin_end_date, lp.task_pin_status,
          CASE WHEN tex.accession_number IS NOT NULL THEN 'Травма' ELSE 'Не травма' END AS is_trauma_exam,
@@ -961,7 +961,7 @@ e AS (
          (SELECT arg_min(p.benefit_name, (-(p.start_date - DATE '1970-01-01'), p.benefit_name)) FROM per p
            WHERE p.patient_id = e.patient_id AND CAST(e.conduct_date AS DATE) BETWEEN p.start_date AND p.end_date)
            AS llo_benefit_status
-  FROM examinations e
+  FROM queue_examinations e
   LEFT JOIN ear ON e.accession_number = ear.accession_number
   LEFT JOIN ap ON e.accession_number = ap.accession_number
   LEFT JOIN lp ON e.accession_number = lp.accession_number
@@ -972,18 +972,23 @@ e AS (
     AND e.assignment_status != 'F'
     AND NOT EXISTS (SELECT 1 FROM pairs p WHERE p.ae_title = e.ae_title AND p.research_id = e.research_id)),
 q AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY accession_number ORDER BY conduct_date,
-                     eris_result_emp_id, task_list_fio, undescr_status) AS rn FROM e) x
+                     eris_result_fio, task_list_fio, undescr_status) AS rn FROM e) x
       WHERE rn = 1 AND is_trauma_exam != 'Травма' AND (undescr_action IS NULL OR undescr_action != 'DEL_ASSIGNMENT'))
-SELECT accession_number, conduct_date, patient_id, ae_title, research_id, assignment_status, eris_result_emp_id,
-       pin_status, task_pin_end_date, task_pin_status, is_trauma_exam, undescr_status, undescr_reading_type,
-       undescr_action, undescr_cito, task_list_fio, llo_benefit_status,
-       max(conduct_date) OVER () AS meta_load_date
+SELECT assignment_conduct_id, conduct_date, conduct_doc_id, conduct_doc_cct, conduct_doc_author_job_execution_id, conduct_doc_author_id,
+       conduct_doc_author_fio, conduct_mu_id, conduct_mo_id, conduct_mu_name, conduct_mo_name, district_short_name, assignment_id,
+       assignment_status, assignment_mu_id, assignment_mo_id, assignment_mu_name, assignment_mo_name, research_id, research_name,
+       research_subtype_id, research_subtype_name, research_type_id, research_type, research_kind_id, research_kind, device_type,
+       body_part, diagnosis_code, patient_id, patient_birth_date, patient_age, patient_gender, technician_job_execution_id,
+       technician_id, technician_fio, payment_source, accession_number, ae_title, equipment_result_date, study_uid, url, is_contrast,
+       dose_msv, dose_micro_sv, model_name, eris_result_fio, pin_status, task_pin_end_date, task_pin_status, is_trauma_exam,
+       undescr_status, undescr_reading_type, undescr_action, undescr_cito, task_list_fio, llo_benefit_status,
+       max(conduct_date) OVER () AS meta_load_date, {LOADED} AS load_datetime
 FROM q""")
 def q_undescribed_queue(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return QU.undescribed_queue(t.examinations, t.results, t.pin_tasks, t.trauma, t.undescribed, t.task_lists,
+    return QU.undescribed_queue(t.queue_examinations, t.results, t.pin_tasks, t.trauma, t.undescribed, t.task_lists,
                                 t.doctors, t.employees, t.benefits, dt.date.fromisoformat(LO), QUEUE_AS_OF, "F",
-                                exempt=QUEUE_EXEMPT)
+                                exempt=QUEUE_EXEMPT, loaded_at=LOADED_AT)
 
 
 # ---- load policies and streaming, run end to end into scratch storage ----------------

@@ -15,12 +15,24 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.functions.time import open_end
+from martforge.functions.time import ntz, open_end
 from martforge.operators import filters as Fl
 from martforge.operators import joins as J
 from martforge.operators import windows as W
 from martforge.plans.operational import BENEFIT_CODES, IN_PIN, NOT_IN_PIN, active_benefits
 
+# The mart's columns that come from the examination as they are, in the mart's order.
+EXAMINATION = [
+    "assignment_conduct_id", "conduct_date", "conduct_doc_id", "conduct_doc_cct", "conduct_doc_author_job_execution_id",
+    "conduct_doc_author_id", "conduct_doc_author_fio", "conduct_mu_id", "conduct_mo_id", "conduct_mu_name",
+    "conduct_mo_name", "district_short_name", "assignment_id", "assignment_status", "assignment_mu_id",
+    "assignment_mo_id", "assignment_mu_name", "assignment_mo_name", "research_id", "research_name",
+    "research_subtype_id", "research_subtype_name", "research_type_id", "research_type", "research_kind_id",
+    "research_kind", "device_type", "body_part", "diagnosis_code", "patient_id", "patient_birth_date", "patient_age",
+    "patient_gender", "technician_job_execution_id", "technician_id", "technician_fio", "payment_source",
+    "accession_number", "ae_title", "equipment_result_date", "study_uid", "url", "is_contrast", "dose_msv",
+    "dose_micro_sv", "model_name",
+]
 TRAUMA, NOT_TRAUMA = "Травма", "Не травма"
 DEL_ASSIGNMENT = "DEL_ASSIGNMENT"
 # Procedures that are never excluded by the trauma-device rule.
@@ -43,10 +55,12 @@ def undescribed_queue(examinations: DataFrame, results: DataFrame, pin_tasks: Da
                       undescribed: DataFrame, task_lists: DataFrame, doctors: DataFrame, employees: DataFrame,
                       benefits: DataFrame, since_date: dt.date, as_of: dt.date, done_status: str,
                       trauma_days: int = 14, exempt=TRAUMA_EXEMPT_RESEARCH_IDS,
-                      staff_since: dt.date = dt.date(2023, 1, 1), benefit_codes=BENEFIT_CODES) -> DataFrame:
+                      staff_since: dt.date = dt.date(2023, 1, 1), benefit_codes=BENEFIT_CODES, *,
+                      loaded_at: dt.datetime) -> DataFrame:
+    """M8: one row per undescribed accession, the 59 columns of the mart."""
     described = W.latest(results.where(F.col("accession_number").isNotNull()), "accession_number", "doc_created",
                          tie=["emp_id", "line_no", "diagnostic_code"]) \
-        .select("accession_number", F.col("emp_id").alias("eris_result_emp_id"))
+        .select("accession_number", F.col("emp_fio").alias("eris_result_fio"))
     active = pin_tasks.where(F.col("task_pin_end_date").isNull() & F.col("accession_number").isNotNull())
     last_pin = W.latest(pin_tasks.where(F.col("task_pin_end_date").isNotNull() & F.col("accession_number").isNotNull()),
                         "accession_number", "task_pin_end_date", tie=["task_pin_status", "pin_id"]) \
@@ -87,11 +101,10 @@ def undescribed_queue(examinations: DataFrame, results: DataFrame, pin_tasks: Da
                           "patient_id", "conduct_day", start="start_date", end="end_date",
                           name="benefit_name", out="llo_benefit_status")
     e = W.first_row(e, "accession_number", "conduct_date",
-                    tie=["eris_result_emp_id", "task_list_fio", "undescr_status"])
+                    tie=["eris_result_fio", "task_list_fio", "undescr_status"])
     e = Fl.drop_flagged(e, "is_trauma_exam", "undescr_action", DEL_ASSIGNMENT, TRAUMA)
-    out = e.select("accession_number", "conduct_date", "patient_id", "ae_title", "research_id",
-                   "assignment_status", "eris_result_emp_id", "pin_status", "task_pin_end_date", "task_pin_status",
+    out = e.select(*EXAMINATION, "eris_result_fio", "pin_status", "task_pin_end_date", "task_pin_status",
                    "is_trauma_exam", "undescr_status", "undescr_reading_type", "undescr_action", "undescr_cito",
                    "task_list_fio", "llo_benefit_status")
     # batch-wide load stamp: the newest conduct time of the extract, on every row (F16)
-    return Fl.stamp_batch_max(out, "conduct_date", "meta_load_date")
+    return Fl.stamp(Fl.stamp_batch_max(out, "conduct_date", "meta_load_date"), load_datetime=ntz(loaded_at))
