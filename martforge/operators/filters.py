@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions._util import col as _c
 from martforge.functions.time import parse_ts, secs
+from martforge.session import stored
 
 
 def non_empty(df: DataFrame, *keys: str) -> DataFrame:
@@ -90,11 +91,11 @@ def stamp(df: DataFrame, **constants) -> DataFrame:
 def stamp_batch_max(df: DataFrame, column: str, out: str) -> DataFrame:
     """F16: batch-wide max of ``column`` on every row.
 
-    A global window would pull every row into one task; instead a one-row
-    aggregate (partial per partition, one tiny final merge) is broadcast back.
+    A global window would pull every row into one task; instead the batch is stored in the shared folder, so that it
+    is computed once, and a one-row aggregate over the stored column is broadcast back.
     """
-    mx = df.agg(F.max(column).alias(out))
-    return df.crossJoin(F.broadcast(mx))
+    batch = stored(df, "batch")
+    return batch.crossJoin(F.broadcast(batch.agg(F.max(column).alias(out))))
 
 
 def conform(df: DataFrame, cols) -> DataFrame:

@@ -20,6 +20,7 @@ from martforge.functions.time import ntz
 from martforge.operators import aggregates as A
 from martforge.operators import filters as Fl
 from martforge.operators import joins as J
+from martforge.sources.readers import in_window
 
 # The pad of the AI-use window and the log scan buffer (days).
 WINDOW_PAD_MINUTES = 5
@@ -65,13 +66,14 @@ def modality_config(spark: SparkSession, config: dict) -> DataFrame:
 
 
 def base_studies(results: DataFrame, cfg: DataFrame, date_from: dt.date, date_to: dt.date,
-                 excluded_codes=(), min_describe_start: dt.datetime | None = None) -> DataFrame:
-    """One row per (modality, study): values at the earliest describe start (A5),
+                 excluded_codes=(), min_describe_start: dt.datetime | None = None,
+                 unit_id: str | None = None) -> DataFrame:
+    """One row per (modality, study) described by ``unit_id`` (S12; None: by any unit): values at the earliest describe start (A5),
     first describe start and first conclusion; excluded procedures and early
     starts are dropped after the aggregate (F4)."""
     devices = F.broadcast(cfg.select("device_type", "modality").distinct())
-    r = results.where(F.to_date("doc_created").between(F.lit(date_from), F.lit(date_to))) \
-        .join(devices, "device_type")
+    r = in_window(results, "doc_created", date_to, (date_to - date_from).days)
+    r = (r if unit_id is None else r.where(F.col("describe_unit_id") == unit_id)).join(devices, "device_type")
     t = "describe_start"
     b = (r.groupBy("modality", "study_uid")
          .agg(A.value_at_first("accession_number", t, tie="accession_number").alias("accession_number"),
@@ -114,9 +116,8 @@ def ai_actions(ai_log: DataFrame, base: DataFrame, cfg: DataFrame, date_from: dt
     first open inside the window and the distinct access methods, in one
     aggregate per (modality, study, series)."""
     mods = F.broadcast(cfg.select("modality", F.col("log_modality").alias("modality_log")))
-    log = ai_log.where(F.to_date("opened_at").between(
-        F.lit(date_from - dt.timedelta(days=LOG_DAYS_BEFORE)),
-        F.lit(date_to + dt.timedelta(days=LOG_DAYS_AFTER))))
+    log = in_window(ai_log, "opened_at", date_to, (date_to - date_from).days, pad_before=LOG_DAYS_BEFORE,
+                    pad_after=LOG_DAYS_AFTER)
     b = base.select("modality", F.col("study_uid").alias("study_iuid"), "describe_start", "conclusion_time")
     j = (log.withColumnRenamed("modality", "modality_log").join(mods, "modality_log")
          .join(b, ["modality", "study_iuid"])
@@ -142,13 +143,14 @@ def _sum0(*cols: str) -> Column:
 
 def ai_use_series(results: DataFrame, reports: DataFrame, ai_log: DataFrame, cfg: DataFrame,
                   model_names: DataFrame, date_from: dt.date, date_to: dt.date,
-                  excluded_codes=(), min_describe_start: dt.datetime | None = None) -> DataFrame:
-    """One row per (modality, study, AI series).
+                  excluded_codes=(), min_describe_start: dt.datetime | None = None,
+                  unit_id: str | None = None) -> DataFrame:
+    """One row per (modality, study, AI series), of the studies that ``unit_id`` described if it is given.
 
     The log joins on (study, series) with plain equality (J7): a study
     without AI has no series and deliberately gets no log activity.
     """
-    base = base_studies(results, cfg, date_from, date_to, excluded_codes, min_describe_start)
+    base = base_studies(results, cfg, date_from, date_to, excluded_codes, min_describe_start, unit_id)
     r = ai_results(reports).withColumn("_has_r", F.lit(1))
     acts = ai_actions(ai_log, base, cfg, date_from, date_to)
     j = base.join(r, "study_uid", "left")
@@ -274,8 +276,10 @@ def ai_use_by_study(by_model: DataFrame) -> DataFrame:
 # ---- M13 daily model usage ----------------------------------------------------
 
 def model_usage_daily(results: DataFrame, ai_log: DataFrame, cfg: DataFrame, date_from: dt.date,
-                      date_to: dt.date, pad_days: int = 10, lo: int = 1, hi: int = 9999) -> DataFrame:
-    """AI-log events per modality x local day x model x procedure x method.
+                      date_to: dt.date, pad_days: int = 10, lo: int = 1, hi: int = 9999,
+                      unit_id: str | None = None) -> DataFrame:
+    """AI-log events per modality x local day x model x procedure x method, on studies that ``unit_id``
+    described if it is given (S12).
 
     Studies come from results documented within the window padded by
     ``pad_days`` (S6; DISTINCT, semi-join so no fan-out). The model id is the
@@ -283,11 +287,12 @@ def model_usage_daily(results: DataFrame, ai_log: DataFrame, cfg: DataFrame, dat
     not a plausible model id are dropped (F5).
     """
     devices = F.broadcast(cfg.select("device_type", "modality").distinct())
-    studies = (results.where(F.to_date("doc_created").between(
-        F.lit(date_from - dt.timedelta(days=pad_days)), F.lit(date_to + dt.timedelta(days=pad_days))))
-        .join(devices, "device_type").select("modality", F.col("study_uid").alias("study_iuid")).distinct())
+    days = (date_to - date_from).days
+    described = in_window(results, "doc_created", date_to, days, pad_before=pad_days, pad_after=pad_days)
+    described = described if unit_id is None else described.where(F.col("describe_unit_id") == unit_id)
+    studies = (described.join(devices, "device_type").select("modality", F.col("study_uid").alias("study_iuid")).distinct())
     mods = F.broadcast(cfg.select("modality", F.col("log_modality").alias("modality_log")))
-    log = (ai_log.where(F.to_date("opened_at").between(F.lit(date_from), F.lit(date_to)))
+    log = (in_window(ai_log, "opened_at", date_to, days)
            .withColumnRenamed("modality", "modality_log").join(mods, "modality_log")
            .join(studies, ["modality", "study_iuid"], "left_semi")
            .withColumn("model_id", split_pick_int(F.coalesce(F.col("series_iuid"), F.lit("")), r"\.", -2)))

@@ -316,7 +316,12 @@ OUT_ACTIVE = _sum0_sql("outside_active_cnt", "outside_view_cnt")
 _PROC = [f"cnt_{n}" for n, _ in AI.PROC_COUNTERS] + [f"outside_{n}" for n, _ in AI.PROC_COUNTERS]
 _AF, _AT = AI_FROM.isoformat(), AI_TO.isoformat()
 
-AI_SERIES_CTES = with_roles("results", "reports", "ai_log") + f""",
+#: The unit whose studies the unit-bound keys show (S12); a parameter, as in the loads of one unit.
+AI_UNIT = "1"
+
+
+def _series_ctes(of_unit: str = "") -> str:
+    return with_roles("results", "reports", "ai_log") + f""",
 {_cfg_values()},
 base0 AS (
   SELECT c.modality, r.study_uid,
@@ -325,7 +330,7 @@ base0 AS (
     min(describe_start) AS describe_start, min(doc_created) AS conclusion_time,
     arg_min(diagnostic_code, (describe_start, diagnostic_code)) FILTER (WHERE diagnostic_code IS NOT NULL AND describe_start IS NOT NULL) AS diagnostic_code
   FROM results r JOIN (SELECT DISTINCT device_type, modality FROM cfg) c ON r.device_type = c.device_type
-  WHERE CAST(doc_created AS DATE) BETWEEN DATE '{_AF}' AND DATE '{_AT}'
+  WHERE CAST(doc_created AS DATE) BETWEEN DATE '{_AF}' AND DATE '{_AT}' {of_unit}
   GROUP BY c.modality, r.study_uid),
 base AS (SELECT * FROM base0 WHERE diagnostic_code NOT IN {AI_EXCLUDED_CODES}
          AND describe_start >= TIMESTAMP '{AI_MIN_START}'),
@@ -372,11 +377,21 @@ series AS (
        ON mn.model_id = r.model_id)"""
 
 
+AI_SERIES_CTES = _series_ctes()
+
+
 @register("ai_use_series", AI_SERIES_CTES + "\nSELECT * FROM series")
 def q_ai_use_series(spark, sf_dir):
     return _ai_series(spark, sf_dir)
 
 
+@register("ai_use_series_unit", _series_ctes(f"AND describe_unit_id = '{AI_UNIT}'") + "\nSELECT * FROM series")
+def q_ai_use_series_unit(spark, sf_dir):
+    t, cfg, names = _ai_inputs(spark, sf_dir)
+    return AI.ai_use_series(t.results, t.reports, t.ai_log, cfg, names, AI_FROM, AI_TO, AI_EXCLUDED_CODES,
+                            AI_MIN_START, unit_id=AI_UNIT)
+
+
 def _merged_union(col: str) -> str:
     """Union of comma lists across a group: trimmed, distinct, sorted, NULL if empty."""
     return (f"nullif(array_to_string(list_sort(list_distinct(list_filter(list_transform("
@@ -454,12 +469,13 @@ def q_ai_use_by_study(spark, sf_dir):
     return AI.ai_use_by_study(_ai_by_model(spark, sf_dir))
 
 
-@register("model_usage_daily", with_roles("results", "ai_log") + f""",
+def _usage_sql(of_unit: str = "") -> str:
+    return with_roles("results", "ai_log") + f""",
 {_cfg_values()},
 studies AS (
   SELECT DISTINCT c.modality, r.study_uid AS study_iuid
   FROM results r JOIN (SELECT DISTINCT device_type, modality FROM cfg) c ON r.device_type = c.device_type
-  WHERE CAST(doc_created AS DATE) BETWEEN DATE '{_AF}' - INTERVAL 10 DAY AND DATE '{_AT}' + INTERVAL 10 DAY),
+  WHERE CAST(doc_created AS DATE) BETWEEN DATE '{_AF}' - INTERVAL 10 DAY AND DATE '{_AT}' + INTERVAL 10 DAY {of_unit}),
 lg AS (
   SELECT c.modality, l.*,
          TRY_CAST(CASE WHEN len(string_split(coalesce(series_iuid, ''), '.')) >= 2
@@ -469,12 +485,21 @@ lg AS (
     AND EXISTS (SELECT 1 FROM studies s WHERE s.modality = c.modality AND s.study_iuid = l.study_iuid))
 SELECT modality, CAST(opened_at + INTERVAL 3 HOUR AS DATE) AS date, model_id, procedure_name, access_method,
        count(*) AS event_count
-FROM lg WHERE model_id BETWEEN 1 AND 9999 GROUP BY ALL""")
+FROM lg WHERE model_id BETWEEN 1 AND 9999 GROUP BY ALL"""
+
+
+@register("model_usage_daily", _usage_sql())
 def q_model_usage_daily(spark, sf_dir):
     t, cfg, _ = _ai_inputs(spark, sf_dir)
     return AI.model_usage_daily(t.results, t.ai_log, cfg, AI_FROM, AI_TO)
 
 
+@register("model_usage_unit", _usage_sql(f"AND describe_unit_id = '{AI_UNIT}'"))
+def q_model_usage_unit(spark, sf_dir):
+    t, cfg, _ = _ai_inputs(spark, sf_dir)
+    return AI.model_usage_daily(t.results, t.ai_log, cfg, AI_FROM, AI_TO, unit_id=AI_UNIT)
+
+
 # ---- M5, M7, M9, M14, M15 -----------------------------------------------------------
 
 from martforge.plans import operational as OP  # noqa: E402

@@ -72,14 +72,16 @@ def load(name: str, df: DataFrame, table: VersionedTable, as_of: dt.date, lo: dt
 
 def load_ai_use(results: DataFrame, reports: DataFrame, ai_log: DataFrame, cfg: DataFrame, model_names: DataFrame,
                 tariffs: DataFrame, date_from: dt.date, date_to: dt.date, by_model: VersionedTable, by_study: VersionedTable,
-                excluded_codes=(), min_describe_start: dt.datetime | None = None, *, loaded_at: dt.datetime) -> None:
+                excluded_codes=(), min_describe_start: dt.datetime | None = None, unit_id: str | None = None, *,
+                loaded_at: dt.datetime) -> None:
     """M10 -> M11, upserted -> M12 from this load's stored rows of M11, upserted.
 
     The series without a study that M11 leaves out are counted while M11 is written (F10), see
     :meth:`VersionedTable.metrics`. A rerun with the same stamp replaces the load.
     """
     stamp = F.lit(loaded_at.isoformat(" ")).cast("timestamp_ntz")
-    series = AI.ai_use_series(results, reports, ai_log, cfg, model_names, date_from, date_to, excluded_codes, min_describe_start)
+    series = AI.ai_use_series(results, reports, ai_log, cfg, model_names, date_from, date_to, excluded_codes,
+                              min_describe_start, unit_id)
     kept, dropped = Fl.drop_null_key(series, "study_uid")
     models = AI.ai_use_by_model(kept, tariffs, date_from, date_to).withColumn("loaded_at", stamp)
     load("ai_use_by_model", models, by_model, date_to, observed=[dropped])

@@ -28,10 +28,14 @@ from martforge.functions import hhmmss, hours_floor, plus_hours, secs, sla_bucke
 from martforge.operators import aggregates as A
 from martforge.operators import filters as Fl
 from martforge.operators import joins as J
+from martforge.session import stored
 from martforge.sources.readers import in_window
 
 RUNNING, DEFERRED = "RUNNING", "DEFERRED"
 EVENT_PAD_DAYS = 14
+SHOWN = ["patient_key", "emp_id", "emp_fio", "payment_source", "device_type", "diagnostic_code", "diagnostic_name",
+         "type_code", "conduct_mo_name", "conduct_mu_name", "describe_unit_id", "conduct_date", "effective_start_date",
+         "max_pin_date", "doc_local", "hours_overdue"]
 BASE_TIE = ["line_no", "emp_id", "diagnostic_code", "payment_source", "device_type", "conduct_date"]
 
 
@@ -64,6 +68,8 @@ def overdue_monitoring(results: DataFrame, pin_tasks: DataFrame, clinical_events
          .where(F.col("hours_overdue") >= 24)
          .withColumn("key_p", F.col("patient_key").cast("string"))
          .withColumn("key_j", F.col("job_id").cast("string")))
+    # the overdue lines, read by their accession's keys, by the search and by the pick
+    b = stored(b.select("accession_number", "key_p", "key_j", *dict.fromkeys([*SHOWN, *BASE_TIE])), "overdue-lines")
 
     # events with a status change in the padded window (J9 semi pre-filter)
     lo = dt.datetime.combine(as_of - dt.timedelta(days=days + EVENT_PAD_DAYS), dt.time())
@@ -73,6 +79,7 @@ def overdue_monitoring(results: DataFrame, pin_tasks: DataFrame, clinical_events
     ev = J.semi(clinical_events, ch.select("event_id").distinct(), "event_id")
     ev = ev.select(F.col("patient_id").cast("string").alias("key_p"), F.col("job_id").cast("string").alias("key_j"),
                    "event_id").join(event_stats(ch), "event_id")
+    ev = stored(ev, "overdue-events")  # three readers below
 
     keys = ["key_p", "key_j"]
     owners = b.select("accession_number", *keys).distinct()
@@ -89,11 +96,8 @@ def overdue_monitoring(results: DataFrame, pin_tasks: DataFrame, clinical_events
                                                                   F.col("near_id").alias("id"))))
     c = c.withColumns({"_no_event": F.when(pick.isNull(), 1).otherwise(0), "_d": pick["d"], "_eid": pick["id"]})
     # one row per accession: aggregate, not a window, so a hot accession is combined map-side
-    cols = ["patient_key", "emp_id", "emp_fio", "payment_source", "device_type", "diagnostic_code", "diagnostic_name",
-            "type_code", "conduct_mo_name", "conduct_mu_name", "describe_unit_id", "conduct_date", "effective_start_date", "max_pin_date", "doc_local",
-            "hours_overdue", "_eid"]
     order = F.struct("_no_event", "_d", "_eid", *BASE_TIE)
-    w = c.groupBy("accession_number").agg(F.min_by(F.struct(*cols), order).alias("w")).select("accession_number", "w.*")
+    w = c.groupBy("accession_number").agg(F.min_by(F.struct(*SHOWN, "_eid"), order).alias("w")).select("accession_number", "w.*")
     stats = ev.select("event_id", "status_chain", "cnt_deferred", "first_running", "last_running").distinct()
     w = w.join(stats, w["_eid"] == stats["event_id"], "left")
     span = secs("first_running", "last_running")

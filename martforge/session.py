@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the marts rely on for correctness (UTC session clock: every
 # time-zone shift is explicit in the plan) or for scale (AQE re-plans joins
@@ -74,3 +75,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A staging path next to the checkpoint folder (shared storage on a cluster)."""
     return os.path.join(checkpoint_dir(spark), "staging", name)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint folder and read back: what reads it twice computes it once,
+    and a lost executor recomputes nothing before it."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/marts/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from martforge.plans import ai_use as AI
 from martforge.plans import conclusions as C
 from martforge.plans import overdue as OV
@@ -172,3 +174,20 @@ def test_registry_keeps_the_requests_own_documents(spark):
     assert got["B"].documents_pdf == "" and (got["B"].stomatology, got["A"].stomatology) == ("Да", "Нет")
     assert got["C"].documents_pdf == f"{first}; https://files.test/docs/55/b.pdf; {own}"
     assert len(got) == 3 and got["A"].load_date == "2024-07-03 03:00:00" and got["A"].source == ""
+
+
+def test_ai_use_of_one_unit(spark):
+    """The unit bound to M10 and M13 keeps exactly the studies that it described; the window reaches the scan."""
+    from martforge.plans import catalog as C
+    t, cfg, names = C._ai_inputs(spark, "/root/testdata/sf0.001")
+    units = [r[0] for r in t.results.select("describe_unit_id").distinct().orderBy("describe_unit_id").limit(2).collect()]
+    for unit in units:
+        own = t.results.where(F.col("describe_unit_id") == unit)
+        args = (C.AI_FROM, C.AI_TO, C.AI_EXCLUDED_CODES, C.AI_MIN_START)
+        got = AI.ai_use_series(t.results, t.reports, t.ai_log, cfg, names, *args, unit_id=unit)
+        want = AI.ai_use_series(own, t.reports, t.ai_log, cfg, names, *args)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
+        use = AI.model_usage_daily(t.results, t.ai_log, cfg, C.AI_FROM, C.AI_TO, unit_id=unit)
+        assert sorted(use.collect()) == sorted(AI.model_usage_daily(own, t.ai_log, cfg, C.AI_FROM, C.AI_TO).collect())
+    plan = use._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_shipdate" in plan
