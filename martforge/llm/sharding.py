@@ -4,7 +4,7 @@ Every dimension is quantised to ``2 ** bits`` cells: metadata columns by the ran
 id by the rank of the row, so that cells hold about equal shares. The cells of a row are
 turned into one index along the Hilbert curve, and the rows, sorted by that index, are cut into runs of equal length.
 Neighbours on the curve are neighbours in all dimensions, so a file's value ranges are narrow in each of them and a
-filter on any dimension skips most files.
+filter on any dimension skips most files. Equal texts share one place on the curve.
 
 Only SQL functions are used. The curve's step table is built from the rule of the Gray code (Hamilton, "Compact
 Hilbert Indices").
@@ -14,8 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from martforge.llm.common import ranked, stored
+from martforge.llm.common import join_groups, ranked, stored
 
 
 def _steps(n: int) -> list[int]:
@@ -56,12 +57,21 @@ def hilbert(cells: list[Column], bits: int) -> Column:
 def _cells(rows: DataFrame, name: str, bits: int, distinct: bool) -> DataFrame:
     """(name, cell): the cell of every value of a column, by its rank among the distinct values or among the rows.
 
-    Nulls come first. Ranked by distinct values, up to ``2 ** bits`` values have a cell each.
+    Nulls come first. Ranked by distinct values, up to ``2 ** bits`` values have a cell each. Only distinct values with
+    their counts are sorted, so that the rows of a frequent value never meet.
     """
-    values = rows.select(name).distinct() if distinct else rows.select(name)
-    places = stored(ranked(values, [F.col(name).asc_nulls_first()], "rank"), "shard-ranks")
-    total = max(places.count(), 1)
-    return places.groupBy(name).agg(F.min("rank").alias("rank")).select(name, F.expr(f"int(rank * {1 << bits} div {total})").alias("cell"))
+    counted = rows.groupBy(name).agg((F.lit(1) if distinct else F.count("*")).cast("long").alias("n"))
+    runs = stored(counted.orderBy(F.col(name).asc_nulls_first()).withColumn(
+        "run", F.shiftright(F.monotonically_increasing_id(), 33).cast("int")), "shard-ranks")
+    sizes = runs.groupBy("run").agg(F.sum("n").alias("size"))  # a row per partition of the sort
+    in_front = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    total = sizes.agg(F.sum("size")).first()[0] or 1
+    inside = Window.partitionBy("run").orderBy(F.col(name).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    offsets = sizes.select("run", F.coalesce(F.sum("size").over(in_front), zero).alias("offset"))
+    ranks = (runs.withColumn("rank", F.coalesce(F.sum("n").over(inside), zero)).join(F.broadcast(offsets), "run")
+             .withColumn("rank", F.col("rank") + F.col("offset")))
+    return ranks.select(name, F.expr(f"int(rank * {1 << bits} div {total})").alias("cell"))
 
 
 def assign(docs: DataFrame, shards: int = 8, bits: int = 6, id_col: str = "doc_id", text_col: str = "text",
@@ -69,23 +79,29 @@ def assign(docs: DataFrame, shards: int = 8, bits: int = 6, id_col: str = "doc_i
     """(id, size, text_crc32, law, shard, slot, grown_shard) for every row of ``docs``; law ``rows``.
 
     The dimensions are the columns ``by``, the size and the id. Shards hold runs of the curve whose
-    row counts differ by at most one; ``slot`` is the place in the shard. Rows of one cell follow the text's CRC-32
-    and the id, so copies with equal metadata lie side by side; ties beyond that are equal rows. The columns ``by`` are ranked by
-    distinct value, texts by the whole of it. Nulls take the lowest cell, null and empty texts have size 1 and CRC-32 zero; an empty table gives no rows; ``grown_shard`` is null.
+    row counts differ by at most one; ``slot`` is the place in the shard. A text has one place on the curve, that of its
+    row with the smallest id (nulls last), so that the rows of equal texts follow each other: in one shard, or in
+    consecutive ones where a cut falls into the group. Inside a group rows follow their own curve index and id; ties beyond
+    that are equal rows. The columns ``by`` are ranked by distinct value. Nulls take the lowest cell, null and empty texts have size 1 and CRC-32 zero; an empty table gives no rows; ``grown_shard`` is null.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     dims = [*(F.col(c) for c in by), F.octet_length(text), F.col(id_col)]
     rows = stored(docs.select(
         F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("crc"), *(d.alias(f"d{i}") for i, d in enumerate(dims))), "shard-rows")
+        F.crc32(text.cast("binary")).alias("crc"), F.xxhash64(text).alias("hash"), *(d.alias(f"d{i}") for i, d in enumerate(dims))), "shard-rows")
     total = max(rows.count(), 1)
     placed = rows
     for i in range(len(dims)):
         cells = _cells(rows, f"d{i}", bits, i < len(by)).select(F.col(f"d{i}").alias("__d"), F.col("cell").alias(f"c{i}"))
         placed = placed.join(cells, F.col(f"d{i}").eqNullSafe(F.col("__d"))).drop("__d")
     placed = placed.withColumn("curve", hilbert([F.col(f"c{i}") for i in range(len(dims))], bits))
-    order = [F.col("curve"), F.col("crc"), F.col("id"), F.col("size")]
-    at = ranked(placed.select("id", "size", "crc", "curve"), order, "rank")
+    same = ["hash", "crc", "size"]
+    placed = stored(placed.select("id", *same, "curve"), "shard-curve")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "curve"))
+    groups = placed.groupBy(*same).agg(first.alias("first"), F.count("*").alias("copies"))
+    groups = stored(groups.select(*same, F.col("first.curve").alias("group_curve"), "copies"), "shard-groups")
+    placed = join_groups(placed, groups, same, "copies")
+    at = ranked(placed, [F.col(c) for c in ("group_curve", *same, "curve", "id")], "rank")
     shard = F.expr(f"int(rank * {shards} div {total})")
     start = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
     return at.withColumn("shard", shard).select(

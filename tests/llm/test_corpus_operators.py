@@ -267,6 +267,27 @@ def test_sharding_parts_sources_alike_in_front(spark):
     assert sorted(map(len, held.values())) == [1, 1, 1, 1]
 
 
+def test_sharding_keeps_copies_together(spark):
+    """Copies with mixed metadata have consecutive places, each group in one shard or across a cut; sizes rank as in brute force."""
+    rng = random.Random(5)
+    rows = [(i, f"copy {i % 7} " * (1 + i % 7), rng.choice("abcd"), rng.choice(["en", "fr", None])) for i in range(0, 640, 10)]
+    rows += [(i, f"own text {i} " + "z" * rng.randrange(40), rng.choice("abcd"), "en") for i in range(640) if i % 10]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = sorted(sharding.assign(table).collect(), key=lambda r: (r.shard, r.slot))
+    texts = {r[0]: r[1] for r in rows}
+    order = [texts[r.doc_id] for r in got]
+    assert len(order) == 640 and sum(a != b for a, b in zip(order, order[1:])) + 1 == len(set(order))
+    shards = collections.defaultdict(set)
+    for r in got:
+        shards[texts[r.doc_id]].add(r.shard)
+    assert max(map(len, shards.values())) <= 2
+    sizes = [None, 3, 3, 3, 3, 5, 9, 9]
+    cells = {r.v: r.cell for r in sharding._cells(spark.createDataFrame([(v,) for v in sizes], "v int"), "v", 3, False).collect()}
+    assert cells == {None: 0, 3: 1, 5: 5, 9: 6}
+    cells = {r.v: r.cell for r in sharding._cells(spark.createDataFrame([(v,) for v in sizes], "v int"), "v", 2, True).collect()}
+    assert cells == {None: 0, 3: 1, 5: 2, 9: 3}
+
+
 def test_sharding_laws(docs, empty, spark, sf, tmp):
     base = spark.read.parquet(f"{sf}/documents.parquet")
     for table in (base, docs):
