@@ -5,8 +5,9 @@ ancestors. Each block is main text or not; a linear-chain CRF scores ancestor an
 block to the next, and Viterbi decodes the best labelling of the whole page.
 
 Training pages are labelled by their own markup: a page with an ``article`` (or ``main``) element says which blocks are
-its text. To learn more than that one tag, each labelled page is also trained on with the element renamed to a plain
-``div``, and with labelled page furniture - the skeletons below - around and between its blocks. The sample of pages is
+its text. To learn more than that one tag, each labelled page is also trained on with the element renamed to ``main`` or a
+plain ``div``, and shortened, with labelled page furniture - the skeletons below - around and between its blocks and with
+texts of a few words, so that neither length nor the neighbours decide alone. The sample of pages is
 bounded by :class:`Limits`; decoding runs over all pages without a shuffle.
 """
 
@@ -26,9 +27,9 @@ _REST = r"(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+"
 _SKIPPED = "|".join(rf"<{n}{_REST}>.*?(?:</{n}\s*>|\Z)" for n in ("title", "script", "style", "noscript", "template"))
 #: The head as far as it holds what may stand there: it ends at its end tag, the body or the first thing of the body.
 HEAD = rf"<head{_REST}>(?:\s+|<!--.*?(?:-->|\Z)|{_SKIPPED}|<(?:meta|link|base){_REST}>)*+(?:</head\s*>)?"
-#: One token: a comment, an element whose content is not text (not a self-closed svg, which has none), the head, a tag, a declaration.
+#: One token: a comment, an element whose content is not text, the head, a tag, a declaration.
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg(?!{_REST}(?<=/)>)|iframe){_REST}>.*?(?:</\1\s*>|\Z)|{HEAD}"
+    rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|iframe){_REST}>.*?(?:</\1\s*>|\Z)|{HEAD}"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>", re.S | re.I)
 #: A tag that the end of the page cuts off.
 CUT_TAG = re.compile(r"<[a-zA-Z/!][^<>]*\Z")
@@ -61,6 +62,24 @@ FURNITURE = [
     ("<table><tr><td>{}</td><td>{}</td></tr></table>", 1), ("<pre>{}</pre>", 1), ('<figure><figcaption>{}</figcaption></figure>', 1),
 ]
 
+#: Elements, and words of classes and ids, that hold no main text. Fixed lists.
+OFF_TAGS = ("nav", "aside", "form", "footer", "header")
+OFF_WORDS = tuple("""ad ads advert advertisement banner breadcrumb comment comments consent cookie copyright discussion
+disqus footer header login masthead menu nav navbar navigation newsletter notice popup promo recommended related replies
+respond reviews share sidebar signup social sponsored subscribe widget""".split())
+#: Words of classes that hold main text. Fixed list.
+ON_WORDS = tuple("article body content entry main post story text".split())
+
+
+def forms() -> list[tuple[str, int]]:
+    """``FURNITURE``, and every tag and word of the lists by itself, so that each is learnt without the others."""
+    bare = [(f"<{t}>{inner}</{t}>", 0) for t in OFF_TAGS for inner in ("{}", "<p>{}</p>", "<h3>{}</h3><p>{}</p>", '<ul><li><a href="#">{}</a></li></ul>')]
+    bare += [(f'<{tag}="{w}">{inner}</{tag.split()[0]}>', 0) for w in OFF_WORDS
+             for tag, inner in (("div class", "<p>{}</p>"), ("section id", "<h2>{}</h2><p>{}</p>"), ("div id", "{}"))]
+    bare += [(f'<{tag}="{w}">{inner}</{tag.split()[0]}>', 1) for w in ON_WORDS
+             for tag, inner in (("div class", "<p>{}</p><p>{}</p>"), ("section id", "<h2>{}</h2><p>{}</p>"))]
+    return FURNITURE + bare + [("<section><h2>{}</h2><p>{}</p></section>", 1), ("<div><p>{}</p></div>", 1)]
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -80,11 +99,15 @@ class Block:
 
 
 def blocks(html: str | None) -> list[Block]:
-    """Leaf blocks of a page in page order: references decoded, white space runs as one space, trimmed, none empty."""
+    """Leaf blocks of a page in page order: references decoded, white space runs as one space, trimmed, none empty.
+
+    The content of an svg is no text. One that is never closed ends with the element around it, or where a block begins.
+    """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     held: list[str] = []
     linked = 0
+    svg = -1  # place of the open svg on the stack
 
     def close() -> None:
         nonlocal linked
@@ -98,16 +121,32 @@ def blocks(html: str | None) -> list[Block]:
     html = html or ""
     at = 0
     for m in TOKEN.finditer(html):
-        if m.start() > at:
+        if m.start() > at and svg < 0:
             held.append(html[at:m.start()])
             if any(tag == "a" for tag, _ in stack):
                 linked += m.start() - at
         at = m.end()
         tag = (m.group(3) or m.group(6) or "").lower()
         if not tag:
-            if m.group(1) and m.group(1).lower() not in ("svg", "noscript") or m.group()[:5].lower() == "<head":
+            if svg < 0 and (m.group(1) and m.group(1).lower() != "noscript" or m.group()[:5].lower() == "<head"):
                 close()
             continue
+        if svg >= 0:
+            if m.group(2) or m.group(5):
+                open_at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), -1)
+                if open_at < 0 or open_at >= svg:  # of the drawing itself
+                    if open_at >= 0:
+                        del stack[open_at:]
+                    svg = svg if len(stack) > svg else -1
+                    continue
+                svg = -1
+            elif tag in BLOCK and tag != "title" and not any(t == "foreignobject" for t, _ in stack[svg:]):
+                del stack[svg:]
+                svg = -1
+            else:
+                if not (m.group(4) or m.group(7) or "").endswith("/") and tag not in VOID:
+                    stack.append((tag, ()))
+                continue
         if tag == "br":
             held.append(" ")
             continue
@@ -131,7 +170,10 @@ def blocks(html: str | None) -> list[Block]:
         if tag not in VOID and not rest.endswith("/"):
             names = tuple(w for g in NAMES.findall(rest) for w in PART.findall("".join(g).lower())) if "=" in rest else ()
             stack.append((tag, names))
-    held.append(CUT_TAG.sub("", html[at:]))
+            if tag == "svg":
+                svg = len(stack) - 1
+    if svg < 0:
+        held.append(CUT_TAG.sub("", html[at:]))
     close()
     return out
 
@@ -195,14 +237,14 @@ def labelled(html: str) -> list[tuple[Block, int]]:
     marks = ("article", "main")
     if not any(tag in marks for b in page for tag, _ in b.path):
         return []
-    furniture = {"nav", "aside", "form", "footer", "header", "button"}
+    furniture, words = {*OFF_TAGS, "button"}, set(OFF_WORDS)
     out = []
     for b in page:
         tags = [tag for tag, _ in b.path]
         inside = next((i for i, tag in enumerate(tags) if tag in marks), None)
         names = {n for _, own in b.path[(inside or 0) + 1:] for n in own}
         bad = furniture & set(tags[inside:]) if inside is not None else ()
-        out.append((b, int(inside is not None and not bad and not names & {"comment", "comments", "ad", "advert", "related", "share"})))
+        out.append((b, int(inside is not None and not bad and not names & words)))
     return out
 
 
@@ -212,31 +254,49 @@ def _variants(pages: list[str]) -> list[list[tuple[list[str], int]]]:
     texts = [b.text for html in pages for b in blocks(html)] or ["text"]
     place = 0
 
+    def few(text: str, n: int) -> str:
+        return " ".join(text.split()[:n]) + "."
+
+    def cut(rows: list[tuple[Block, int]], n: int) -> list[tuple[Block, int]]:
+        """Two blocks of the main text from each end, of a few words every other time."""
+        own = [i for i, (_, y) in enumerate(rows) if y]
+        gone = set(own[2:-2])
+        return [(Block(few(b.text, 2 + n % 7), b.path, 0, 0) if y and n % 2 else b, y) for i, (b, y) in enumerate(rows) if i not in gone]
+
     def filled(form: str) -> list[Block]:
         nonlocal place
         while "{}" in form:
-            form = form.replace("{}", texts[place % len(texts)].replace("<", "&lt;").replace("&", "&amp;"), 1)
+            text = texts[place % len(texts)]
+            text = text if place % 2 else few(text, 2 + place % 5)
+            form = form.replace("{}", text.replace("&", "&amp;").replace("<", "&lt;"), 1)
             place += 7
         return blocks(form)
 
+    known = forms()
     bodies = [labelled(html) for html in pages]
-    for n, body in enumerate([b for b in bodies if b] or [[]]):
+    turn = 0
+    for body in [b for b in bodies if b] or [[]]:
         rows = [(b, y) for b, y in body]
         out.append(rows)
-        plain = [(Block(b.text, tuple(("div" if t in ("article", "main") else t, names) for t, names in b.path), b.linked, 0), y) for b, y in rows]
-        out.append(plain)
-        for base in (rows, plain):
-            mixed = list(base)
+        plain, main = ([(Block(b.text, tuple((name if t in ("article", "main") else t, names) for t, names in b.path), b.linked, 0), y)
+                        for b, y in rows] for name in ("div", "main"))
+        out += [plain, cut(rows, turn)]
+        for base in (rows, plain, main, rows):
+            mixed = cut(base, turn)
             kin = next((b.path[:-1] for b, y in base if y), ())
-            for k in range(6):
-                form, y = FURNITURE[(6 * n + 11 * k) % len(FURNITURE)]
-                inner = [(Block(b.text, (*(kin if y or k % 2 else kin[:2]), *b.path), b.linked, 0), y) for b in filled(form)]
+            for _ in range(6):
+                turn += 1
+                form, y = known[turn % len(known)]
                 first = next((i for i, (_, label) in enumerate(mixed) if label), len(mixed))
                 last = max((i + 1 for i, (_, label) in enumerate(mixed) if label), default=len(mixed))
-                spot = (first + last) // 2 if y or k % 3 == 2 else (first, last)[k % 3 % 2]
+                # by turns in front of the text, amid its blocks, behind it, amid its blocks
+                side = turn // len(known) % 4
+                amid = y or side % 2
+                spot = min(last, first + 1 + turn % max(1, last - first - 1)) if amid else (first, last)[side // 2]
+                inner = [(Block(b.text, (*(kin if amid or turn // len(known) // 4 % 2 else kin[:2]), *b.path), b.linked, 0), y) for b in filled(form)]
                 mixed[spot:spot] = inner
             out.append(mixed)
-    for form, y in FURNITURE:
+    for form, y in known:
         out.append([(b, y) for b in filled(form)])
     return [list(zip(features([b for b, _ in rows]), [y for _, y in rows])) for rows in out if rows]
 
