@@ -4,14 +4,16 @@ Candidates are runs of 20 or more characters of the usual key alphabets. The sma
 candidate's characters is its inferred encoding (decimal, hex, small or capital letters, base32, base62, base64).
 
 Battery, against independent uniform draws from the encoding's alphabet: chi-squared of the symbol counts, runs
-above and below the middle of the alphabet, and lag-one serial correlation. A candidate that any of them rejects
-(Bonferroni over the three) is not random.
+above and below the middle of the alphabet, and lag-one serial correlation. Each null has its exact mean and variance
+at the candidate's length and alphabet. The combined p-value is three times the smallest (Bonferroni), at most one.
 
 False discoveries: ordinary writing - slugs, paths, identifiers - is modelled as a chain of symbols: its letters follow
 each other as in the words of the corpus, its changes between capitals, small letters, digits and separators are the
-fixed ``CHANGES``. The likelihood under that model over the likelihood of uniform draws from the encoding is the
-p-value: writing falls below x with a chance of x at most (Markov), and for keys it falls with every symbol.
-Benjamini-Hochberg is applied per length class over all candidates; those that the battery rejects count with a p-value of one.
+fixed ``CHANGES``. A candidate's p-value is its likelihood under that model over the likelihood of uniform draws from the
+encoding times the battery's combined p-value. As that is at most one, the divisor sums to at most one over all strings, so
+writing falls below x with a chance of x at most (Markov); for keys the ratio falls with every symbol, and a string that
+the battery finds uneven needs as many more orders of magnitude. Benjamini-Hochberg is applied per length class over all
+candidates.
 
 Only SQL functions touch the texts.
 """
@@ -96,7 +98,7 @@ def _tail(z: Column) -> Column:
 
 
 def _battery(rows: DataFrame) -> DataFrame:
-    """Adds n, classed length and the battery's smallest p-value to candidates (column ``hit``)."""
+    """Adds n, length class, chi_p, runs_p, serial_p and their combined p-value ``battery`` to candidates (column ``hit``)."""
     bare = F.translate(F.regexp_replace("hit", "=+$", ""), "-_", "+/")
     encoding = (F.when(F.col("s").rlike("^[0-9]+$"), "decimal").when(F.col("s").rlike("^[0-9a-f]+$"), "hex")
                 .when(F.col("s").rlike("^[0-9A-F]+$"), "hex")
@@ -120,15 +122,17 @@ def _battery(rows: DataFrame) -> DataFrame:
     rows = rows.withColumns({
         "spread": F.aggregate("values", F.lit(0.0), lambda a, x: a + (x - F.col("mean")) * (x - F.col("mean"))),
         "lagged": F.aggregate(F.transform("values", lambda x, i: F.when(i > 0, (x - F.col("mean")) * (F.get("values", i - 1) - F.col("mean"))).otherwise(F.lit(0.0))), F.lit(0.0), add)})
-    n, n1, n2, df = F.col("n"), F.col("n1"), F.col("n") - F.col("n1"), F.col("size") - 1
+    # the statistic has mean size - 1 and variance 2 (size - 1) (n - 1) / n: a gamma of that mean and variance
+    n, n1, n2, df = F.col("n"), F.col("n1"), F.col("n") - F.col("n1"), (F.col("size") - 1) * F.col("n") / (F.col("n") - 1)
     chi = F.col("size") / n * F.col("square") - n
-    chi_z = (F.pow(F.greatest(chi, F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
+    chi_z = (F.pow(F.greatest(chi, F.lit(0.0)) / (F.col("size") - 1), F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
     both = 2 * n1 * n2
     spread = both * (both - n) / (n * n * (n - 1))
     runs_p = F.when((n1 == 0) | (n2 == 0) | (spread <= 0), 0.0).otherwise(2 * _tail(F.abs((F.col("runs") - both / n - 1) / F.sqrt(F.greatest(spread, F.lit(1e-9))))))
     serial_p = F.when(F.col("spread") == 0, 0.0).otherwise(2 * _tail(F.abs((F.col("lagged") / F.greatest(F.col("spread"), F.lit(1e-9)) + 1 / n) * F.sqrt(n))))
     return rows.withColumns({
-        "battery": F.least(_tail(chi_z), runs_p, serial_p),
+        "chi_p": _tail(chi_z), "runs_p": runs_p, "serial_p": serial_p,
+        "battery": F.least(3 * F.least(_tail(chi_z), runs_p, serial_p), F.lit(1.0)),
         "class": sum((n >= at).cast("int") for at in CLASSES)})
 
 
@@ -155,8 +159,8 @@ def _writing(texts: DataFrame) -> list[float]:
     return [math.log10(CHANGES[kind(a)][kind(b)] * chance(a, b)) for a in ALPHABETS["base64"] for b in ALPHABETS["base64"]]
 
 
-def discoveries(candidates: DataFrame, writing: list[float], rate: float = 0.05, alpha: float = 0.01) -> DataFrame:
-    """The candidates that the battery lets pass and that hold at false-discovery rate ``rate`` in their length class.
+def discoveries(candidates: DataFrame, writing: list[float], rate: float = 0.05) -> DataFrame:
+    """The candidates that hold at false-discovery rate ``rate`` in their length class, by the p-values of the module's text.
 
     p-values are rounded up to hundredths of a power of ten so that Benjamini-Hochberg runs over counts per step (at most 30,001 per
     class) instead of a sort of all candidates.
@@ -168,14 +172,15 @@ def discoveries(candidates: DataFrame, writing: list[float], rate: float = 0.05,
     chain = F.aggregate("places", F.struct(F.lit(0.0).alias("sum"), F.lit(63).alias("last")), lambda a, x: F.struct(
         (a["sum"] + F.get(F.col("table"), a["last"] * 64 + x)).alias("sum"), x.alias("last")), lambda a: a["sum"])
     # written out, so that no later filter pulls the battery's expressions apart
-    rows = stored(tested.withColumns({"places": places, "table": table}).withColumn("log_p", chain + F.col("n") * F.log10("size")).drop(
+    odds = chain + F.col("n") * F.log10("size") - F.log10("battery")  # null where the battery's p-value is zero
+    rows = stored(tested.withColumns({"places": places, "table": table}).withColumn("log_p", odds).drop(
         "values", "high", "s", "alphabet", "places", "table"), "secret-tests")
     step = F.least(F.floor(-F.col("log_p") * 100), F.lit(30_000)).cast("int")
-    rows = rows.withColumn("step", F.when(F.col("battery") >= alpha / 3, F.greatest(step, F.lit(0))).otherwise(-1))
+    rows = rows.withColumn("step", F.when(F.col("log_p").isNull(), 0).otherwise(F.greatest(step, F.lit(0))))
     counts = rows.groupBy("class", "step").agg(F.count("*").alias("c"))
     down = Window.partitionBy("class").orderBy(F.col("step").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("class")
-    held = counts.withColumns({"so_far": F.sum("c").over(down), "all": F.sum("c").over(whole)}).where("step >= 0").where(
+    held = counts.withColumns({"so_far": F.sum("c").over(down), "all": F.sum("c").over(whole)}).where(
         F.pow(F.lit(10.0), -F.col("step") / 100) <= rate * F.col("so_far") / F.col("all"))
     bar = held.groupBy("class").agg(F.min("step").alias("bar"))
     return rows.join(F.broadcast(bar), "class").where("step >= bar")
