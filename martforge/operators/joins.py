@@ -69,11 +69,21 @@ def left_cast(df: DataFrame, side: DataFrame, keys, type_: str = "string") -> Da
     return df.withColumns(lk).join(side.withColumns(lk), on=list(keys), how="left")
 
 
-def left_strict(df: DataFrame, side: DataFrame, keys) -> DataFrame:
+def same_within(a: Column, b: Column) -> Column:
+    """Equality that is only compared, among the rows that another key has brought together: in a join, rows are not
+    dealt by it, so sides that lie by that other key stay where they are. NULL is equal to nothing."""
+    return (a <= b) & (a >= b)
+
+
+def left_strict(df: DataFrame, side: DataFrame, keys, within: str | None = None) -> DataFrame:
     """Multi-column left join where NULL never matches (plain ``==``, not
-    ``<=>``): a fact with a NULL second key gets no side columns, on purpose."""
+    ``<=>``): a fact with a NULL second key gets no side columns, on purpose.
+
+    ``within`` names a key that has few rows per value on both sides: rows meet by it alone and the other keys are
+    compared, so sides that already lie by it are not dealt again."""
     renamed = side.withColumnsRenamed({k: f"_ls_{k}" for k in keys})
-    cond = reduce(lambda a, b: a & b, [df[k] == renamed[f"_ls_{k}"] for k in keys])
+    equal = lambda k: same_within if within not in (None, k) else lambda a, b: a == b
+    cond = reduce(lambda a, b: a & b, [equal(k)(df[k], renamed[f"_ls_{k}"]) for k in keys])
     return df.join(renamed, cond, "left").drop(*[f"_ls_{k}" for k in keys])
 
 
@@ -211,11 +221,11 @@ def resolve(df: DataFrame, lookup: DataFrame, id_col: str, lk_id: str, lk_name:
 
 
 def nearest_by_time(left: DataFrame, right: DataFrame, keys, lt: str, rt: str, rid: str,
-                    bucket_seconds: int = 3600) -> DataFrame:
+                    bucket_seconds: int = 3600, carried=()) -> DataFrame:
     """Nearest right row in time within the same keys, for each distinct
-    (keys, lt) of ``left``; ties go to the smaller ``rid``.
+    (keys, lt, carried) of ``left``; ties go to the smaller ``rid``.
 
-    Returns (keys, lt, near_id, near_time, near_dist_s) with NULLs when the
+    Returns (keys, carried, lt, near_id, near_time, near_dist_s) with NULLs when the
     key has no right rows. Times are compared, and near_time is given, in whole
     seconds. Never forms all pairs within a key:
 
@@ -232,7 +242,7 @@ def nearest_by_time(left: DataFrame, right: DataFrame, keys, lt: str, rt: str, r
     from martforge.functions.time import epoch_micros, secs
     b = lambda c: F.floor(epoch_micros(c) / F.lit(bucket_seconds * 1_000_000))
     whole = lambda df, c: F.date_trunc("second", F.col(c)).cast(df.schema[c].dataType).alias("_t")
-    L = left.select(*keys, F.col(lt).alias("_lt"), whole(left, lt)).where(F.col("_t").isNotNull()).distinct() \
+    L = left.select(*keys, *carried, F.col(lt).alias("_lt"), whole(left, lt)).where(F.col("_t").isNotNull()).distinct() \
         .withColumn("_b", b("_t"))
     R = right.select(*keys, whole(right, rt), F.col(rid).alias("_rid")).where(F.col("_t").isNotNull()) \
         .withColumn("_b", b("_t"))
@@ -249,13 +259,13 @@ def nearest_by_time(left: DataFrame, right: DataFrame, keys, lt: str, rt: str, r
         F.min("_bf").over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("_next_c"))
 
     # inside the bucket: right rows sort before left rows at the same time
-    u = (L.select(*keys, "_b", "_t", F.lit(None).cast("long").alias("_rid"), F.lit(1).alias("_is_l"), "_lt")
-         .unionByName(R.select(*keys, "_b", "_t", "_rid", F.lit(0).alias("_is_l"),
-                               F.lit(None).cast(left.schema[lt].dataType).alias("_lt"))))
+    u = (L.select(*keys, *carried, "_b", "_t", F.lit(None).cast("long").alias("_rid"), F.lit(1).alias("_is_l"), "_lt")
+         .unionByName(R.select(*keys, *(F.lit(None).cast(left.schema[c].dataType).alias(c) for c in carried), "_b", "_t",
+                               "_rid", F.lit(0).alias("_is_l"), F.lit(None).cast(left.schema[lt].dataType).alias("_lt"))))
     w_up = Window.partitionBy(*keys, "_b").orderBy("_t", "_is_l").rowsBetween(Window.unboundedPreceding, 0)
     w_dn = Window.partitionBy(*keys, "_b").orderBy(F.col("_t").desc(), "_is_l").rowsBetween(Window.unboundedPreceding, 0)
     is_r = F.col("_is_l") == 0
-    inb = u.select(*keys, "_b", "_t", "_is_l", "_lt",
+    inb = u.select(*keys, *carried, "_b", "_t", "_is_l", "_lt",
                    F.max(F.when(is_r, last_key)).over(w_up).alias("_prev_i"),
                    F.min(F.when(is_r, first_key)).over(w_dn).alias("_next_i")).where(F.col("_is_l") == 1)
     j = inb.join(carry, [*keys, "_b"], "left")
@@ -266,5 +276,5 @@ def nearest_by_time(left: DataFrame, right: DataFrame, keys, lt: str, rt: str, r
     cand_n = F.when(nxt.isNotNull(), F.struct(secs(F.col("_t"), nxt["t"]).alias("d"),
                                               nxt["r"].alias("id"), nxt["t"].alias("t")))
     best = F.least(cand_p, cand_n)
-    return j.select(*keys, F.col("_lt").alias(lt), best["id"].alias("near_id"), best["t"].alias("near_time"),
+    return j.select(*keys, *carried, F.col("_lt").alias(lt), best["id"].alias("near_id"), best["t"].alias("near_time"),
                     best["d"].alias("near_dist_s"))

@@ -5,12 +5,12 @@ event's status chain. An accession's events are those of the patient and
 doctor job of any of its overdue lines, and each line competes for all of them.
 
 The reference pairs every result row with every event of its accession and
-keeps the closest pair. Here a line meets the distinct (patient, job) pairs of
-its accession - one or two in practice - and the closest event comes from
-:func:`martforge.operators.joins.nearest_by_time` (bucketed as-of search), and
-the final pick per accession is an aggregate (``min_by`` over an ordering
-struct), so neither step builds all pairs of a key or routes a hot key's
-rows through one task.
+keeps the closest pair. Here a line's accession and document time meet the
+distinct (patient, job) pairs of its accession that have an event - one or two
+in practice - and the closest event comes from
+:func:`martforge.operators.joins.nearest_by_time` (bucketed as-of search). The
+whole lines are dealt once, by accession, for the join with their event and the
+final pick, an aggregate (``min_by`` over an ordering struct).
 
 Deviation: the status chain and the DEFERRED count are per event (its own
 status changes); the reference repeats them once per joined result line.
@@ -82,20 +82,28 @@ def overdue_monitoring(results: DataFrame, pin_tasks: DataFrame, clinical_events
     ev = stored(ev, "overdue-events")  # three readers below
 
     keys = ["key_p", "key_j"]
-    owners = b.select("accession_number", *keys).distinct()
-    b = b.drop(*keys).join(owners, "accession_number")
+    # the search knows of a line its accession and document time, and only of lines whose pair has an event at all
+    owners = J.semi(b.select("accession_number", F.struct(*keys).alias("_pair")).distinct(),
+                    ev.select(F.struct(*keys).alias("_pair")).distinct(), "_pair")
+    owners = owners.select(F.col("accession_number").alias("_acc"), "_pair.*").where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+    times = b.select(F.col("accession_number").alias("_acc"), "doc_local").distinct()
+    asked = times.join(owners, "_acc")
     # distance 0: events without a RUNNING status (smallest id per key)
     zero = ev.where(F.col("first_running").isNull()).groupBy(*keys).agg(F.min("event_id").alias("zero_id"))
     # otherwise the event whose first RUNNING is nearest to the document time
-    near = J.nearest_by_time(b.select(*keys, "doc_local"), ev.where(F.col("first_running").isNotNull()),
-                             keys, "doc_local", "first_running", "event_id", bucket_seconds)
-    c = b.join(zero, keys, "left").join(near, [*keys, "doc_local"], "left")
+    near = J.nearest_by_time(asked, ev.where(F.col("first_running").isNotNull()), keys, "doc_local", "first_running",
+                             "event_id", bucket_seconds, carried=["_acc"])
     pick = F.least(F.when(F.col("zero_id").isNotNull(), F.struct(F.lit(0).cast("long").alias("d"),
                                                                   F.col("zero_id").alias("id"))),
                    F.when(F.col("near_id").isNotNull(), F.struct(F.col("near_dist_s").alias("d"),
                                                                   F.col("near_id").alias("id"))))
-    c = c.withColumns({"_no_event": F.when(pick.isNull(), 1).otherwise(0), "_d": pick["d"], "_eid": pick["id"]})
-    # one row per accession: aggregate, not a window, so a hot accession is combined map-side
+    near = near.join(zero, keys, "left").withColumn("_pick", pick)
+    near = near.groupBy("_acc", F.col("doc_local").alias("_doc")).agg(F.min("_pick").alias("_pick"))
+    near = near.where(F.col("_pick").isNotNull())
+    # lines lie by accession for the join and for the pick: the document time is compared, not dealt by
+    c = b.drop(*keys).join(near, (b["accession_number"] == near["_acc"]) & J.same_within(b["doc_local"], near["_doc"]), "left")
+    c = c.withColumns({"_no_event": F.when(F.col("_pick").isNull(), 1).otherwise(0), "_d": F.col("_pick.d"),
+                       "_eid": F.col("_pick.id")})
     order = F.struct("_no_event", "_d", "_eid", *BASE_TIE)
     w = c.groupBy("accession_number").agg(F.min_by(F.struct(*SHOWN, "_eid"), order).alias("w")).select("accession_number", "w.*")
     stats = ev.select("event_id", "status_chain", "cnt_deferred", "first_running", "last_running").distinct()
