@@ -20,6 +20,7 @@ from martforge.functions.time import ntz
 from martforge.operators import aggregates as A
 from martforge.operators import filters as Fl
 from martforge.operators import joins as J
+from martforge.session import stored
 from martforge.sources.readers import in_window
 
 # The pad of the AI-use window and the log scan buffer (days).
@@ -119,8 +120,9 @@ def ai_actions(ai_log: DataFrame, base: DataFrame, cfg: DataFrame, date_from: dt
     log = in_window(ai_log, "opened_at", date_to, (date_to - date_from).days, pad_before=LOG_DAYS_BEFORE,
                     pad_after=LOG_DAYS_AFTER)
     b = base.select("modality", F.col("study_uid").alias("study_iuid"), "describe_start", "conclusion_time")
-    j = (log.withColumnRenamed("modality", "modality_log").join(mods, "modality_log")
-         .join(b, ["modality", "study_iuid"])
+    # events meet their study by its id alone, and only then the modalities of their viewer
+    j = (log.withColumnRenamed("modality", "modality_log").join(F.broadcast(mods.select("modality_log")), "modality_log", "left_semi")
+         .join(b, "study_iuid").join(mods, ["modality", "modality_log"])
          .withColumn("ts_msk", plus_hours("opened_at", 3)))
     lo = F.col("describe_start") - F.make_interval(mins=F.lit(WINDOW_PAD_MINUTES))
     inside = (F.col("ts_msk") >= lo) & (F.col("ts_msk") <= F.col("conclusion_time"))
@@ -149,14 +151,19 @@ def ai_use_series(results: DataFrame, reports: DataFrame, ai_log: DataFrame, cfg
 
     The log joins on (study, series) with plain equality (J7): a study
     without AI has no series and deliberately gets no log activity.
+
+    Base, reports and log are dealt by the study alone, once each: every join and aggregate here, and those of M11 and
+    M12 after it, finds its rows together and deals none again. A study has a row per modality and series.
     """
-    base = base_studies(results, cfg, date_from, date_to, excluded_codes, min_describe_start, unit_id)
+    base = stored(base_studies(results, cfg, date_from, date_to, excluded_codes, min_describe_start, unit_id),
+                  "ai-base")  # two readers below
     r = ai_results(reports).withColumn("_has_r", F.lit(1))
     acts = ai_actions(ai_log, base, cfg, date_from, date_to)
     j = base.join(r, "study_uid", "left")
     j = J.left_strict(j, acts.withColumnRenamed("study_iuid", "study_uid")
-                      .withColumn("_has_log", F.lit(True)), ["modality", "study_uid", "series_iuid"])
-    names = model_names.select(F.col("model_id").alias("_mn_id"), F.col("service_name").alias("_mn_name"))
+                      .withColumn("_has_log", F.lit(True)), ["modality", "study_uid", "series_iuid"], within="study_uid")
+    # a line per registered model
+    names = F.broadcast(model_names.select(F.col("model_id").alias("_mn_id"), F.col("service_name").alias("_mn_name")))
     j = j.join(names, F.col("model_id") == F.col("_mn_id"), "left")
     no_log = F.col("_has_log").isNull()
     in_any = _sum0("active_in_window", "view_in_window", "enlarge_in_window", "passive_in_window")
@@ -237,7 +244,7 @@ def ai_use_by_model(series: DataFrame, tariffs: DataFrame, period_from: dt.date,
                        "methods_used": F.when(multi, F.col("_m_methods")).otherwise(F.col("_one_methods"))})
     g = g.withColumns({c: F.when(multi, e).otherwise(F.col(f"_one_{c}")) for c, e in _derived().items()})
     g = g.withColumn("mins_to_first_ai", F.col("mins_to_first_ai").cast("double"))
-    tf = tariffs.select(F.col("model_id").alias("_t_id"), "tariff_current", "tariff_possible")
+    tf = F.broadcast(tariffs.select(F.col("model_id").alias("_t_id"), "tariff_current", "tariff_possible"))  # a line per model
     g = g.join(tf, F.col("model_id") == F.col("_t_id"), "left")
     return g.select(
         "modality", "study_uid", "accession_number", "doctor_id", "diagnostic_code", "describe_start",
