@@ -21,6 +21,7 @@ from martforge.plans import catalog as C
 from martforge.plans import loads as L
 from martforge.plans.bindings import Tables, with_roles
 from martforge.plans.catalog import ORACLE, _scratch, register
+from martforge.session import stored
 from martforge.sinks import policies as K
 from martforge.sinks.versioned import VersionedTable
 from martforge.sources import readers as S
@@ -177,6 +178,8 @@ def q_typed_reports(spark, sf_dir, not_source: str = "PACS"):
     text = lambda c, path: F.get_json_object(c, path)
     r = Fl.add(r, ready=text("computed_data", "$.pumStudyReadyForAiTime"), series=text("raw_data", "$.aiResult.seriesIUID"),
                raw_error=text("raw_data", "$.aiResult.error"), raw_norma=text("raw_data", "$.aiResult.norma"))
+    # parsed once: the filters, the sample for the order's ranges and the order itself read the fields
+    r = stored(r.select("report_key", "ready", "series", "raw_error", "raw_norma"), "report-fields")
     r = Fl.parsed_ok(Fl.non_blank(r, "series"), "ready", dt.datetime(1996, 1, 1))
     failed = F.col("raw_error") == "timeout"
     r = Fl.add(r, report_key=to_str("report_key"), ready_at=wall_time(F.col("ready").cast("timestamp_ntz")),
