@@ -433,6 +433,35 @@ def test_line_dedup_finds_all_similar_lines(spark):
     assert pairs > 60 and {r.doc_id for r in out if not r.n_removed} == {i for i in range(len(lines)) if find(i) == i}
 
 
+def test_line_dedup_codes_that_collide(spark, monkeypatch):
+    """Two bits of a node's name in its code: most codes name several nodes, the groups stay those of all pairs."""
+    monkeypatch.setattr(line_dedup, "_code", lambda n1, of: F.shiftleft(n1.bitwiseAND(F.lit(3)), 16).bitwiseOR(of.cast("long")))
+    rng = random.Random(5)
+    lines = [[f"w{rng.randrange(40)}" for _ in range(n)] for n in (4, 5, 8, 8, 8, 12, 30, 30, 200, 200)]
+    lines += [[f"w{rng.randrange(40)}" if rng.random() < 0.1 else w for w in line] for line in lines for _ in range(6)]
+    rows = [(i, " ".join(line)) for i, line in enumerate(lines)]
+    got = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == _brute_lines(rows) and sum(r.n_removed for r in got) > 5
+
+
+def test_line_dedup_compares_no_pair_twice(spark, monkeypatch):
+    """Different lines that share a key two by two are settled by the first comparison; none is stored for a second, and
+    words are joined for none, although 128 parities allow lines of so many words."""
+    found = {}
+
+    def kept(df, name, stored=line_dedup.stored):
+        out = stored(df, name)
+        found.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", kept)
+    lines = [" ".join([*(f"a{i}x{k}" for k in range(300)), *(f"sharedsharedshared{i // 2}part{k}" for k in range(3))]) for i in range(20)]
+    rows = list(enumerate(lines))
+    got = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == dict(rows)
+    assert found["line-keys"][0] > 0 and found["line-rest"] == [0] and found["line-alike"] == [0, 0]
+
+
 # 8 secrets ---------------------------------------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
