@@ -462,6 +462,29 @@ def test_line_dedup_compares_no_pair_twice(spark, monkeypatch):
     assert found["line-keys"][0] > 0 and found["line-rest"] == [0] and found["line-alike"] == [0, 0]
 
 
+def test_line_dedup_common_passage(spark, monkeypatch):
+    """Lines around one long passage are not compared two by two; similar ones among them are found all the same."""
+    found = {}
+
+    def kept(df, name, stored=line_dedup.stored):
+        out = stored(df, name)
+        found.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", kept)
+    monkeypatch.setattr(line_dedup, "CROWD", 8, raising=False)
+    rng = random.Random(4)
+    passage = [f"passagepassage{k}" for k in range(100)]
+    lines = [[*(f"a{i}x{k}" for k in range(at)), *passage, *(f"a{i}x{k}" for k in range(at, 160))]
+             for i, at in enumerate(rng.randrange(160) for _ in range(70))]
+    lines += [[f"z{i}y{k}" if rng.random() < share else w for k, w in enumerate(lines[i % 70])]
+              for i, share in enumerate(rng.choice((0.05, 0.1, 0.15, 0.3)) for _ in range(20))]
+    rows = [(i, " ".join(line)) for i, line in enumerate(lines)]
+    got = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == _brute_lines(rows) and 5 < sum(r.n_removed for r in got) < 20
+    assert max(found["line-pairs"]) < 3 * len(rows)
+
+
 # 8 secrets ---------------------------------------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
