@@ -56,3 +56,38 @@ def test_unit_summary_deals_lines_by_accession_and_by_group(plain):
 def test_typed_reports_parses_before_it_orders(spark):
     plan = LQ.q_typed_reports(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "get_json_object" not in plan and "ready" in plan
+
+
+def test_benefit_cohort_looks_benefits_up_before_the_lines_are_dealt(plain):
+    """The lookup's wide tree of days is stored away, and the routes' pre-filter deals no line a second time."""
+    found = [c for _, c in exchanges(C.QUERIES["benefit_cohort"](plain, SF))]
+    assert not [c for c in found if "level" in c]
+    assert len([c for c in found if "line_no" in c and "llo_benefit_status" not in c]) == 1
+
+
+def test_benefit_cohort_with_units_that_repeat(spark):
+    """One row per accession: its first line, with the smallest name of either unit, a name before none."""
+    import datetime as dt
+
+    from martforge.plans import operational as OP
+    at = dt.datetime(2001, 5, 5, 10)
+    results = spark.createDataFrame(
+        [(1, "s1", n, e, "u1", 9, n, "p", "CT", at, at, at, "name", "Z", "mo", "mu") for n, e in ((2, 1), (1, 2), (1, 1))]
+        + [(2, "s2", 1, 1, "none", 9, 1, "p", "CT", at, at, at, "name", "Z", "mo", "mu")],
+        "accession_number long, study_uid string, line_no long, emp_id long, describe_unit_id string, diagnostic_code long, "
+        "type_code long, payment_source string, device_type string, doc_created timestamp_ntz, conduct_date timestamp_ntz, "
+        "describe_start timestamp_ntz, diagnostic_name string, diag_code string, conduct_mo_name string, conduct_mu_name string")
+    exams = spark.createDataFrame([(1, 40, 7, "u2"), (2, 50, 7, "u1")],
+                                  "accession_number long, patient_age long, patient_id long, assignment_mu_id string")
+    units = spark.createDataFrame([("u1", "b"), ("u1", None), ("u1", "a"), ("u2", "d"), ("u2", "c")], "unit_id string, unit_name string")
+    benefits = spark.createDataFrame([(7, dt.date(2001, 1, 1), None, "held", "940", "11", "4")],
+                                     "patient_id long, start_date date, end_date date, benefit_name string, benefit_code string, "
+                                     "patient_status_id string, status_llo_id string")
+    reports = spark.createDataFrame([], "report_key long, app_source string, raw_data string, computed_data string")
+    pins = spark.createDataFrame([], "accession_number long, task_pin_status string, task_pin_end_date timestamp_ntz, pin_id long")
+    routes = spark.createDataFrame([(1, "job b"), (1, "job a"), (3, "job c")], "eris_id long, assignment_doctor_job_name string")
+    out = OP.benefit_cohort(results, exams, reports, units, benefits, pins, dt.date(2001, 1, 1), dt.date(2002, 1, 1),
+                            routes=routes, loaded_at=at).collect()
+    got = {r.accession_number: (r.assessment_result_type_code, r.lpu_short_name_by_lpu_id, r.lpu_short_name_by_assignment_mu_id,
+                                r.llo_benefit_status, r.assignment_doctor_job_name) for r in out}
+    assert len(out) == 2 and got == {1: (1, "a", "c", "held", "job a"), 2: (1, None, "a", "held", None)}
